@@ -43,23 +43,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+SPAN = "start:int,end:int,found:string,left:string,right:string"
+
+
 def regex_spans(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, found>> of the leftmost non-overlapping matches, in code points, end exclusive.
+    """array<struct<start, end, found, left, right>> of the leftmost non-overlapping matches, in code points, end exclusive.
 
-    The text is split at the matches; lengths of pieces and matches add up to positions. Texts without
-    a match cost one scan.
+    The text is split at the matches; lengths of pieces and matches add up to positions. left and right are
+    the pieces around a match, at most 48 code points of them. Texts without a match cost one scan.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
-    empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    pairs = F.arrays_zip(pieces.alias("gap"), found.alias("hit"), F.slice(pieces, F.lit(2), F.size(found)).alias("after"))
+    empty = F.array().cast(f"array<struct<{SPAN}>>")
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + x["gap"]
+        start = acc["pos"] + F.length(x["gap"])
         end = start + F.length(x["hit"])
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("found")))).alias("out"))
+        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("found"), F.right(x["gap"], F.lit(48)).alias("left"), F.left(x["after"], F.lit(48)).alias("right"))
+        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("pos"), empty.alias("out")), step, lambda acc: acc["out"])
+    walked = F.aggregate(F.slice(pairs, F.lit(1), F.size(found)), F.struct(F.lit(0).alias("pos"), empty.alias("out")), step, lambda acc: acc["out"])
     return F.when(text.rlike(pattern), walked).otherwise(empty)
 
 
