@@ -19,7 +19,7 @@ from tempora.llm.common import documents
 from tempora.llm.rules import COMMON
 
 #: Labelled documents that the fit takes at most, and code points of them in all; steps of the fit; its L2 weight.
-SAMPLE, SAMPLE_CHARS, STEPS, DECAY = 1_500, 10_000_000, 80, 1e-3
+SAMPLE, SAMPLE_CHARS, STEPS, DECAY = 1_500, 10_000_000, 110, 1e-3
 OWN, BESIDE = 15, 12
 WIDTH = OWN + 2 * (BESIDE + 1)
 _FREQUENT = {w.encode() for words in COMMON.values() for w in words}

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from tempora.llm.crf import op7_quality
+from tempora.llm.media import op2_media
 from tempora.llm.mixing import op9_mixing
 from tempora.llm.pii import op5_pii
 from tempora.llm.rules import op8_rules
 from tempora.llm.secrets import op10_secrets
 
 QUERIES = {
+    "op2_media": op2_media,
     "op5_pii": op5_pii,
     "op7_quality": op7_quality,
     "op8_rules": op8_rules,
