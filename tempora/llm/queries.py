@@ -8,9 +8,11 @@ from tempora.llm.mixing import op9_mixing
 from tempora.llm.pii import op5_pii
 from tempora.llm.rules import op8_rules
 from tempora.llm.secrets import op10_secrets
+from tempora.llm.simhash import op3_simhash
 
 QUERIES = {
     "op2_media": op2_media,
+    "op3_simhash": op3_simhash,
     "op5_pii": op5_pii,
     "op7_quality": op7_quality,
     "op8_rules": op8_rules,
