@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tempora.llm.bpe import op6_bpe
 from tempora.llm.crf import op7_quality
 from tempora.llm.media import op2_media
 from tempora.llm.mixing import op9_mixing
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_media": op2_media,
     "op3_simhash": op3_simhash,
     "op5_pii": op5_pii,
+    "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
     "op8_rules": op8_rules,
     "op9_mixing": op9_mixing,
