@@ -215,7 +215,7 @@ def _index(packs: DataFrame) -> DataFrame:
     return packs.select("part", "names", "owned").mapInArrow(run, "name binary, part int")
 
 
-def _drop(packs: DataFrame, losers: DataFrame) -> DataFrame:
+def _drop(packs: DataFrame, losers: DataFrame, parts: int) -> DataFrame:
     """packs without the chunks that another part owns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,10 +230,10 @@ def _drop(packs: DataFrame, losers: DataFrame) -> DataFrame:
                 out.append((r["part"], r["row"], r["doc_id"], r["n_tokens"], r["root"], r["names"], r["lengths"], bytes(own and not gone for own, gone in kept), payload))
             yield _batch(out, PACK)
 
-    return packs.join(losers.groupBy("part").agg(F.collect_list("name").alias("lost")).hint("shuffle_hash"), "part", "left").mapInArrow(run, PACK)
+    return packs.join(losers.repartition(parts, "part").groupBy("part").agg(F.collect_list("name").alias("lost")).hint("shuffle_hash"), "part", "left").mapInArrow(run, PACK)
 
 
-def _shared(packs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _shared(packs: DataFrame, wanted: DataFrame, parts: int) -> DataFrame:
     """(name, chunk) of the owned chunks that other parts want."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,14 +246,14 @@ def _shared(packs: DataFrame, wanted: DataFrame) -> DataFrame:
                 out += [(n, c) for n, c in _owned(r) if n in want]
             yield _batch(out, "name binary, chunk binary")
 
-    lists = wanted.groupBy("part").agg(F.collect_set("name").alias("want")).hint("shuffle_hash")
+    lists = wanted.repartition(parts, "part").groupBy("part").agg(F.collect_set("name").alias("want")).hint("shuffle_hash")
     return packs.join(lists, "part").mapInArrow(run, "name binary, chunk binary")
 
 
 BACK = "row long, doc_id long, n_tokens long, ids_crc32 long"
 
 
-def _rebuild(packs: DataFrame, fetched: DataFrame) -> DataFrame:
+def _rebuild(packs: DataFrame, fetched: DataFrame, parts: int) -> DataFrame:
     """The documents put together again: checked against their roots, with the checksum of their ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, have = None, {}
@@ -271,7 +271,7 @@ def _rebuild(packs: DataFrame, fetched: DataFrame) -> DataFrame:
                 out.append((r["row"], r["doc_id"], len(ids), zlib.crc32(ids.tobytes())))
             yield _batch(out, BACK)
 
-    lists = fetched.groupBy("part").agg(F.collect_list(F.struct("name", "chunk")).alias("fetched")).hint("shuffle_hash")
+    lists = fetched.repartition(parts, "part").groupBy("part").agg(F.collect_list(F.struct("name", "chunk")).alias("fetched")).hint("shuffle_hash")
     return packs.join(lists, "part", "left").mapInArrow(run, BACK)
 
 
@@ -293,8 +293,9 @@ def running_start(rows: DataFrame) -> DataFrame:
     return ranged.join(F.broadcast(offsets), "range").withColumn("start", F.col("before") + F.coalesce(own, F.lit(0)))
 
 
-def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> dict[str, DataFrame]:
-    """Write the store of docs; its tables packs, recipes, manifest, and `borrowed` (part, name, owner).
+def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> dict:
+    """Write the store of docs; its tables packs, recipes, manifest, and `borrowed` (part, name, owner);
+    `parts` is the number of its buckets.
 
     A null text has the end id alone. Repeated rows have recipes of their own and share all chunks. Null keys
     come first in the stream. An empty table gives empty tables; other columns are not read. Ids must be
@@ -306,7 +307,7 @@ def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     index = materialize(_index(first), "store-index")
     owners = index.groupBy("name").agg(F.min("part").alias("owner"), F.count("*").alias("n")).where("n > 1")
     losers = materialize(index.join(owners, "name").where("part <> owner").select("part", "name", "owner"), "store-borrowed")
-    packs, _ = bucketed(_drop(first, losers), parts, "store-packs")
+    packs, _ = bucketed(_drop(first, losers, parts), parts, "store-packs")
     discard(spark, first_path)
     recipes = running_start(packs.select("row", "doc_id", "n_tokens", "root", "names", "lengths"))
     recipe_path = scratch(spark, "store-recipes")
@@ -314,15 +315,15 @@ def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     order.repartitionByRange(F.col("range")).sortWithinPartitions("range", "start").write.option("compression", "zstd").parquet(recipe_path)
     recipes = spark.read.schema(order.schema).parquet(recipe_path)
     roots = packs.groupBy("part").agg(F.count("*").alias("n_docs"), F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("row", "root"))), lambda x: F.hex(x["root"]))), 256).alias("root"))
-    return {"packs": packs, "recipes": recipes, "manifest": materialize(roots, "store-manifest"), "borrowed": losers}
+    return {"packs": packs, "recipes": recipes, "manifest": materialize(roots, "store-manifest"), "borrowed": losers, "parts": parts}
 
 
-def read(store: dict[str, DataFrame]) -> DataFrame:
+def read(store: dict) -> DataFrame:
     """row, doc_id, start, n_tokens, ids_crc32 of every document, from the store's files."""
     packs, borrowed = store["packs"], store["borrowed"]
     wanted = borrowed.select(F.col("owner").alias("part"), "name").distinct()
-    fetched = borrowed.select("part", "name").join(_shared(packs, wanted), "name")
-    back = _rebuild(packs, fetched)
+    fetched = borrowed.select("part", "name").join(_shared(packs, wanted, store["parts"]), "name")
+    back = _rebuild(packs, fetched, store["parts"])
     return store["recipes"].select("row", "start").join(back, "row").select("row", "doc_id", "start", "n_tokens", "ids_crc32")
 
 
