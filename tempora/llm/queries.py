@@ -10,12 +10,14 @@ from tempora.llm.pii import op5_pii
 from tempora.llm.rules import op8_rules
 from tempora.llm.secrets import op10_secrets
 from tempora.llm.simhash import op3_simhash
+from tempora.llm.suffixes import op4_suffixes
 from tempora.llm.tokenstore import op1_tokenstore
 
 QUERIES = {
     "op1_tokenstore": op1_tokenstore,
     "op2_media": op2_media,
     "op3_simhash": op3_simhash,
+    "op4_suffixes": op4_suffixes,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,

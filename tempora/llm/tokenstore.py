@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,7 +31,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tempora.llm.bpe import SPACE, byte_symbols
-from tempora.llm.common import discard, documents, materialize, scratch
+from tempora.llm.common import bucketed, discard, documents, materialize, scratch
 
 END, REMEMBERED = 2, 500_000
 #: Ids under the rolling hash; a cut where its low bits are zero; least and most ids of a chunk.
@@ -185,14 +184,6 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
 
 
-def bucketed(df: DataFrame, parts: int, name: str) -> tuple[DataFrame, str]:
-    """df as a table in the scratch folder with a bucket for every part, and its path. A task writes one part."""
-    spark = df.sparkSession
-    path, table = scratch(spark, name), f"tempora_{uuid.uuid4().hex[:12]}"
-    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(parts, "part").saveAsTable(table)
-    return spark.table(table), path
-
-
 def _owned(r: dict) -> Iterator[tuple[bytes, bytes]]:
     """(name, ids) of the chunks in a PACK row."""
     at = 0
