@@ -112,36 +112,59 @@ def cycle_weights(names: list[str | None]) -> dict[str | None, float]:
     return {x: 1 + i % 3 for i, x in enumerate(sorted(names, key=lambda x: (x is None, x or "")))}
 
 
-def mix(docs: DataFrame, membership: Column | None = None, seed: int = 7, weights=cycle_weights, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, pattern (sources, sorted), size, source_size and target (of the first source), copies, taken.
+def _pattern(membership: Column | None) -> Column:
+    return F.array_sort(F.array_distinct(membership if membership is not None else F.array(F.col("source"))))
 
-    Nulls: a null text has size 0 and is taken 0 times or more with 0 words; null sources form a source of
-    their own, last in order. Equal rows get equal copies. An empty table gives an empty result. Other columns
-    are ignored, whatever their names.
-    """
-    spark = docs.sparkSession
-    member = membership if membership is not None else F.array(F.col("source"))
-    rows = materialize(
-        docs.select(
-            F.col(key).alias("doc_id"), F.array_sort(F.array_distinct(member)).alias("pattern"), word_count(F.col(text)).alias("size"),
-            F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1).alias("u"),
-        ),
-        "mix-sizes",
-    )
-    groups = rows.groupBy("pattern").agg(F.sum("size").alias("words"))
-    found = groups.limit(MAX_PATTERNS + 1).collect()
+
+def _hash(seed: int, key: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1)
+
+
+def decide(rows: DataFrame, weights=cycle_weights) -> DataFrame:
+    """One row per pattern (at most MAX_PATTERNS): mix_pattern, base copies for all, cut and fill for one more,
+    source_size and target of its first source. rows: pattern, size, u."""
+    spark = rows.sparkSession
+    found = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
     found = sorted(((list(r["pattern"]), r["words"]) for r in found), key=lambda x: [(v is None, v or "") for v in x[0]])
     sizes, targets, words = plan(spark, found, weights(list({x for who, _ in found for x in who})))
-    kind = T.StructType([T.StructField("pattern", T.ArrayType(T.StringType())), T.StructField("base", T.LongType()), T.StructField("rest", T.LongType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())])
+    kind = T.StructType([T.StructField("mix_pattern", T.ArrayType(T.StringType())), T.StructField("base", T.LongType()), T.StructField("rest", T.LongType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())])
     table = [(who, w // n if n else 0, w % n if n else 0, sizes[who[0]] if who else 0, targets[who[0]] if who else 0.0) for (who, n), w in zip(found, words)]
-    plans = spark.createDataFrame(table, kind)  # one row per pattern, at most MAX_PATTERNS
-    dealt = rows.join(F.broadcast(plans), rows["pattern"].eqNullSafe(plans["pattern"])).drop(plans["pattern"])
+    plans = spark.createDataFrame(table, kind)
+    dealt = rows.join(F.broadcast(plans), rows["pattern"].eqNullSafe(plans["mix_pattern"])).drop("mix_pattern")
     cut = thresholds(dealt)
-    with_cut = dealt.join(F.broadcast(cut), dealt["pattern"].eqNullSafe(cut["cut_pattern"]), "left")
-    copies = F.col("base") + F.when((F.col("u") <= F.col("cut")) | F.array_contains("fill", F.col("u")), 1).otherwise(0)
-    return with_cut.select("doc_id", "pattern", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return materialize(plans.join(F.broadcast(cut), plans["mix_pattern"].eqNullSafe(cut["cut_pattern"]), "left").select("mix_pattern", "base", "source_size", "target", "cut", "fill"), "mix-plan")
+
+
+def _copies() -> Column:
+    return F.col("base") + F.when((F.col("u") <= F.col("cut")) | F.array_contains("fill", F.col("u")), 1).otherwise(0)
+
+
+def sizes_of(docs: DataFrame, membership: Column | None = None, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, pattern, size, u (seeded hash) of every row, written once: texts are read a single time."""
+    return materialize(docs.select(F.col(key).alias("doc_id"), _pattern(membership).alias("pattern"), word_count(F.col(text)).alias("size"), _hash(seed, key).alias("u")), "mix-sizes")
+
+
+def mix(docs: DataFrame, membership: Column | None = None, seed: int = 7, weights=cycle_weights, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, pattern (sources, sorted), size, source_size and target (of the first source), copies, taken.
+
+    Nulls: a null text has size 0 and is taken 0 times or more with 0 words; null sources form a source of
+    their own, last in order. Equal rows get equal copies. An empty table gives an empty result. Other columns
+    are ignored, whatever their names.
+    """
+    rows = sizes_of(docs, membership, seed, key, text)
+    plans = decide(rows, weights)
+    whole = rows.join(F.broadcast(plans), rows["pattern"].eqNullSafe(plans["mix_pattern"]))
+    return whole.select("doc_id", "pattern", "size", "source_size", "target", _copies().alias("copies"), (_copies() * F.col("size")).alias("taken"))
+
+
+def repeat(docs: DataFrame, membership: Column | None = None, seed: int = 7, weights=cycle_weights, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, all columns, as often as the mix takes them; only the plan of the patterns is joined."""
+    plans = decide(sizes_of(docs, membership, seed, key, text), weights)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _pattern(membership).alias("pattern"), _hash(seed, key).alias("u"))
+    often = packed.join(F.broadcast(plans), packed["pattern"].eqNullSafe(plans["mix_pattern"])).withColumn("n", _copies().cast("int")).where("n > 0")
+    return often.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
 def thresholds(dealt: DataFrame) -> DataFrame:

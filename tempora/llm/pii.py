@@ -123,16 +123,20 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     return rows.select("key", "blob", marks.alias("base")), added
 
 
+def beside(added: DataFrame) -> DataFrame:
+    """added, written, and broadcast if it has at most SMALL_ROWS rows; else it is joined by a shuffle."""
+    added = materialize(added, "pii-added")
+    return F.broadcast(added) if added.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else added
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with every span, base or added, replaced by its kind in angle brackets; a null text stays null."""
     _, added = find(docs, key=text)
-    added = materialize(added, "pii-added")
-    small = added.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
     body = F.coalesce(F.col(text), F.lit(""))
     marks = F.transform(base_entities(body), lambda b: F.struct(b["rank"], b["start"], b["end"], b["kind"])).cast(MARKS)
-    added = added.withColumnRenamed("blob", "pii_blob").withColumnRenamed("added", "pii_added")
-    joined = docs.join(F.broadcast(added) if small else added, F.sha2(body, 256) == F.col("pii_blob"), "left")
-    return joined.withColumn(text, F.when(F.col(text).isNotNull(), _cut(F.col(text), F.concat(marks, F.coalesce("pii_added", F.array().cast(MARKS)))))).select(docs.columns)
+    named = added.select(F.col("blob").alias("_pii_blob"), F.col("added").alias("_pii_added"))
+    joined = docs.join(beside(named), F.sha2(body, 256) == F.col("_pii_blob"), "left")
+    return joined.withColumn(text, F.when(F.col(text).isNotNull(), _cut(F.col(text), F.concat(marks, F.coalesce("_pii_added", F.array().cast(MARKS)))))).select(docs.columns)
 
 
 def _cut(text: Column, marks: Column) -> Column:
@@ -151,7 +155,7 @@ def _cut(text: Column, marks: Column) -> Column:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, added = find(documents(spark, sf_dir))
-    whole = rows.join(added, "blob", "left")
+    whole = rows.join(beside(added), "blob", "left")
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     every = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(MARKS))))
     return whole.select(F.col("key").alias("doc_id"), *map(n, PATTERNS), F.sha2(span_string(F.col("base")), 256).alias("base_sha256"), span_string(every).alias("spans"))
