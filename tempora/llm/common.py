@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +42,38 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def part_number(partition: int, parts: int) -> int:
+    """A number that Spark's hash puts in bucket `partition` of `parts`, so that each has a bucket of its own."""
+    at, step = 0, 1 << 16
+    while True:
+        n = np.arange(at, at + step, dtype=np.uint32)
+        with np.errstate(over="ignore"):
+            k = n * np.uint32(0xCC9E2D51)
+            k = (k << np.uint32(15) | k >> np.uint32(17)) * np.uint32(0x1B873593)
+            h = np.uint32(42) ^ k
+            h = (h << np.uint32(13) | h >> np.uint32(19)) * np.uint32(5) + np.uint32(0xE6546B64)
+            h ^= np.uint32(4)
+            h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+            h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+            h ^= h >> np.uint32(16)
+        hit = np.flatnonzero(h.view(np.int32).astype(np.int64) % parts == partition)
+        if len(hit):
+            return int(at + hit[0])
+        at += step
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: large values of a batch are not all copied at once."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+
+
 def bucketed(df: DataFrame, parts: int, name: str) -> tuple[DataFrame, str]:
-    """df as a table in the scratch folder with a bucket for every part, and its path. A task writes one part."""
+    """df as a table in the scratch folder with a bucket for every part, and its path.
+
+    A task writes one part, under the part_number of its partition.
+    """
     spark = df.sparkSession
     path, table = scratch(spark, name), f"tempora_{uuid.uuid4().hex[:12]}"
     df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(parts, "part").saveAsTable(table)

@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import bucketed, documents, materialize
+from tempora.llm.common import bucketed, documents, materialize, part_number, rows_of
 
 SPAN, PRIME = 200, 11
 V = PRIME * PRIME + PRIME + 1
 LEAD = SPAN - V + 1
 #: Bytes of text in a block (a longer document is a block of its own); keys of a bucket; least buckets.
-BLOCK, BUCKET_KEYS, LEAST_BUCKETS = 4 << 20, 1_000_000, 64
+BLOCK, BUCKET_KEYS, LEAST_BUCKETS = 2 << 20, 1_000_000, 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -146,11 +146,11 @@ BLOCKS = "part int, block int, doc_ids binary, known binary, lengths binary, dat
 _BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.binary()), ("known", pa.binary()), ("lengths", pa.binary()), ("data", pa.binary())])
 
 
-def blocks_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+def blocks_of(docs: DataFrame, key: str, text: str, parts: int) -> DataFrame:
     """Documents of an input part, in its order, packed in rows of about BLOCK bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block = TaskContext.get().partitionId(), 0
+        part, block = part_number(TaskContext.get().partitionId(), parts), 0
         ids, texts, size = [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -190,13 +190,12 @@ def _messages(rows: list[tuple]) -> pa.RecordBatch:
 
 def lead_messages(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                x = _load(r)
-                six = np.ascontiguousarray(x.keys[:, 0]).view(np.uint8).reshape(-1, 8)[:, :6]
-                rank, more = x.keys[:, 1].astype("<u4"), x.times > 1
-                body = lambda s: np.ascontiguousarray(six[s]).tobytes() + rank[s].tobytes() + np.packbits(more[s]).tobytes()  # noqa: B023, E731
-                yield _messages(list(_send(r["part"], r["block"], buckets, x.keys[:, 0], body)))
+        for r in rows_of(batches):
+            x = _load(r)
+            six = np.ascontiguousarray(x.keys[:, 0]).view(np.uint8).reshape(-1, 8)[:, :6]
+            rank, more = x.keys[:, 1].astype("<u4"), x.times > 1
+            body = lambda s: np.ascontiguousarray(six[s]).tobytes() + rank[s].tobytes() + np.packbits(more[s]).tobytes()  # noqa: B023, E731
+            yield _messages(list(_send(r["part"], r["block"], buckets, x.keys[:, 0], body)))
 
     return blocks.mapInArrow(run, MESSAGE)
 
@@ -274,14 +273,13 @@ def _open(x: Block, r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def string_messages(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                if not any(any(zlib.decompress(m["payload"])) for m in r["leads"] or ()):
-                    continue
-                _, _, strings = _open(_load(r), r)
-                keys, times = np.unique(strings, return_counts=True)
-                body = lambda s: keys[s].astype("<u8").tobytes() + np.packbits(times[s] > 1).tobytes()  # noqa: B023, E731
-                yield _messages(list(_send(r["part"], r["block"], buckets, keys, body)))
+        for r in rows_of(batches):
+            if not any(any(zlib.decompress(m["payload"])) for m in r["leads"] or ()):
+                continue
+            _, _, strings = _open(_load(r), r)
+            keys, times = np.unique(strings, return_counts=True)
+            body = lambda s: keys[s].astype("<u8").tobytes() + np.packbits(times[s] > 1).tobytes()  # noqa: B023, E731
+            yield _messages(list(_send(r["part"], r["block"], buckets, keys, body)))
 
     return blocks.mapInArrow(run, MESSAGE)
 
@@ -309,17 +307,16 @@ def results(blocks: DataFrame, kept: bool) -> DataFrame:
     schema = RESULT + (", text string" if kept else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                gone, x = _removed(r)
-                out = []
-                for i, has, a, z in zip(np.frombuffer(r["doc_ids"], "<i8").tolist(), r["known"], x.start.tolist(), x.stop.tolist()):
-                    g = gone[a:z]
-                    left = x.raw[a:z][~g].tobytes()
-                    spans = int(g[0]) + int((g[1:] & ~g[:-1]).sum()) if z > a else 0
-                    out.append((i if has else None, z - a, int(g.sum()), spans, hashlib.sha256(left).hexdigest(), *([left.decode(errors="replace")] if kept else [])))
-                kinds = [pa.int64()] * 4 + [pa.string()] * (2 if kept else 1)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[f.split(" ")[0] for f in schema.split(", ")])
+        for r in rows_of(batches):
+            gone, x = _removed(r)
+            out = []
+            for i, has, a, z in zip(np.frombuffer(r["doc_ids"], "<i8").tolist(), r["known"], x.start.tolist(), x.stop.tolist()):
+                g = gone[a:z]
+                left = x.raw[a:z][~g].tobytes()
+                spans = int(g[0]) + int((g[1:] & ~g[:-1]).sum()) if z > a else 0
+                out.append((i if has else None, z - a, int(g.sum()), spans, hashlib.sha256(left).hexdigest(), *([left.decode(errors="replace")] if kept else [])))
+            kinds = [pa.int64()] * 4 + [pa.string()] * (2 if kept else 1)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[f.split(" ")[0] for f in schema.split(", ")])
 
     return blocks.mapInArrow(run, schema)
 
@@ -332,7 +329,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
     remaining bytes come back as `text`; where a cut falls inside a character, its rest becomes U+FFFD.
     """
     parts = max(1, docs.select(key).rdd.getNumPartitions())
-    blocks, _ = bucketed(blocks_of(docs, key, text), parts, "suffix-blocks")
+    blocks, _ = bucketed(blocks_of(docs, key, text, parts), parts, "suffix-blocks")
     total = blocks.select(F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("n")).first()["n"]
     buckets = min(1 << 16, max(LEAST_BUCKETS, int(total * (PRIME + 1) / V) // BUCKET_KEYS))
     leads = ask(lead_messages(blocks, buckets), answer_leads, parts)
