@@ -20,12 +20,15 @@ def unpivot_sides(df: DataFrame, pairs: Mapping[str, tuple[str, str]], flag: str
     return df.select(*keep, F.inline(F.array(home, away)))
 
 
-def pivot_sides(events: DataFrame, sides: DataFrame, key: str, own: str, home: str, away: str, columns: Sequence[str]) -> DataFrame:
-    """events with home_ and away_ versions of the side's columns, by two equi-joins."""
-    for prefix, side in (("home_", home), ("away_", away)):
-        named = sides.select(F.col(key).alias("_k"), F.col(own).alias("_s"), *[F.col(c).alias(prefix + c) for c in columns])
-        events = events.join(named, (F.col(key) == F.col("_k")) & (F.col(side) == F.col("_s")), "left").drop("_k", "_s")
-    return events
+def pivot_sides(events: DataFrame, sides: DataFrame, key: str, flag: str, columns: Sequence[str]) -> DataFrame:
+    """events with home_ and away_ versions of the sides' columns.
+
+    Both rows of an event meet in one aggregation, so that the sides are worked out once.
+    """
+    body = F.struct(*[F.col(c) for c in columns])
+    both = sides.groupBy(F.col(key).alias("_k")).agg(F.any_value(F.when(F.col(flag), body), True).alias("_home"), F.any_value(F.when(~F.col(flag), body), True).alias("_away"))
+    named = both.select("_k", *[F.col(f"_{side}.{c}").alias(f"{side}_{c}") for side in ("home", "away") for c in columns])
+    return events.join(named, F.col(key) == F.col("_k"), "left").drop("_k")
 
 
 def points(own: str, other: str):

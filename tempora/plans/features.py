@@ -128,7 +128,7 @@ def legacy_form(apps: DataFrame) -> DataFrame:
 def product(games: DataFrame, features: DataFrame) -> DataFrame:
     """One row a match: home_ and away_ features, differences, completeness flags and labels."""
     columns = [c for c in features.columns if c not in KEYS]
-    wide = pivot_sides(games, features, "match_id", "team_id", "home_team_id", "away_team_id", columns)
+    wide = pivot_sides(games, features, "match_id", "is_home", columns)
     known = F.col("is_finished") & F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull()
     outcome = F.when(F.col("home_goals") > F.col("away_goals"), "HOME_WIN").when(F.col("home_goals") < F.col("away_goals"), "AWAY_WIN").otherwise("DRAW")
     minus = lambda c: F.col(f"home_{c}") - F.col(f"away_{c}")
