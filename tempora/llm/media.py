@@ -103,9 +103,17 @@ def _riff(b: bytes, at: int) -> int | None:
     pos = at + 12
     if end > len(b):
         return None
+    seen = set()
     while pos + 8 <= end:
-        pos += 8 + (n := struct.unpack_from("<I", b, pos + 4)[0]) + n % 2
-    return end - at if pos == end else None
+        name, n = struct.unpack_from("<4sI", b, pos)
+        if name == b"fmt " and n >= 16:
+            code, channels, rate, speed, align, bits = struct.unpack_from("<HHIIHH", b, pos + 8)
+            if code not in (1, 3, 6, 7, 0xFFFE) or align != channels * bits // 8 or speed != rate * align:
+                return None
+        seen.add(name)
+        pos += 8 + n + n % 2
+    whole = b[at + 8 : at + 12] != b"WAVE" or {b"fmt ", b"data"} <= seen
+    return end - at if pos == end and whole else None
 
 
 def _au(b: bytes, at: int) -> int | None:
