@@ -33,10 +33,10 @@ def look_back(rows: DataFrame, scope: Sequence[str], time: str, tie: str, eligib
     known = rows.where(eligible)
     rolled = [F.sum(e).over(order.rowsBetween(1 - n, 0)).alias(name) for n, sums in last.items() for name, e in sums.items()]
     kept = [F.col(c).alias(name) for name, c in (keep or {}).items()]
-    history = known.select(*[F.col(c).alias(f"_{c}") for c in scope], F.row_number().over(order).alias("_seq"), *rolled, *kept)
-    numbered = rows.withColumn("_k", F.coalesce(F.sum(F.when(eligible, 1)).over(before(scope, time, gap)), F.lit(0)).cast("int"))
-    same = [F.col(c) == F.col(f"_{c}") for c in scope] + [F.col("_k") == F.col("_seq")]
-    return numbered.join(history, same, "left").drop("_k", "_seq", *[f"_{c}" for c in scope])
+    history = known.select(*[F.col(c).alias(f"_of_{c}") for c in scope], F.row_number().over(order).alias("_seq"), *rolled, *kept)
+    numbered = rows.withColumn("_before", F.coalesce(F.sum(F.when(eligible, 1)).over(before(scope, time, gap)), F.lit(0)).cast("int"))
+    same = [F.col(c) == F.col(f"_of_{c}") for c in scope] + [F.col("_before") == F.col("_seq")]
+    return numbered.join(history, same, "left").drop("_before", "_seq", *[f"_of_{c}" for c in scope])
 
 
 def range_counts(rows: DataFrame, scope: Sequence[str], time: str, eligible: Column, spans: Mapping[str, int], gap: int = 0) -> DataFrame:
