@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tempora.llm.common import documents
 
-LOCKSTEP, REMEMBERED = 64, 300_000
+LOCKSTEP, REMEMBERED = 64, 150_000
 #: White space and pre-tokens of the word tokenizer.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")

@@ -2,14 +2,14 @@
 
 Each document's ids, with an end id, are cut into chunks where a rolling hash over the last ids says so, so that
 equal passages give equal chunks wherever they stand. A chunk is named by its hash and stored once, in the pack
-of the input part that owns it. A document's recipe lists its chunk names in order; a Merkle root over them,
+of the block that owns it. A document's recipe lists its chunk names in order; a Merkle root over them,
 and one over the documents of a part, verify what is put together again.
 
-Tables of a store: packs (rows of a part, its owned chunks), recipes (ascending doc_id, with the position of the
+Tables of a store: packs (blocks of documents with the chunks that each owns), recipes (ascending doc_id, with the position of the
 document in the stream of all ids), manifest (a root for every part).
 
-Only chunk names travel between tasks, and the contents of chunks that several parts share. Packs are bucketed
-by part: joining a part's rows with what it must drop or fetch moves no contents.
+Only chunk names travel between tasks, and the contents of chunks that several blocks share. Packs are bucketed
+by part: joining a block with what it must drop or fetch moves no contents.
 """
 
 from __future__ import annotations
@@ -31,15 +31,16 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tempora.llm.bpe import SPACE, byte_symbols
-from tempora.llm.common import bucketed, discard, documents, materialize, scratch
+from tempora.llm.common import bucketed, discard, documents, materialize, part_number, rows_of, scratch
 
-END, REMEMBERED = 2, 500_000
+END, REMEMBERED = 2, 800_000
 #: Ids under the rolling hash; a cut where its low bits are zero; least and most ids of a chunk.
 WINDOW_STEPS, CUT_MASK, LEAST, MOST = 4, np.uint64(511), 64, 4096
 NAME = 16
 #: Ranges of doc_id that running totals are computed in.
 RANGES = 1024
 _AWKWARD = re.compile(rf"[{SPACE}][{SPACE}]|\x00|[\t\r\x0b-\x1f\x7f-\xa0\u1680\u2000-\u3000]")
+_BLANKS, _RUN = {" ", "\n"}, re.compile(r"[\W_][.,]")
 _EDGE = re.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])")
 #: Fixed value: the pre-tokens of the byte-level tokenizer.
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -62,37 +63,60 @@ class Encoder:
         self.model = self.inner.model
         self.stand = dict(enumerate(byte_symbols()))
         self.ids: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.odd: set[str] = set()
         self.gear = mixed(np.arange(1 << 16))
 
-    def pieces(self, text: str) -> list[str] | None:
-        """None: the text needs the library as a whole."""
-        if "<|" in text:
-            return None
-        if _AWKWARD.search(text):
-            return _EDGE.split(text)
-        return text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
+    def plain(self, text: str) -> list[str]:
+        """Pieces of a text whose white space is single spaces and line ends, and whose stops, if they follow
+        letters or digits alone, begin pieces too."""
+        cut = text.replace("\n", "\x00\n").replace(" ", "\x00 ")
+        if not _RUN.search(text):
+            cut = cut.replace(",", "\x00,").replace(".", "\x00.")
+        return cut.split("\x00")
+
+    def word(self, w: str) -> bytes:
+        found = self.ids.get(w) or self.old.get(w)
+        if not found:
+            found = self.ids[w] = array("H", [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.stand))]).tobytes()
+        return found
 
     def learn(self, new: set[str]) -> None:
-        words, ids, stand, model = self.words, self.ids, self.stand, self.model.tokenize
+        ids, stand, tokenize = self.ids, self.stand, self.model.tokenize
         for piece in new:
-            parts = PIECE.findall(piece)
-            for w in parts:
-                if w not in words:
-                    words[w] = array("H", [t.id for t in model(w.encode().decode("latin-1").translate(stand))]).tobytes()
-            ids[piece] = words[parts[0]] if len(parts) == 1 else b"".join(map(words.__getitem__, parts))
+            if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+                ids[piece] = array("H", [t.id for t in tokenize(piece.encode().decode("latin-1").translate(stand))]).tobytes()
+            else:
+                if _AWKWARD.search(piece) or piece in _BLANKS:
+                    self.odd.add(piece)
+                ids[piece] = b"".join(map(self.word, PIECE.findall(piece)))
+
+    def remember(self, pieces: list[list[str]]) -> None:
+        """All pieces are in ids afterwards. The generation before last is forgotten."""
+        need = {p for ps in pieces for p in ps}
+        if len(self.ids) + len(need) > REMEMBERED // 2 and self.ids:
+            self.old, self.ids = self.ids, {}
+        new = need - self.ids.keys()
+        old = new & self.old.keys()
+        for p in old:
+            self.ids[p] = self.old[p]
+        if new := new - old:
+            self.learn(new)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self.pieces(t) for t in texts]
-        need = {p for ps in parts if ps for p in ps}
-        if len(self.ids) + len(need) > REMEMBERED and self.ids:
-            self.ids, self.words = {}, {}
-        if new := need - self.ids.keys():
-            self.learn(new)
+        """Ids of each text, the end id last. Texts with special tokens go to the library as a whole; those with
+        pieces that show other white space are cut again with care."""
+        parts = [[] if "<|" in t or "\x00" in t else self.plain(t) for t in texts]
+        self.remember(parts)
+        again = {i: _EDGE.split(t) for i, (t, ps) in enumerate(zip(texts, parts)) if "<|" not in t and ("\x00" in t or not self.odd.isdisjoint(ps))}
+        if again:
+            for i, ps in again.items():
+                parts[i] = ps
+            self.remember(parts)
         end = END.to_bytes(2, "little")
         out = []
         for t, ps in zip(texts, parts):
-            if ps is None:
+            if "<|" in t:
                 out.append(np.array([*self.inner.encode(t, add_special_tokens=False).ids, END], "<u2"))
             else:
                 out.append(np.frombuffer(b"".join(map(self.ids.__getitem__, ps)) + end, "<u2"))
@@ -143,127 +167,151 @@ def merkle(names: bytes) -> bytes:
     return row[0]
 
 
-PACK = "part int, row long, doc_id long, n_tokens long, root binary, names binary, lengths binary, owned binary, payload binary"
+PACK = "part int, block int, first_row long, doc_ids binary, known binary, counts binary, names binary, lengths binary, owned binary, payload binary, roots binary"
+#: Documents, and code points of them, in a row of the packs.
+BLOCK_DOCS, BLOCK_CHARS = 500, 4_000_000
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
-def cut_up(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
-    """A PACK row for each document; a chunk's ids are in the first row of the part that has it."""
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split(" ") for f in schema.split(", ")]
+    cols = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen, part, row = encoder(path), set(), TaskContext.get().partitionId(), 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
-                out = []
-                for doc, ids in zip(b.column(0).cast(pa.int64()).to_pylist(), enc.encode([t or "" for t in b.column(1).to_pylist()])):
-                    raw, begin, names, lengths, owned, payload = ids.tobytes(), 0, [], [], bytearray(), []
-                    for stop in enc.cuts(ids):
-                        chunk = raw[2 * begin : 2 * stop]
-                        name = name_of(chunk)
-                        names.append(name)
-                        lengths.append(stop - begin)
-                        owned.append(name not in seen)
-                        if owned[-1]:
-                            seen.add(name)
-                            payload.append(chunk)
-                        begin = stop
-                    flat = b"".join(names)
-                    out.append((part, (part << 32) | row, doc, len(ids), merkle(flat), flat, np.array(lengths, "<u2").tobytes(), bytes(owned), b"".join(payload)))
-                    row += 1
-                yield _batch(out, PACK)
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, PACK)
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, str]]]:
+    held, size = [], 0
+    for b in batches:
+        for doc, text in zip(b.column(0).cast(pa.int64()).to_pylist(), b.column(1).to_pylist()):
+            if held and (len(held) == BLOCK_DOCS or size + len(text or "") > BLOCK_CHARS):
+                yield held
+                held, size = [], 0
+            held.append((doc, text or ""))
+            size += len(text or "")
+    if held:
+        yield held
 
 
-_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+def cut_up(docs: DataFrame, path: str, key: str, text: str, parts: int) -> DataFrame:
+    """A PACK row for each block of documents; it has each of its chunks once."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, part, row = encoder(path), part_number(TaskContext.get().partitionId(), parts), 0
+        for block, held in enumerate(_blocks(batches)):
+            seen, counts, names, lengths, owned, payload, roots = set(), [], [], [], bytearray(), [], []
+            for ids in enc.encode([t for _, t in held]):
+                raw, begin, own = ids.tobytes(), 0, []
+                for stop in enc.cuts(ids):
+                    chunk = raw[2 * begin : 2 * stop]
+                    own.append(name := name_of(chunk))
+                    lengths.append(stop - begin)
+                    owned.append(name not in seen)
+                    if owned[-1]:
+                        seen.add(name)
+                        payload.append(chunk)
+                    begin = stop
+                counts.append(len(own))
+                names += own
+                roots.append(merkle(b"".join(own)))
+            ids = np.array([i or 0 for i, _ in held], "<i8").tobytes()
+            known = bytes(i is not None for i, _ in held)
+            yield _batch([(part, block, row, ids, known, np.array(counts, "<u4").tobytes(), b"".join(names), np.array(lengths, "<u2").tobytes(), bytes(owned), b"".join(payload), b"".join(roots))], PACK)
+            row += len(held)
 
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    fields = [f.split(" ") for f in schema.split(", ")]
-    cols = list(zip(*rows)) or [()] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
+    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, PACK)
+
+
+def _names(flat: bytes) -> list[bytes]:
+    return [flat[i : i + NAME] for i in range(0, len(flat), NAME)]
 
 
 def _owned(r: dict) -> Iterator[tuple[bytes, bytes]]:
-    """(name, ids) of the chunks in a PACK row."""
+    """(name, ids) of the chunks that a PACK row holds."""
     at = 0
-    for i, (n, own) in enumerate(zip(np.frombuffer(r["lengths"], "<u2").tolist(), r["owned"])):
+    for name, n, own in zip(_names(r["names"]), np.frombuffer(r["lengths"], "<u2").tolist(), r["owned"]):
         if own:
-            yield r["names"][NAME * i : NAME * i + NAME], r["payload"][at : at + 2 * n]
+            yield name, r["payload"][at : at + 2 * n]
             at += 2 * n
 
 
 def _index(packs: DataFrame) -> DataFrame:
-    """(name, part) of the chunks that each part has, once each."""
+    """(name, part, block) of the chunks that each block holds, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for part, names, owned in zip(*(c.to_pylist() for c in b.columns)):
-                out += [(names[NAME * i : NAME * i + NAME], part) for i, own in enumerate(owned) if own]
-            yield _batch(out, "name binary, part int")
+            for part, block, names, owned in zip(*(c.to_pylist() for c in b.columns)):
+                yield _batch([(name, part, block) for name, own in zip(_names(names), owned) if own], "name binary, part int, block int")
+
+    return packs.select("part", "block", "names", "owned").mapInArrow(run, "name binary, part int, block int")
 
-    return packs.select("part", "names", "owned").mapInArrow(run, "name binary, part int")
+
+def _beside(packs: DataFrame, rows: DataFrame, parts: int, columns: list[str], name: str) -> DataFrame:
+    """packs, each with the list of its own rows (part, block, *columns). Packs stay in their buckets: the
+    lists are dealt over as many, and narrowed to the block before they leave the JVM."""
+    lists = rows.repartition(parts, "part").groupBy("part").agg(F.collect_list(F.struct("block", *columns)).alias(name)).hint("shuffle_hash")
+    own = F.transform(F.filter(name, lambda r: r["block"] == F.col("block")), lambda r: F.struct(*[r[c].alias(c) for c in columns]))
+    return packs.join(lists, "part", "left").withColumn(name, own)
 
 
 def _drop(packs: DataFrame, losers: DataFrame, parts: int) -> DataFrame:
-    """packs without the chunks that another part owns."""
+    """packs without the chunks that another block owns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, lost = None, set()
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                if last != (last := r["part"]):
-                    lost = set(r["lost"] or ())
-                kept = [(own, name in lost) for own, name in zip(r["owned"], (r["names"][i : i + NAME] for i in range(0, len(r["names"]), NAME)))]
-                payload = b"".join(c for n, c in _owned(r) if n not in lost)
-                out.append((r["part"], r["row"], r["doc_id"], r["n_tokens"], r["root"], r["names"], r["lengths"], bytes(own and not gone for own, gone in kept), payload))
-            yield _batch(out, PACK)
+        for r in rows_of(batches):
+            lost = {x["name"] for x in r["lost"] or ()}
+            kept = bytes(own and name not in lost for name, own in zip(_names(r["names"]), r["owned"]))
+            payload = b"".join(c for n, c in _owned(r) if n not in lost)
+            yield _batch([(r["part"], r["block"], r["first_row"], r["doc_ids"], r["known"], r["counts"], r["names"], r["lengths"], kept, payload, r["roots"])], PACK)
 
-    return packs.join(losers.repartition(parts, "part").groupBy("part").agg(F.collect_list("name").alias("lost")).hint("shuffle_hash"), "part", "left").mapInArrow(run, PACK)
+    return _beside(packs, losers, parts, ["name"], "lost").mapInArrow(run, PACK)
 
 
 def _shared(packs: DataFrame, wanted: DataFrame, parts: int) -> DataFrame:
-    """(name, chunk) of the owned chunks that other parts want."""
+    """(name, chunk) of the owned chunks that other blocks want."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, want = None, set()
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                if last != (last := r["part"]):
-                    want = set(r["want"])
-                out += [(n, c) for n, c in _owned(r) if n in want]
-            yield _batch(out, "name binary, chunk binary")
-
-    lists = wanted.repartition(parts, "part").groupBy("part").agg(F.collect_set("name").alias("want")).hint("shuffle_hash")
-    return packs.join(lists, "part").mapInArrow(run, "name binary, chunk binary")
+        for r in rows_of(batches):
+            want = {x["name"] for x in r["want"] or ()}
+            if want:
+                yield _batch([(n, c) for n, c in _owned(r) if n in want], "name binary, chunk binary")
 
-
-BACK = "row long, doc_id long, n_tokens long, ids_crc32 long"
+    return _beside(packs, wanted, parts, ["name"], "want").mapInArrow(run, "name binary, chunk binary")
 
 
 def _rebuild(packs: DataFrame, fetched: DataFrame, parts: int) -> DataFrame:
     """The documents put together again: checked against their roots, with the checksum of their ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, have = None, {}
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                if last != (last := r["part"]):
-                    have = {f["name"]: f["chunk"] for f in r["fetched"] or ()}
-                own = dict(_owned(r))
-                have.update(own)
-                chunks = [have[r["names"][i : i + NAME]] for i in range(0, len(r["names"]), NAME)]
-                if merkle(b"".join(map(name_of, chunks))) != r["root"]:
-                    raise ValueError(f"document {r['doc_id']} doesn't match its root")
+        for r in rows_of(batches):
+            have = {f["name"]: f["chunk"] for f in r["fetched"] or ()}
+            have.update(_owned(r))
+            names, at, out = _names(r["names"]), 0, []
+            for k, (n, doc, known, root) in enumerate(zip(np.frombuffer(r["counts"], "<u4").tolist(), np.frombuffer(r["doc_ids"], "<i8").tolist(), r["known"], _names(r["roots"]))):
+                chunks = [have[x] for x in names[at : at + n]]
+                at += n
+                if merkle(b"".join(map(name_of, chunks))) != root:
+                    raise ValueError(f"document {doc} doesn't match its root")
                 ids = np.frombuffer(b"".join(chunks), "<u2").astype("<u4")
-                out.append((r["row"], r["doc_id"], len(ids), zlib.crc32(ids.tobytes())))
+                out.append(((r["part"] << 32) | (r["first_row"] + k), doc if known else None, len(ids), zlib.crc32(ids.tobytes())))
             yield _batch(out, BACK)
 
-    lists = fetched.repartition(parts, "part").groupBy("part").agg(F.collect_list(F.struct("name", "chunk")).alias("fetched")).hint("shuffle_hash")
-    return packs.join(lists, "part", "left").mapInArrow(run, BACK)
+    return _beside(packs, fetched, parts, ["name", "chunk"], "fetched").mapInArrow(run, BACK)
+
+
+BACK = "row long, doc_id long, n_tokens long, ids_crc32 long"
+RECIPE = "part int, row long, doc_id long, n_tokens long, root binary, names binary"
+
+
+def _recipes(packs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in rows_of(batches):
+            sizes, at, out = np.concatenate([[0], np.cumsum(np.frombuffer(r["lengths"], "<u2").astype(np.int64))]), 0, []
+            for k, (n, doc, known, root) in enumerate(zip(np.frombuffer(r["counts"], "<u4").tolist(), np.frombuffer(r["doc_ids"], "<i8").tolist(), r["known"], _names(r["roots"]))):
+                out.append((r["part"], (r["part"] << 32) | (r["first_row"] + k), doc if known else None, int(sizes[at + n] - sizes[at]), root, r["names"][NAME * at : NAME * (at + n)]))
+                at += n
+            yield _batch(out, RECIPE)
+
+    return packs.select("part", "first_row", "doc_ids", "known", "counts", "lengths", "roots", "names").mapInArrow(run, RECIPE)
 
 
 def running_start(rows: DataFrame) -> DataFrame:
@@ -285,7 +333,7 @@ def running_start(rows: DataFrame) -> DataFrame:
 
 
 def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> dict:
-    """Write the store of docs; its tables packs, recipes, manifest, and `borrowed` (part, name, owner);
+    """Write the store of docs; its tables packs, recipes, manifest, and `borrowed` (part, block, name, owner);
     `parts` is the number of its buckets.
 
     A null text has the end id alone. Repeated rows have recipes of their own and share all chunks. Null keys
@@ -294,26 +342,26 @@ def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     """
     spark = docs.sparkSession
     parts = max(1, docs.select(key).rdd.getNumPartitions())
-    first, first_path = bucketed(cut_up(docs, path, key, text), parts, "store-cut")
+    first, first_path = bucketed(cut_up(docs, path, key, text, parts), parts, "store-cut")
     index = materialize(_index(first), "store-index")
-    owners = index.groupBy("name").agg(F.min("part").alias("owner"), F.count("*").alias("n")).where("n > 1")
-    losers = materialize(index.join(owners, "name").where("part <> owner").select("part", "name", "owner"), "store-borrowed")
+    place = F.struct("part", "block")
+    owners = index.groupBy("name").agg(F.min(place).alias("owner"), F.count("*").alias("n")).where("n > 1")
+    losers = materialize(index.join(owners, "name").where(place != F.col("owner")).select("part", "block", "name", F.col("owner.part").alias("owner_part"), F.col("owner.block").alias("owner_block")), "store-borrowed")
     packs, _ = bucketed(_drop(first, losers, parts), parts, "store-packs")
     discard(spark, first_path)
-    recipes = running_start(packs.select("row", "doc_id", "n_tokens", "root", "names", "lengths"))
+    recipes = running_start(_recipes(packs)).select("range", "doc_id", "start", "n_tokens", "part", "row", "root", "names")
     recipe_path = scratch(spark, "store-recipes")
-    order = recipes.select("range", "doc_id", "start", "n_tokens", "row", "root", "names", "lengths")
-    order.repartitionByRange(F.col("range")).sortWithinPartitions("range", "start").write.option("compression", "zstd").parquet(recipe_path)
-    recipes = spark.read.schema(order.schema).parquet(recipe_path)
-    roots = packs.groupBy("part").agg(F.count("*").alias("n_docs"), F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("row", "root"))), lambda x: F.hex(x["root"]))), 256).alias("root"))
+    recipes.repartitionByRange("range").sortWithinPartitions("range", "start").write.option("compression", "zstd").parquet(recipe_path)
+    recipes = spark.read.schema(recipes.schema).parquet(recipe_path)
+    roots = packs.groupBy("part").agg(F.count("*").alias("n_blocks"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", F.sha2("roots", 256).alias("r")))), lambda x: x["r"]), ""), 256).alias("root"))
     return {"packs": packs, "recipes": recipes, "manifest": materialize(roots, "store-manifest"), "borrowed": losers, "parts": parts}
 
 
 def read(store: dict) -> DataFrame:
     """row, doc_id, start, n_tokens, ids_crc32 of every document, from the store's files."""
     packs, borrowed = store["packs"], store["borrowed"]
-    wanted = borrowed.select(F.col("owner").alias("part"), "name").distinct()
-    fetched = borrowed.select("part", "name").join(_shared(packs, wanted, store["parts"]), "name")
+    wanted = borrowed.select(F.col("owner_part").alias("part"), F.col("owner_block").alias("block"), "name").distinct()
+    fetched = borrowed.select("part", "block", "name").join(_shared(packs, wanted, store["parts"]), "name")
     back = _rebuild(packs, fetched, store["parts"])
     return store["recipes"].select("row", "start").join(back, "row").select("row", "doc_id", "start", "n_tokens", "ids_crc32")
 
