@@ -3,7 +3,7 @@
 A word's symbols stand at the leaves' positions; a leaf holds the rank of the pair that begins there, the root the
 leftmost pair of lowest rank. A merge changes three leaves, each a logarithmic update, until the root holds no
 pair. Words of up to LOCKSTEP symbols are merged together, one tree a row; longer ones alone. Encoded words are
-remembered in each Python worker, up to REMEMBERED of them.
+remembered in each Python worker, up to REMEMBERED of them in two generations.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tempora.llm.common import documents
 
-LOCKSTEP, REMEMBERED = 64, 150_000
+LOCKSTEP, REMEMBERED = 64, 800_000
 #: White space and pre-tokens of the word tokenizer.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -58,9 +58,9 @@ class WordBpe:
         self.order = np.argsort(key)
         self.keys = key[self.order]
         self.rank = {int(k): r for r, k in enumerate(key)}
-        self.ids: dict[str, bytes] = {}
-        self.text: dict[str, str] = {}
+        self.known: dict[str, tuple[bytes, str]] = {}
         self.words: dict[str, tuple[bytes, str]] = {}
+        self.old: tuple[dict, dict] = ({}, {})
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where the two don't merge."""
@@ -167,7 +167,10 @@ class WordBpe:
     def learn(self, chunks: set[str]) -> None:
         """Encode the blank-free chunks that are not remembered yet."""
         parts = {c: PIECE.findall(c) for c in chunks}
-        new = sorted({w for ws in parts.values() for w in ws} - self.words.keys(), key=lambda w: len(w.encode()))
+        need = {w for ws in parts.values() for w in ws} - self.words.keys()
+        for w in need & self.old[1].keys():
+            self.words[w] = self.old[1][w]
+        new = sorted(need - self.words.keys(), key=lambda w: len(w.encode()))
         done: list[np.ndarray] = []
         short = [self.symbols(w) for w in new]
         at = 0
@@ -184,9 +187,22 @@ class WordBpe:
         for w, ids in zip(new, done):
             self.words[w] = (ids.astype("<u4").tobytes(), " ".join(map(self.token.__getitem__, ids.tolist())))
         for c, ws in parts.items():
-            got = [self.words[w] for w in ws]
-            self.ids[c] = b"".join(x for x, _ in got)
-            self.text[c] = " ".join(x for _, x in got)
+            if len(ws) == 1:
+                self.known[c] = self.words[ws[0]]
+            else:
+                got = [self.words[w] for w in ws]
+                self.known[c] = b"".join(x for x, _ in got), " ".join(x for _, x in got)
+
+    def remember(self, need: set[str]) -> None:
+        """All chunks are in known afterwards. The generation before last is forgotten."""
+        if max(len(self.known) + len(need), len(self.words)) > REMEMBERED // 2 and self.known:
+            self.old, self.known, self.words = (self.known, self.words), {}, {}
+        new = need - self.known.keys()
+        back = new & self.old[0].keys()
+        for c in back:
+            self.known[c] = self.old[0][c]
+        if new := new - back:
+            self.learn(new)
 
     def chunks(self, text: str) -> list[str]:
         """Normalised text between white space."""
@@ -203,11 +219,7 @@ class WordBpe:
         for t in texts:
             bits = self.cut.split(t) if "<|" in t else [t]
             plain.append([b if b in self.special else self.chunks(b) for b in bits if b])
-        need = {c for bits in plain for b in bits if not isinstance(b, str) for c in b}
-        if len(self.ids) + len(need) > REMEMBERED and len(self.ids):
-            self.ids, self.text, self.words = {}, {}, {}
-        if new := need - self.ids.keys():
-            self.learn(new)
+        self.remember({c for bits in plain for b in bits if not isinstance(b, str) for c in b})
         out = []
         for bits in plain:
             ids, said = [], []
@@ -216,8 +228,9 @@ class WordBpe:
                     ids.append(self.special[b].to_bytes(4, "little"))
                     said.append(b)
                 elif b:
-                    ids += map(self.ids.__getitem__, b)
-                    said += map(self.text.__getitem__, b)
+                    own, decoded = zip(*map(self.known.__getitem__, b))
+                    ids += own
+                    said += decoded
             out.append((b"".join(ids), " ".join(x for x in said if x)))
         return out
 
