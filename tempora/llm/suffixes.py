@@ -4,7 +4,7 @@ Positions of a document that fall in a difference cover modulo V are the sample:
 passages, one in every V positions is in both samples at once. Sampled suffixes are dealt to buckets by the hash
 of their first LEAD = SPAN - V + 1 bytes, and a bucket is sorted at a time, so that memory is bounded by the
 bucket. Suffixes whose lead is unique are settled. Ties get their rank in the sample - here only equality counts,
-so a rank is the hash of the long context [p - V + 1, p + SPAN) - and ties of equal rank settle all SPAN-byte
+so a rank is the 64-bit hash of the long context [p - V + 1, p + SPAN), sent whole - and ties of equal rank settle all SPAN-byte
 strings around them. Only where ranks of one lead differ, at the ends of repeats, are the strings themselves
 compared, again bucket by bucket.
 
@@ -106,7 +106,7 @@ class Block:
         lead = self.hash(p, p + LEAD)
         context = _mix(self.hash(low, high) + ((p - low) * 1024 + (high - p)).astype(np.uint64))
         self.first, self.last = low, np.minimum(p, high - SPAN)
-        self.keys, self.at, self.times = _distinct(lead, context >> np.uint64(32))
+        self.keys, self.at, self.times = _distinct(lead, context)
 
     def spread(self, which: np.ndarray) -> np.ndarray:
         """Marks the starts of strings that the chosen sample positions stand for."""
@@ -193,7 +193,7 @@ def lead_messages(blocks: DataFrame, buckets: int) -> DataFrame:
         for r in rows_of(batches):
             x = _load(r)
             six = np.ascontiguousarray(x.keys[:, 0]).view(np.uint8).reshape(-1, 8)[:, :6]
-            rank, more = x.keys[:, 1].astype("<u4"), x.times > 1
+            rank, more = x.keys[:, 1].astype("<u8"), x.times > 1
             body = lambda s: np.ascontiguousarray(six[s]).tobytes() + rank[s].tobytes() + np.packbits(more[s]).tobytes()  # noqa: B023, E731
             yield _messages(list(_send(r["part"], r["block"], buckets, x.keys[:, 0], body)))
 
@@ -209,13 +209,13 @@ def answer_leads(table: pa.Table) -> pa.Table:
     """0: the lead is unique; 2: all of its lead have their rank twice; else 3, or 1 where its own rank is unique."""
     six, rank, times, sizes = [], [], [], []
     for p in table.column("payload").to_pylist():
-        n = next(n for n in (len(p) * 8 // 81 + d for d in range(-1, 3)) if 10 * n + (n + 7) // 8 == len(p))
+        n = next(n for n in (len(p) * 8 // 113 + d for d in range(-1, 3)) if 14 * n + (n + 7) // 8 == len(p))
         raw = np.frombuffer(p, np.uint8)
         eight = np.zeros((n, 8), np.uint8)
         eight[:, :6] = raw[: 6 * n].reshape(n, 6)
         six.append(eight.view("<u8").ravel())
-        rank.append(np.frombuffer(p, "<u4", n, 6 * n))
-        times.append(np.unpackbits(raw[10 * n :], count=n).astype(np.int64) + 1)
+        rank.append(np.frombuffer(p, "<u8", n, 6 * n))
+        times.append(np.unpackbits(raw[14 * n :], count=n).astype(np.int64) + 1)
         sizes.append(n)
     lead, ranks, times = np.concatenate(six), np.concatenate(rank), np.concatenate(times)
     order = np.lexsort((ranks, lead))

@@ -175,6 +175,21 @@ def test_exact_repeats(docs, empty):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_ranks_that_agree_in_32_bits_are_no_repeat(spark):
+    n, tail = 60_000, prose(60, 77).encode()[:192].decode(errors="ignore").encode().ljust(192, b".")
+    texts = [b"%08d" % i + tail for i in range(n)]
+    x = suffixes.Block(b"".join(texts), np.full(n, 200))
+    whole, pairs = x.hash(x.start, x.stop), set()
+    for p in np.flatnonzero(suffixes._IN_COVER):
+        if p >= 8:
+            rank = suffixes._mix(whole + np.uint64(p * 1024 + 200 - p)) >> np.uint64(32)
+            order = np.argsort(rank)
+            pairs |= {tuple(sorted(order[i : i + 2].tolist())) for i in np.flatnonzero(np.diff(rank[order]) == 0)}
+    assert pairs
+    table = spark.createDataFrame([(i, texts[i].decode()) for i in sorted({i for p in pairs for i in p})], "doc_id long, text string")
+    assert suffixes.remove_repeats(table).agg(F.sum("n_removed")).first()[0] == 0
+
+
 def base_pii(t):
     def luhn(d):
         return sum((v if i % 2 == 0 else v * 2 - 9 * (v > 4)) for i, v in enumerate(map(int, reversed(d)))) % 10 == 0
