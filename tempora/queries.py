@@ -13,7 +13,7 @@ from tempora.functions.odds import fair, implied_total, overround
 from tempora.operators.asof import as_of, as_of_where, first_of_current_run
 from tempora.operators.latest import keep_latest, latest_then, newest
 from tempora.operators.lookback import DAY
-from tempora.operators.match import best_unambiguous, interval_join
+from tempora.operators.match import best_unambiguous, interval_join, token_join
 from tempora.operators.merge import insert_if_absent, unseen, upsert, widen
 from tempora.operators.quality import CRITICAL, WARNING, Check, run
 from tempora.plans import features, forecast
@@ -373,10 +373,17 @@ _TOKENS = "list_distinct(list_filter(string_split_regex(lower({0}), '[^a-z0-9]+'
 @query(f"""WITH p AS (SELECT p_partkey, p_size, {_TOKENS.format("p_name")} AS t FROM part), q AS (SELECT p_partkey AS q_partkey, p_size AS q_size, {_TOKENS.format("p_name")} AS u FROM part WHERE p_partkey % 10 = 0)
 SELECT q_partkey, p_partkey, len(list_intersect(t, u)) / CAST(least(len(t), len(u)) AS DOUBLE) AS score FROM p JOIN q ON p_size = q_size AND p_partkey <> q_partkey WHERE least(len(t), len(u)) > 0 AND len(list_intersect(t, u)) / CAST(least(len(t), len(u)) AS DOUBLE) >= 0.5""")
 def name_overlap_match(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    p = part.select("p_partkey", "p_size", tokens(F.col("p_name"), ["de", "fc"], False).alias("t"))
-    q = part.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("q_partkey"), F.col("p_size").alias("q_size"), tokens(F.col("p_name"), ["de", "fc"], False).alias("u"))
-    return p.join(q, (F.col("p_size") == F.col("q_size")) & (F.col("p_partkey") != F.col("q_partkey"))).withColumn("score", overlap(F.col("t"), F.col("u"))).where("score >= 0.5").select("q_partkey", "p_partkey", "score")
+    """The rows of name_overlap_all that its SQL asks for: one part in ten looks for partners."""
+    return name_overlap_all(spark, sf_dir).where("q_partkey % 10 = 0")
+
+
+@query()
+def name_overlap_all(spark, sf_dir):
+    """Every part with all parts of its size whose names overlap by half. An overlap above 0 needs a shared token."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", tokens(F.col("p_name"), ["de", "fc"], False).alias("t"))
+    q = p.select(F.col("p_partkey").alias("q_partkey"), F.col("p_size").alias("q_size"), F.col("t").alias("u"))
+    pairs = token_join(p, q, [("p_size", "q_size")], "t", "u").where("p_partkey <> q_partkey")
+    return pairs.withColumn("score", overlap(F.col("t"), F.col("u"))).where("score >= 0.5").select("q_partkey", "p_partkey", "score")
 
 
 @query("""WITH a AS (SELECT event_id AS a_id, ts AS a_ts, value AS a_value FROM events WHERE event_type = 'purchase'), b AS (SELECT event_id AS b_id, ts AS b_ts, value AS b_value FROM events WHERE event_type = 'signup'),

@@ -17,6 +17,7 @@ from tempora.operators.merge import insert_if_absent, outcome, upsert, widen
 from tempora.plans import baseline, features, forecast
 from tempora.plans.export import column_role, export
 from tempora.plans.fixtures import appearances
+from tempora.queries import QUERIES
 
 START = datetime(2024, 1, 1, 15)
 
@@ -133,6 +134,23 @@ def test_names(spark):
     assert got == [0.0, 1.0, 0.0, 1.0]
 
 
+def test_every_part_looks_for_its_partners(spark, tmp_path):
+    r = random.Random(5)
+    rows = [(i, r.choice([1, 2, None]), " ".join(r.choice(["red", "hot", "ring", "de", "bolt", "gear", "Nut"]) for _ in range(r.randint(0, 4)))) for i in range(60)] + [(60, 1, None)]
+    spark.createDataFrame(rows, "p_partkey int, p_size int, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    names = {i: {w for w in (n or "").lower().split() if w != "de"} for i, _, n in rows}
+    want = {}
+    for q, size, _ in rows:
+        for p, other, _ in rows:
+            least = min(len(names[p]), len(names[q]))
+            if p != q and size is not None and size == other and least and len(names[p] & names[q]) / least >= 0.5:
+                want[q, p] = len(names[p] & names[q]) / least
+    got = [tuple(x) for x in QUERIES["name_overlap_all"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted((q, p, s) for (q, p), s in want.items())
+    some = [tuple(x) for x in QUERIES["name_overlap_match"](spark, str(tmp_path)).collect()]
+    assert sorted(some) == sorted(x for x in got if x[0] % 10 == 0)
+
+
 def test_clock():
     with pytest.raises(ValueError):
         Clock.at("2026-01-01", datetime(2026, 1, 1))
