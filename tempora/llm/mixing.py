@@ -20,7 +20,7 @@ from tempora.llm.common import BLANK, documents, materialize
 
 #: Most copies of a document, and most patterns that may reach the driver.
 MAX_COPIES, MAX_PATTERNS = 3, 100_000
-LEVEL_BITS, FILLS = 12, 2
+LEVEL_BITS, ALL = 12, (1 << 63) - 1
 
 
 def word_count(text: Column) -> Column:
@@ -121,7 +121,7 @@ def _hash(seed: int, key: str) -> Column:
 
 
 def decide(rows: DataFrame, weights=cycle_weights) -> DataFrame:
-    """One row per pattern (at most MAX_PATTERNS): mix_pattern, base copies for all, cut and fill for one more,
+    """One row per pattern (at most MAX_PATTERNS): mix_pattern, base copies for all, cuts and fill for one more,
     source_size and target of its first source. rows: pattern, size, u."""
     spark = rows.sparkSession
     found = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
@@ -134,11 +134,14 @@ def decide(rows: DataFrame, weights=cycle_weights) -> DataFrame:
     plans = spark.createDataFrame(table, kind)
     dealt = rows.join(F.broadcast(plans), rows["pattern"].eqNullSafe(plans["mix_pattern"])).drop("mix_pattern")
     cut = thresholds(dealt)
-    return materialize(plans.join(F.broadcast(cut), plans["mix_pattern"].eqNullSafe(cut["cut_pattern"]), "left").select("mix_pattern", "base", "source_size", "target", "cut", "fill"), "mix-plan")
+    return materialize(plans.join(F.broadcast(cut), plans["mix_pattern"].eqNullSafe(cut["cut_pattern"]), "left").select("mix_pattern", "base", "source_size", "target", "cuts", "fill"), "mix-plan")
 
 
-def _copies() -> Column:
-    return F.col("base") + F.when((F.col("u") <= F.col("cut")) | F.array_contains("fill", F.col("u")), 1).otherwise(0)
+def _copies(size: Column) -> Column:
+    """Copies of a row by its hash u; its size is only looked at within a cut that sets large rows aside."""
+    own = F.get(F.filter("cuts", lambda c: (F.col("u") > c["lo"]) & (F.col("u") <= c["hi"])), F.lit(0))["most"]
+    more = F.when(own.isNull(), False).when(own == ALL, True).otherwise(size <= own)
+    return F.col("base") + F.when(F.array_contains("fill", F.col("u")) | more, 1).otherwise(0)
 
 
 def sizes_of(docs: DataFrame, membership: Column | None = None, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -156,25 +159,27 @@ def mix(docs: DataFrame, membership: Column | None = None, seed: int = 7, weight
     rows = sizes_of(docs, membership, seed, key, text)
     plans = decide(rows, weights)
     whole = rows.join(F.broadcast(plans), rows["pattern"].eqNullSafe(plans["mix_pattern"]))
-    return whole.select("doc_id", "pattern", "size", "source_size", "target", _copies().alias("copies"), (_copies() * F.col("size")).alias("taken"))
+    return whole.select("doc_id", "pattern", "size", "source_size", "target", _copies(F.col("size")).alias("copies"), (_copies(F.col("size")) * F.col("size")).alias("taken"))
 
 
 def repeat(docs: DataFrame, membership: Column | None = None, seed: int = 7, weights=cycle_weights, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, all columns, as often as the mix takes them; only the plan of the patterns is joined."""
     plans = decide(sizes_of(docs, membership, seed, key, text), weights)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _pattern(membership).alias("pattern"), _hash(seed, key).alias("u"))
-    often = packed.join(F.broadcast(plans), packed["pattern"].eqNullSafe(plans["mix_pattern"])).withColumn("n", _copies().cast("int")).where("n > 0")
+    often = packed.join(F.broadcast(plans), packed["pattern"].eqNullSafe(plans["mix_pattern"])).withColumn("n", _copies(word_count(F.col("row")[text])).cast("int")).where("n > 0")
     return often.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
-def thresholds(dealt: DataFrame) -> DataFrame:
-    """cut_pattern, cut, fill: documents whose hash is at most cut, or is in fill, hold about `rest` words.
+def _cut(level: DataFrame) -> DataFrame:
+    """pattern, cut, gap: rows whose hash is at most cut hold at most `left`, and lack gap of it. level: pattern, u, size, left.
 
     Two rounds of 2**LEVEL_BITS-way histograms narrow the hash range, so that no window ever holds more than
-    a histogram's rows or a 2**-24th of a pattern; rows of one hash go together. What the last whole hash
-    leaves open is filled by the largest later document that fits.
+    a histogram's rows or a 2**-24th of a pattern; rows of one hash go together. Where all rows together hold
+    less than `left`, all are taken.
     """
-    level, done = dealt.where("rest > 0").select("pattern", "u", "size", F.col("rest").alias("left")), 63
+    sums = level.groupBy("pattern").agg(F.sum("size").alias("n"), F.first("left").alias("left"))
+    short = materialize(sums.where("n < left").select("pattern", F.lit(ALL).alias("cut"), (F.col("left") - F.col("n")).alias("gap")), "mix-short")
+    done = 63
     for _ in range(2):
         done -= LEVEL_BITS
         b = F.shiftright(F.col("u"), done)
@@ -187,15 +192,40 @@ def thresholds(dealt: DataFrame) -> DataFrame:
     near = last.withColumn("run", run)
     fits, over = F.col("run") <= F.col("left"), F.min("u") - 1
     best = near.groupBy("pattern").agg(F.coalesce(F.max(F.when(fits, F.col("u"))), over).alias("cut"), (F.first("left") - F.coalesce(F.max(F.when(fits, F.col("run"))), F.lit(0))).alias("gap"))
-    best = materialize(best.withColumnRenamed("pattern", "cut_pattern"), "mix-cuts")
-    best = best.withColumn("fill", F.array().cast("array<bigint>"))
-    for _ in range(FILLS):
-        beyond = dealt.where("rest > 0").join(F.broadcast(best), dealt["pattern"].eqNullSafe(best["cut_pattern"])).where("u > cut AND gap > 0 AND size < 2 * gap AND NOT array_contains(fill, u)")
-        whole = beyond.groupBy("pattern", "u").agg(F.sum("size").alias("n"), F.first("gap").alias("gap")).where("n > 0 AND n < 2 * gap")
-        nearest = whole.groupBy(F.col("pattern").alias("p")).agg(F.min_by(F.struct("u", "n"), F.struct(F.abs(F.col("n") - F.col("gap")), "u")).alias("x"))
-        more = F.when(F.col("x").isNotNull(), F.array("x.u")).otherwise(F.array().cast("array<bigint>"))
-        best = materialize(best.join(F.broadcast(nearest), best["cut_pattern"].eqNullSafe(nearest["p"]), "left").select("cut_pattern", "cut", F.concat("fill", more).alias("fill"), (F.col("gap") - F.coalesce("x.n", F.lit(0))).alias("gap")), "mix-cuts")
-    return best.select("cut_pattern", "cut", "fill")
+    return best.unionByName(short)
+
+
+def _open(dealt: DataFrame, best: DataFrame) -> DataFrame:
+    """pattern, u, size, gap, at of the rows that no cut has taken, in patterns that lack words and are not done."""
+    lacking = best.where("gap > 0 AND NOT done").select("cut_pattern", "cuts", "at", "gap")
+    met = dealt.where("rest > 0 AND size > 0").join(F.broadcast(lacking), dealt["pattern"].eqNullSafe(lacking["cut_pattern"]))
+    return met.where(~F.exists("cuts", lambda c: (F.col("u") > c["lo"]) & (F.col("u") <= c["hi"]) & (F.col("size") <= c["most"]))).select("pattern", "u", "size", "gap", "at")
+
+
+def thresholds(dealt: DataFrame) -> DataFrame:
+    """cut_pattern, cuts, fill: rows with a hash in (lo, hi] and at most `most` words for one of cuts, or a hash in fill, hold about `rest` words.
+
+    What the first cut leaves open is filled by further cuts of the later rows that are no larger than the gap,
+    until no whole hash fits; then one that overshoots by less than the gap is added. So no whole document
+    that is left brings the sum nearer. A cut begins at a hash that fits, so that every round takes words.
+    """
+    one = lambda lo, hi, most: F.array(F.struct(lo.alias("lo"), hi.alias("hi"), most.cast("long").alias("most")))
+    first = _cut(dealt.where("rest > 0").select("pattern", "u", "size", F.col("rest").alias("left")))
+    best = materialize(first.select(F.col("pattern").alias("cut_pattern"), one(F.lit(-1).cast("long"), F.col("cut"), F.lit(ALL)).alias("cuts"), F.col("cut").alias("at"), "gap", F.lit(False).alias("done")), "mix-cuts")
+    while not best.where("gap > 0 AND NOT done").isEmpty():
+        small = _open(dealt, best).where("u > at AND size <= gap")
+        begin = small.groupBy("pattern", "u").agg(F.sum("size").alias("n"), F.first("gap").alias("gap")).where("n <= gap").groupBy(F.col("pattern").alias("p")).agg(F.min("u").alias("begin"))
+        begin = materialize(begin, "mix-begin")
+        level = small.join(F.broadcast(begin), small["pattern"].eqNullSafe(begin["p"])).where("u >= begin").select("pattern", "u", "size", F.col("gap").alias("left"))
+        found = _cut(materialize(level, "mix-level")).withColumnRenamed("gap", "gap_")
+        found = found.join(F.broadcast(begin), found["pattern"].eqNullSafe(begin["p"])).drop("p")
+        new = best.join(F.broadcast(found), best["cut_pattern"].eqNullSafe(found["pattern"]), "left")
+        cuts = F.when(F.col("cut").isNull(), F.col("cuts")).otherwise(F.concat("cuts", one(F.col("begin") - 1, F.col("cut"), F.col("gap"))))
+        best = materialize(new.select("cut_pattern", cuts.alias("cuts"), F.coalesce("cut", "at").alias("at"), F.coalesce("gap_", "gap").alias("gap"), F.col("cut").isNull().alias("done")), "mix-cuts")
+    whole = _open(dealt, best.withColumn("done", F.lit(False))).groupBy("pattern", "u").agg(F.sum("size").alias("n"), F.first("gap").alias("gap")).where("n < 2 * gap")
+    nearest = whole.groupBy(F.col("pattern").alias("p")).agg(F.min_by("u", F.struct(F.abs(F.col("n") - F.col("gap")), "u")).alias("x"))
+    fill = F.when(F.col("x").isNotNull(), F.array("x")).otherwise(F.array().cast("array<bigint>"))
+    return materialize(best.join(F.broadcast(nearest), best["cut_pattern"].eqNullSafe(nearest["p"]), "left").select("cut_pattern", "cuts", fill.alias("fill")), "mix-fills")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

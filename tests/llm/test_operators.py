@@ -312,6 +312,22 @@ def test_mixing(spark, docs, empty):
     assert mixing.repeat(docs).columns == docs.columns
 
 
+def test_mixing_fills_what_a_long_document_leaves(spark):
+    sizes = [20_000] + [50] * 380 + [3 + i % 40 for i in range(50)]
+    rows = [(i, "w " * n, "a") for i, n in enumerate(sizes)] + [(None, "w " * 40, "a"), (None, "w " * 7, "a"), (5, "w " * 50, "a")] + [(1000 + i, "w " * 120, "b") for i in range(100)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (1, 2, 3):
+        got = [r for r in mixing.mix(table, seed=seed, weights=lambda names: {"a": 16.0, "b": 36.0}).collect() if r["pattern"] == ["a"]]
+        missing = round(got[0]["target"]) - sum(r["taken"] for r in got)
+        left = {}
+        for r in got:
+            if r["copies"] == 0:
+                left[r["doc_id"]] = left.get(r["doc_id"], 0) + r["size"]
+        assert all(abs(missing - n) >= abs(missing) for n in left.values()) and abs(missing) <= 25
+    copies = mixing.mix(table, seed=3, weights=lambda names: {"a": 16.0, "b": 36.0}).agg(F.sum("copies")).first()[0]
+    assert mixing.repeat(table, seed=3, weights=lambda names: {"a": 16.0, "b": 36.0}).count() == copies
+
+
 def test_water_fill_and_flow():
     assert mixing.water_fill([10, 100, 100], [1, 1, 1], 210) == [30.0, 90.0, 90.0]
     assert mixing.water_fill([0, 5], [1, 2], 5) == [0.0, 5.0]
