@@ -19,13 +19,15 @@ WORD = rf"[^{BLANK}]+"
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name under spark.checkpoint.dir, which driver and executors share.
 
-    Where the setting is absent (tests on one machine) a temporary folder is set once for the session.
+    Only a session on one machine may do without the setting; it gets a temporary folder. On a cluster such a
+    folder would lose rows, so that there the setting must be given.
     """
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir", None) or spark.conf.get("tempora.scratch", None)
-    if base is None:
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tempora-")
-        spark.conf.set("tempora.scratch", base)
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -36,10 +38,13 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder that nothing reads any more."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def discard(what: DataFrame | str, spark: SparkSession | None = None) -> None:
+    """Delete the scratch folder of a materialized frame, or a folder by its name, that nothing reads any more."""
+    spark = spark or what.sparkSession
+    paths = {what} if isinstance(what, str) else {f.rpartition("/")[0] for f in what.inputFiles()}
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def part_number(partition: int, parts: int) -> int:

@@ -348,7 +348,7 @@ def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     owners = index.groupBy("name").agg(F.min(place).alias("owner"), F.count("*").alias("n")).where("n > 1")
     losers = materialize(index.join(owners, "name").where(place != F.col("owner")).select("part", "block", "name", F.col("owner.part").alias("owner_part"), F.col("owner.block").alias("owner_block")), "store-borrowed")
     packs, _ = bucketed(_drop(first, losers, parts), parts, "store-packs")
-    discard(spark, first_path)
+    discard(first_path, spark)
     recipes = running_start(_recipes(packs)).select("range", "doc_id", "start", "n_tokens", "part", "row", "root", "names")
     recipe_path = scratch(spark, "store-recipes")
     recipes.repartitionByRange("range").sortWithinPartitions("range", "start").write.option("compression", "zstd").parquet(recipe_path)
