@@ -90,27 +90,56 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPAN = "start:int,end:int,found:string,left:string,right:string"
+#: Elements that a step of a running total copies at most.
+RUN = 256
 
 
-def regex_spans(text: Column, pattern: str) -> Column:
+def _bind(value: Column, use) -> Column:
+    """use(value) with value worked out once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def sums_before(numbers: Column) -> Column:
+    """For each of numbers (an array, not empty) the sum of those before it.
+
+    Runs of RUN elements are added up one by one, and their totals likewise, so that a long array isn't copied
+    at every step.
+    """
+    grow = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))
+    init = lambda a: F.slice(a, F.lit(1), F.size(a) - 1)
+    zero = F.array(F.lit(0))
+
+    def whole(n: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / RUN).cast("int")), lambda k: F.slice(n, k * RUN + 1, F.lit(RUN)))
+        totals = F.aggregate(F.transform(runs, lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x)), zero, grow)
+        return F.flatten(F.zip_with(runs, init(totals), lambda r, at: init(F.aggregate(r, F.array(at), grow))))
+
+    return _bind(numbers, whole)
+
+
+def regex_spans(text: Column, pattern: str, screen: Column | None = None) -> Column:
     """array<struct<start, end, found, left, right>> of the leftmost non-overlapping matches, in code points, end exclusive.
 
-    The text is split at the matches; lengths of pieces and matches add up to positions. left and right are
-    the pieces around a match, at most 48 code points of them. Texts without a match cost one scan.
+    The text is split at the matches; lengths of pieces and matches add up to positions. left is the match before
+    with the gap after it, right the gap behind with the next match. screen: a cheap condition without which no
+    match is possible. Texts without a match cost one scan.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(pieces.alias("gap"), found.alias("hit"), F.slice(pieces, F.lit(2), F.size(found)).alias("after"))
-    empty = F.array().cast(f"array<struct<{SPAN}>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("found"), F.right(x["gap"], F.lit(48)).alias("left"), F.left(x["after"], F.lit(48)).alias("right"))
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    walked = F.aggregate(F.slice(pairs, F.lit(1), F.size(found)), F.struct(F.lit(0).alias("pos"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"))  # one gap more than hits
+
+    def spans(x: Column) -> Column:
+        n = F.size(x) - 1
+        starts = sums_before(F.transform(F.slice(x, F.lit(1), n), lambda p: F.length(p["gap"]) + F.length(p["hit"])))
+        before = F.concat(F.array(F.lit("")), F.transform(x, lambda p: p["hit"]))
+        rows = F.arrays_zip(F.slice(x, F.lit(1), n).alias("own"), starts.alias("at"), F.slice(before, F.lit(1), n).alias("before"), F.slice(x, F.lit(2), n).alias("next"))
+        at = lambda r: r["at"] + F.length(r["own"]["gap"])
+        return F.transform(
+            rows,
+            lambda r: F.struct(at(r).alias("start"), (at(r) + F.length(r["own"]["hit"])).alias("end"), r["own"]["hit"].alias("found"), F.concat(r["before"], r["own"]["gap"]).alias("left"), F.concat(r["next"]["gap"], F.coalesce(r["next"]["hit"], F.lit(""))).alias("right")),
+        )
+
+    hit = text.rlike(pattern) if screen is None else screen & text.rlike(pattern)
+    return F.when(hit, _bind(pairs, spans)).otherwise(F.array().cast(f"array<struct<{SPAN}>>"))
 
 
 def span_string(spans: Column) -> Column:
