@@ -1,15 +1,13 @@
 """A content-addressed store of token ids.
 
 Each document's ids, with an end id, are cut into chunks where a rolling hash over the last ids says so, so that
-equal passages give equal chunks wherever they stand. A chunk is named by its hash and stored once, in the pack
-of the block that owns it. A document's recipe lists its chunk names in order; a Merkle root over them,
-and one over the documents of a part, verify what is put together again.
+equal passages give equal chunks wherever they stand. A chunk is named by its hash and stored once. A document's
+recipe lists its chunk names in order, under the root of their Merkle tree; a manifest holds a root for every
+SHARD documents in a row, and a head counts the documents and ids of all.
 
-Tables of a store: packs (blocks of documents with the chunks that each owns), recipes (ascending doc_id, with the position of the
-document in the stream of all ids), manifest (a root for every part).
-
-Only chunk names travel between tasks, and the contents of chunks that several blocks share. Packs are bucketed
-by part: joining a block with what it must drop or fetch moves no contents.
+Tables of a store: chunks (name, ids), recipes (in ascending order of doc_id, with the position of the document in
+the stream of all ids), manifest, head (with the bytes of an id). Reading starts from the recipes: it fetches chunks by name, and fails if a
+chunk, a document or a shard is missing or other than its name or root says.
 """
 
 from __future__ import annotations
@@ -24,26 +22,31 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tempora.llm.bpe import SPACE, byte_symbols
-from tempora.llm.common import bucketed, discard, documents, materialize, part_number, rows_of, scratch
+from tempora.llm.common import discard, documents, materialize, scratch
 
 END, REMEMBERED = 2, 800_000
-#: Ids under the rolling hash; a cut where its low bits are zero; least and most ids of a chunk.
+#: Ids under the rolling hash are 2**WINDOW_STEPS; a cut where its low bits are zero; least and most ids of a chunk.
 WINDOW_STEPS, CUT_MASK, LEAST, MOST = 4, np.uint64(511), 64, 4096
 NAME = 16
-#: Ranges of doc_id that running totals are computed in.
-RANGES = 1024
-_AWKWARD = re.compile(rf"[{SPACE}][{SPACE}]|\x00|[\t\r\x0b-\x1f\x7f-\xa0\u1680\u2000-\u3000]")
-_BLANKS, _RUN = {" ", "\n"}, re.compile(r"[\W_][.,]")
+#: Ranges of doc_id that running totals are computed in; documents under a root of the manifest.
+RANGES, SHARD = 1024, 4096
+#: White space that isn't ASCII's or splits otherwise; texts with it, or with a zero byte, are cut with care.
+_RARE = re.compile(r"[\x00\x1c-\x1f\x85\xa0  -     　]")
 _EDGE = re.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])")
 #: Fixed value: the pre-tokens of the byte-level tokenizer.
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+_BLANK, _ALNUM, _SIGN = np.zeros((3, 256), bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_ALNUM[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = True
+_SIGN[33:127] = ~_ALNUM[33:127]
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -55,93 +58,131 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """The tokenizers library's ids. A text is cut where pre-tokens always begin - before white space that
-    follows something else - and each distinct piece is encoded once, by the library's model, and remembered."""
+    """The tokenizers library's ids. Texts are cut where pre-tokens always begin - before white space that follows
+    something else, and before a sign that follows an ASCII letter or digit. The distinct pieces of a block are found by their bytes, and each is encoded once, by the
+    library's model, and remembered."""
 
     def __init__(self, path: str) -> None:
         self.inner = Tokenizer.from_file(path)
         self.model = self.inner.model
+        self.kind = np.dtype("<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4")
         self.stand = dict(enumerate(byte_symbols()))
-        self.ids: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.odd: set[str] = set()
-        self.gear = mixed(np.arange(1 << 16))
-
-    def plain(self, text: str) -> list[str]:
-        """Pieces of a text whose white space is single spaces and line ends, and whose stops, if they follow
-        letters or digits alone, begin pieces too."""
-        cut = text.replace("\n", "\x00\n").replace(" ", "\x00 ")
-        if not _RUN.search(text):
-            cut = cut.replace(",", "\x00,").replace(".", "\x00.")
-        return cut.split("\x00")
-
-    def word(self, w: str) -> bytes:
-        found = self.ids.get(w) or self.old.get(w)
-        if not found:
-            found = self.ids[w] = array("H", [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.stand))]).tobytes()
-        return found
-
-    def learn(self, new: set[str]) -> None:
-        ids, stand, tokenize = self.ids, self.stand, self.model.tokenize
-        for piece in new:
-            if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
-                ids[piece] = array("H", [t.id for t in tokenize(piece.encode().decode("latin-1").translate(stand))]).tobytes()
+        self.ids: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.gear = mixed(np.arange(max(1 << 16, self.inner.get_vocab_size())))
+
+    def learn(self, piece: bytes) -> bytes:
+        """Ids of a piece as bytes; the generation before last is forgotten."""
+        found = self.old.get(piece)
+        if found is None:
+            text, tokenize, stand = piece.decode(), self.model.tokenize, self.stand
+            if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+                out = tokenize(piece.decode("latin-1").translate(stand))
             else:
-                if _AWKWARD.search(piece) or piece in _BLANKS:
-                    self.odd.add(piece)
-                ids[piece] = b"".join(map(self.word, PIECE.findall(piece)))
-
-    def remember(self, pieces: list[list[str]]) -> None:
-        """All pieces are in ids afterwards. The generation before last is forgotten."""
-        need = {p for ps in pieces for p in ps}
-        if len(self.ids) + len(need) > REMEMBERED // 2 and self.ids:
+                out = [t for w in PIECE.findall(text) for t in tokenize(w.encode().decode("latin-1").translate(stand))]
+            found = array(self.kind.char, [t.id for t in out]).tobytes()
+        if len(self.ids) >= REMEMBERED // 2:
             self.old, self.ids = self.ids, {}
-        new = need - self.ids.keys()
-        old = new & self.old.keys()
-        for p in old:
-            self.ids[p] = self.old[p]
-        if new := new - old:
-            self.learn(new)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, the end id last. Texts with special tokens go to the library as a whole; those with
-        pieces that show other white space are cut again with care."""
-        parts = [[] if "<|" in t or "\x00" in t else self.plain(t) for t in texts]
-        self.remember(parts)
-        again = {i: _EDGE.split(t) for i, (t, ps) in enumerate(zip(texts, parts)) if "<|" not in t and ("\x00" in t or not self.odd.isdisjoint(ps))}
-        if again:
-            for i, ps in again.items():
-                parts[i] = ps
-            self.remember(parts)
-        end = END.to_bytes(2, "little")
-        out = []
-        for t, ps in zip(texts, parts):
-            if "<|" in t:
-                out.append(np.array([*self.inner.encode(t, add_special_tokens=False).ids, END], "<u2"))
-            else:
-                out.append(np.frombuffer(b"".join(map(self.ids.__getitem__, ps)) + end, "<u2"))
-        return out
+        self.ids[piece] = found
+        return found
 
-    def cuts(self, ids: np.ndarray) -> list[int]:
-        """Where chunks end."""
+    def pieces(self, data: bytes, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """(first byte of each piece, which distinct piece it is, the distinct pieces) of texts laid end to end.
+
+        Pieces of up to 24 bytes are told apart by three numbers that hold all their bytes; longer ones by a
+        dictionary. Equal pieces are brought together by a sort of hashes, then compared whole.
+        """
+        raw = np.frombuffer(data + bytes(24), np.uint8)
+        blank, sign = _BLANK[raw[: len(data)]], _SIGN[raw[: len(data)]]
+        mark = np.zeros(len(data), bool)
+        mark[1:] = (blank[1:] & ~blank[:-1]) | (sign[1:] & _ALNUM[raw[: len(data) - 1]])
+        mark[begin] = True
+        start = np.flatnonzero(mark)
+        size = np.diff(np.append(start, len(data)))
+        at = np.ndarray((len(data) + 17,), "<u8", raw, 0, (1,))  # the 8 bytes from every byte on
+        keys = [at[start + 8 * k] & _FIRST[np.clip(size - 8 * k, 0, 8)] for k in range(3)]
+        h = mixed(keys[0] ^ mixed(keys[1] ^ mixed(keys[2])))
+        bits = np.uint64(max(20, len(h).bit_length()))
+        h = np.sort(h >> bits << bits | np.arange(len(h), dtype=np.uint64))  # by hash, the place in the low bits
+        place = (h & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] >> bits != h[:-1] >> bits
+        which, first = np.empty(len(h), np.int64), place[new]
+        which[place] = np.cumsum(new) - 1
+        same = size <= 24
+        for k in keys:
+            same &= k == k[first][which]
+        distinct = [data[i:j] for i, j in zip(start[first].tolist(), (start + size)[first].tolist())]
+        odd = np.flatnonzero(~same).tolist()  # few: long pieces, and two that share a hash
+        told = {p: j for j, p in enumerate(distinct)} if odd else {}
+        for i in odd:
+            piece = data[start[i] : start[i] + size[i]]
+            if (j := told.get(piece)) is None:
+                j = told[piece] = len(distinct)
+                distinct.append(piece)
+            which[i] = j
+        return start, which, distinct
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, each with the end id; where each text's ids stop)."""
+        raw = [b"" if "<|" in t or _RARE.search(t) else t.encode() for t in texts]
+        length = np.array([len(r) for r in raw], np.int64)
+        stop = np.cumsum(length)
+        data = b"".join(raw)
+        owned = np.zeros(0, np.int64)
+        total = np.zeros(len(texts) + 1, np.int64)
+        if data:
+            start, which, distinct = self.pieces(data, (stop - length)[length > 0])
+            known = self.ids.get
+            table = [known(p) or self.learn(p) for p in distinct]
+            flat = np.frombuffer(b"".join(table), self.kind)
+            n = np.array([len(t) for t in table], np.int64) // self.kind.itemsize
+            size = n[which]
+            owner = np.searchsorted(stop, start, side="right")
+            total[1:] = np.bincount(owner, size, len(texts))
+            owned = flat[np.repeat((np.cumsum(n) - n)[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        other = {i: self._with_care(t) for i, t in enumerate(texts) if not raw[i] and t}
+        for i, ids in other.items():
+            total[i + 1] = len(ids)
+        edge = np.cumsum(total + 1) - 1  # of ids and end ids before each text
+        out = np.full(edge[-1], END, self.kind)
+        room = np.ones(len(out), bool)
+        room[edge[1:] - 1] = False
+        for i, ids in other.items():
+            out[edge[i] : edge[i] + len(ids)] = ids
+            room[edge[i] : edge[i] + len(ids)] = False
+        out[room] = owned
+        return out, edge[1:]
+
+    def _with_care(self, text: str) -> list[int]:
+        """Texts with special tokens go to the library whole; of the others with rare white space each piece does."""
+        if "<|" in text:
+            return self.inner.encode(text, add_special_tokens=False).ids
+        parts = [p.encode() for p in _EDGE.split(text)]
+        return np.frombuffer(b"".join(self.ids.get(p) or self.learn(p) for p in parts), self.kind).tolist()
+
+    def cuts(self, ids: np.ndarray, stops: np.ndarray) -> list[list[int]]:
+        """Where the chunks of each text end. The hash looks at 16 ids, fewer than a chunk has, so that those of
+        the text before never count."""
         h = self.gear[ids]
         for k in range(WINDOW_STEPS):
             n = 1 << k
             if len(h) > n:
                 h[n:] = h[n:] + (h[:-n] << np.uint64(n))
-        out, begin = [], 0
-        for c in (np.flatnonzero((h & CUT_MASK) == 0) + 1).tolist():
-            while c - begin > MOST:
-                begin += MOST
-                out.append(begin)
-            if c - begin >= LEAST:
-                out.append(c)
-                begin = c
-        while len(ids) - begin > MOST:
-            begin += MOST
-            out.append(begin)
-        if begin < len(ids):
-            out.append(len(ids))
+        marks = np.flatnonzero((h & CUT_MASK) == 0) + 1
+        at, out, begin = np.searchsorted(marks, stops, side="right").tolist(), [], 0
+        marks, last = marks.tolist(), 0
+        for stop, upto in zip(stops.tolist(), at):
+            own = []
+            for c in [*marks[last:upto], stop]:
+                while c - begin > MOST:
+                    begin += MOST
+                    own.append(begin)
+                if c - begin >= LEAST or c == stop > begin:
+                    own.append(c)
+                    begin = c
+            out.append(own)
+            last = upto
         return out
 
 
@@ -163,20 +204,14 @@ def merkle(names: bytes) -> bytes:
     """Root over names laid end to end; levels pair up neighbours, an odd last one moves up."""
     row = [names[i : i + NAME] for i in range(0, len(names), NAME)] or [name_of(b"")]
     while len(row) > 1:
-        row = [name_of(b"".join(row[i : i + 2])) for i in range(0, len(row), 2)]
+        row = [name_of(b"".join(row[i : i + 2])) if i + 1 < len(row) else row[i] for i in range(0, len(row), 2)]
     return row[0]
 
 
-PACK = "part int, block int, first_row long, doc_ids binary, known binary, counts binary, names binary, lengths binary, owned binary, payload binary, roots binary"
-#: Documents, and code points of them, in a row of the packs.
-BLOCK_DOCS, BLOCK_CHARS = 500, 4_000_000
-_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-
-
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    fields = [f.split(" ") for f in schema.split(", ")]
-    cols = list(zip(*rows)) or [()] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
+#: Documents, and code points of them, that are encoded together.
+BLOCK_DOCS, BLOCK_CHARS = 500, 1_000_000
+CUT = "doc_id long, n_tokens long, root binary, names array<binary>, fresh array<struct<name:binary,ids:binary>>"
+_FRESH = pa.struct([("name", pa.binary()), ("ids", pa.binary())])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, str]]]:
@@ -192,178 +227,147 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None
         yield held
 
 
-def cut_up(docs: DataFrame, path: str, key: str, text: str, parts: int) -> DataFrame:
-    """A PACK row for each block of documents; it has each of its chunks once."""
+def cut_up(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
+    """A CUT row for each document: its chunk names, and the chunks that its block shows for the first time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, row = encoder(path), part_number(TaskContext.get().partitionId(), parts), 0
-        for block, held in enumerate(_blocks(batches)):
-            seen, counts, names, lengths, owned, payload, roots = set(), [], [], [], bytearray(), [], []
-            for ids in enc.encode([t for _, t in held]):
-                raw, begin, own = ids.tobytes(), 0, []
-                for stop in enc.cuts(ids):
-                    chunk = raw[2 * begin : 2 * stop]
-                    own.append(name := name_of(chunk))
-                    lengths.append(stop - begin)
-                    owned.append(name not in seen)
-                    if owned[-1]:
+        enc = encoder(path)
+        for held in _blocks(batches):
+            ids, stops = enc.encode([t for _, t in held])
+            raw, width, begin, seen = ids.tobytes(), ids.itemsize, 0, set()
+            names, fresh, chunks, n_names, n_fresh, roots = [], [], [], [0], [0], []
+            for ends in enc.cuts(ids, stops):
+                for stop in ends:
+                    chunk = raw[width * begin : width * stop]
+                    names.append(name := name_of(chunk))
+                    if name not in seen:
                         seen.add(name)
-                        payload.append(chunk)
+                        fresh.append(name)
+                        chunks.append(chunk)
                     begin = stop
-                counts.append(len(own))
-                names += own
-                roots.append(merkle(b"".join(own)))
-            ids = np.array([i or 0 for i, _ in held], "<i8").tobytes()
-            known = bytes(i is not None for i, _ in held)
-            yield _batch([(part, block, row, ids, known, np.array(counts, "<u4").tobytes(), b"".join(names), np.array(lengths, "<u2").tobytes(), bytes(owned), b"".join(payload), b"".join(roots))], PACK)
-            row += len(held)
+                roots.append(merkle(b"".join(names[n_names[-1] :])))
+                n_names.append(len(names))
+                n_fresh.append(len(fresh))
+            new = pa.StructArray.from_arrays([pa.array(fresh, pa.binary()), pa.array(chunks, pa.binary())], fields=list(_FRESH))
+            cols = [pa.array([i for i, _ in held], pa.int64()), pa.array(np.diff(stops, prepend=0)), pa.array(roots, pa.binary()), pa.ListArray.from_arrays(pa.array(n_names, pa.int32()), pa.array(names, pa.binary())), pa.ListArray.from_arrays(pa.array(n_fresh, pa.int32()), new)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "root", "names", "fresh"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, PACK)
+    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, CUT)
 
 
-def _names(flat: bytes) -> list[bytes]:
-    return [flat[i : i + NAME] for i in range(0, len(flat), NAME)]
+def running_start(rows: DataFrame) -> DataFrame:
+    """rows with `start`, the ids of all documents before, and `shard`: ranges of doc_id first, then within."""
+    bounds = rows.approxQuantile("doc_id", [i / RANGES for i in range(1, RANGES)], 1 / (4 * RANGES))  # nulls are left out
+    at = F.lit(-1)
+    if bounds:
+        edges = F.lit(sorted({int(b) for b in bounds}))
+        at = F.coalesce(F.size(F.filter(edges, lambda e: e <= F.col("doc_id"))), F.lit(-1))
+    ranged = materialize(rows.withColumn("range", at), "store-ranges")
+    sums = sorted((r["range"], r["n"]) for r in ranged.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect())  # at most RANGES + 1 rows
+    before, total = [], 0
+    for k, n in sums:
+        before.append((k, total))
+        total += n
+    offsets = rows.sparkSession.createDataFrame(before, "range int, before long")
+    order = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "root")
+    own = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    shard = F.floor((F.row_number().over(order) - 1) / SHARD).cast("int")
+    return ranged.join(F.broadcast(offsets), "range").withColumns({"start": F.col("before") + F.coalesce(own, F.lit(0)), "shard": shard}).drop("before")
 
 
-def _owned(r: dict) -> Iterator[tuple[bytes, bytes]]:
-    """(name, ids) of the chunks that a PACK row holds."""
-    at = 0
-    for name, n, own in zip(_names(r["names"]), np.frombuffer(r["lengths"], "<u2").tolist(), r["owned"]):
-        if own:
-            yield name, r["payload"][at : at + 2 * n]
-            at += 2 * n
+MANIFEST = "range int, shard int, first long, n_docs long, n_tokens long, root binary"
 
 
-def _index(packs: DataFrame) -> DataFrame:
-    """(name, part, block) of the chunks that each block holds, once each."""
+def shards(recipes: DataFrame) -> DataFrame:
+    """A MANIFEST row for every shard, from its recipes alone."""
+    listed = recipes.groupBy("range", "shard").agg(F.min("start").alias("first"), F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("start", "root"))).alias("x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part, block, names, owned in zip(*(c.to_pylist() for c in b.columns)):
-                yield _batch([(name, part, block) for name, own in zip(_names(names), owned) if own], "name binary, part int, block int")
-
-    return packs.select("part", "block", "names", "owned").mapInArrow(run, "name binary, part int, block int")
+            roots = [merkle(b"".join(own)) for own in b.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(roots, pa.binary())], names=["range", "shard", "first", "n_docs", "n_tokens", "root"])
 
+    return listed.select("range", "shard", "first", "n_docs", "n_tokens", F.col("x.root").alias("roots")).mapInArrow(run, MANIFEST)
 
-def _beside(packs: DataFrame, rows: DataFrame, parts: int, columns: list[str], name: str) -> DataFrame:
-    """packs, each with the list of its own rows (part, block, *columns). Packs stay in their buckets: the
-    lists are dealt over as many, and narrowed to the block before they leave the JVM."""
-    lists = rows.repartition(parts, "part").groupBy("part").agg(F.collect_list(F.struct("block", *columns)).alias(name)).hint("shuffle_hash")
-    own = F.transform(F.filter(name, lambda r: r["block"] == F.col("block")), lambda r: F.struct(*[r[c].alias(c) for c in columns]))
-    return packs.join(lists, "part", "left").withColumn(name, own)
 
+def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> dict[str, DataFrame]:
+    """Write the store of docs; its tables chunks, recipes, manifest, head.
 
-def _drop(packs: DataFrame, losers: DataFrame, parts: int) -> DataFrame:
-    """packs without the chunks that another block owns."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows_of(batches):
-            lost = {x["name"] for x in r["lost"] or ()}
-            kept = bytes(own and name not in lost for name, own in zip(_names(r["names"]), r["owned"]))
-            payload = b"".join(c for n, c in _owned(r) if n not in lost)
-            yield _batch([(r["part"], r["block"], r["first_row"], r["doc_ids"], r["known"], r["counts"], r["names"], r["lengths"], kept, payload, r["roots"])], PACK)
-
-    return _beside(packs, losers, parts, ["name"], "lost").mapInArrow(run, PACK)
-
-
-def _shared(packs: DataFrame, wanted: DataFrame, parts: int) -> DataFrame:
-    """(name, chunk) of the owned chunks that other blocks want."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows_of(batches):
-            want = {x["name"] for x in r["want"] or ()}
-            if want:
-                yield _batch([(n, c) for n, c in _owned(r) if n in want], "name binary, chunk binary")
-
-    return _beside(packs, wanted, parts, ["name"], "want").mapInArrow(run, "name binary, chunk binary")
+    A null text has the end id alone. Repeated rows have recipes of their own and share all chunks. Null keys
+    come first in the stream; rows of one key stand in the order of their roots. An empty table gives empty
+    tables; other columns are not read. path: the tokenizer's file, which every executor can open.
+    """
+    spark = docs.sparkSession
+    cut = materialize(cut_up(docs, path, key, text), "store-cut")
+    fresh = cut.select(F.explode("fresh").alias("x")).select("x.name", "x.ids")
+    chunks = materialize(fresh.repartition("name").dropDuplicates(["name"]), "store-chunks")
+    placed = running_start(cut.drop("fresh")).select("range", "shard", "doc_id", "start", "n_tokens", "root", "names")
+    recipe_path = scratch(spark, "store-recipes")
+    placed.repartitionByRange("range").sortWithinPartitions("range", "start").write.option("compression", "zstd").parquet(recipe_path)
+    recipes = spark.read.schema(placed.schema).parquet(recipe_path)
+    manifest = materialize(shards(recipes), "store-manifest")
+    head = materialize(recipes.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"), F.lit(encoder(path).kind.itemsize).alias("width")), "store-head")
+    discard(cut)
+    return {"chunks": chunks, "recipes": recipes, "manifest": manifest, "head": head}
 
 
-def _rebuild(packs: DataFrame, fetched: DataFrame, parts: int) -> DataFrame:
-    """The documents put together again: checked against their roots, with the checksum of their ids."""
+def verify(store: dict[str, DataFrame]) -> None:
+    """Raise ValueError unless every shard's recipes give its root, and all shards together the head's counts."""
+    now, kept = shards(store["recipes"]).alias("now"), store["manifest"].alias("kept")
+    same = [F.col(f"now.{c}").eqNullSafe(F.col(f"kept.{c}")) for c in ("first", "n_docs", "n_tokens", "root")]
+    ok = same[0] & same[1] & same[2] & same[3]
+    both = now.join(kept, [F.col("now.range") == F.col("kept.range"), F.col("now.shard") == F.col("kept.shard")], "full")
+    told = both.agg(F.count_if(~ok).alias("bad"), F.coalesce(F.sum("now.n_docs"), F.lit(0)).alias("n_docs"), F.coalesce(F.sum("now.n_tokens"), F.lit(0)).alias("n_tokens")).first()
+    head = store["head"].first()
+    if told["bad"] or head is None or (told["n_docs"], told["n_tokens"]) != (head["n_docs"], head["n_tokens"]):
+        raise ValueError(f"{told['bad']} shards don't match their roots; {told['n_docs']} of {head and head['n_docs']} documents are there")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows_of(batches):
-            have = {f["name"]: f["chunk"] for f in r["fetched"] or ()}
-            have.update(_owned(r))
-            names, at, out = _names(r["names"]), 0, []
-            for k, (n, doc, known, root) in enumerate(zip(np.frombuffer(r["counts"], "<u4").tolist(), np.frombuffer(r["doc_ids"], "<i8").tolist(), r["known"], _names(r["roots"]))):
-                chunks = [have[x] for x in names[at : at + n]]
-                at += n
-                if merkle(b"".join(map(name_of, chunks))) != root:
-                    raise ValueError(f"document {doc} doesn't match its root")
-                ids = np.frombuffer(b"".join(chunks), "<u2").astype("<u4")
-                out.append(((r["part"] << 32) | (r["first_row"] + k), doc if known else None, len(ids), zlib.crc32(ids.tobytes())))
-            yield _batch(out, BACK)
 
-    return _beside(packs, fetched, parts, ["name", "chunk"], "fetched").mapInArrow(run, BACK)
+BACK = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-BACK = "row long, doc_id long, n_tokens long, ids_crc32 long"
-RECIPE = "part int, row long, doc_id long, n_tokens long, root binary, names binary"
+def read(store: dict[str, DataFrame]) -> DataFrame:
+    """BACK rows of every document: rebuilt from its recipe's chunks, each held against its name, all against the root.
 
+    A document's rows meet in order of its chunks and are taken up one by one; its start is its identity, as every
+    document has an id at least.
+    """
+    verify(store)
+    width = store["head"].first()["width"]
+    listed = store["recipes"].select("doc_id", "start", "n_tokens", "root", F.posexplode("names").alias("pos", "name"))
+    met = listed.join(store["chunks"], "name", "left").repartition("start").sortWithinPartitions("start", "pos")
 
-def _recipes(packs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows_of(batches):
-            sizes, at, out = np.concatenate([[0], np.cumsum(np.frombuffer(r["lengths"], "<u2").astype(np.int64))]), 0, []
-            for k, (n, doc, known, root) in enumerate(zip(np.frombuffer(r["counts"], "<u4").tolist(), np.frombuffer(r["doc_ids"], "<i8").tolist(), r["known"], _names(r["roots"]))):
-                out.append((r["part"], (r["part"] << 32) | (r["first_row"] + k), doc if known else None, int(sizes[at + n] - sizes[at]), root, r["names"][NAME * at : NAME * (at + n)]))
-                at += n
-            yield _batch(out, RECIPE)
-
-    return packs.select("part", "first_row", "doc_ids", "known", "counts", "lengths", "roots", "names").mapInArrow(run, RECIPE)
-
-
-def running_start(rows: DataFrame) -> DataFrame:
-    """rows (row, doc_id, n_tokens) with `start`, the ids of all documents before: ranges first, then within."""
-    bounds = rows.approxQuantile("doc_id", [i / RANGES for i in range(1, RANGES)], 1 / (4 * RANGES))  # nulls are left out
-    at = F.lit(-1)
-    if bounds:
-        edges = F.lit(sorted({int(b) for b in bounds}))
-        at = F.coalesce(F.size(F.filter(edges, lambda e: e <= F.col("doc_id"))), F.lit(-1))
-    ranged = materialize(rows.withColumn("range", at), "store-ranges")
-    sums = sorted((r["range"], r["n"]) for r in ranged.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect())  # at most RANGES + 1 rows
-    before, total = [], 0
-    for k, n in sums:
-        before.append((k, total))
-        total += n
-    offsets = rows.sparkSession.createDataFrame(before, "range int, before long")
-    own = F.sum("n_tokens").over(Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "row").rowsBetween(Window.unboundedPreceding, -1))
-    return ranged.join(F.broadcast(offsets), "range").withColumn("start", F.col("before") + F.coalesce(own, F.lit(0)))
+        open_: tuple | None = None
+        names, ids, out = [], [], []
 
+        def close() -> None:
+            doc, start, n, root = open_
+            flat = np.frombuffer(b"".join(ids), f"<u{width}").astype("<u4")
+            if merkle(b"".join(names)) != root or len(flat) != n:
+                raise ValueError(f"document {doc} doesn't match its root")
+            out.append((doc, start, n, zlib.crc32(flat.tobytes())))
 
-def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> dict:
-    """Write the store of docs; its tables packs, recipes, manifest, and `borrowed` (part, block, name, owner);
-    `parts` is the number of its buckets.
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 4)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    A null text has the end id alone. Repeated rows have recipes of their own and share all chunks. Null keys
-    come first in the stream. An empty table gives empty tables; other columns are not read. Ids must be
-    below 65,536. path: the tokenizer's file, which every executor can open.
-    """
-    spark = docs.sparkSession
-    parts = max(1, docs.select(key).rdd.getNumPartitions())
-    first, first_path = bucketed(cut_up(docs, path, key, text, parts), parts, "store-cut")
-    index = materialize(_index(first), "store-index")
-    place = F.struct("part", "block")
-    owners = index.groupBy("name").agg(F.min(place).alias("owner"), F.count("*").alias("n")).where("n > 1")
-    losers = materialize(index.join(owners, "name").where(place != F.col("owner")).select("part", "block", "name", F.col("owner.part").alias("owner_part"), F.col("owner.block").alias("owner_block")), "store-borrowed")
-    packs, _ = bucketed(_drop(first, losers, parts), parts, "store-packs")
-    discard(first_path, spark)
-    recipes = running_start(_recipes(packs)).select("range", "doc_id", "start", "n_tokens", "part", "row", "root", "names")
-    recipe_path = scratch(spark, "store-recipes")
-    recipes.repartitionByRange("range").sortWithinPartitions("range", "start").write.option("compression", "zstd").parquet(recipe_path)
-    recipes = spark.read.schema(recipes.schema).parquet(recipe_path)
-    roots = packs.groupBy("part").agg(F.count("*").alias("n_blocks"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", F.sha2("roots", 256).alias("r")))), lambda x: x["r"]), ""), 256).alias("root"))
-    return {"packs": packs, "recipes": recipes, "manifest": materialize(roots, "store-manifest"), "borrowed": losers, "parts": parts}
-
-
-def read(store: dict) -> DataFrame:
-    """row, doc_id, start, n_tokens, ids_crc32 of every document, from the store's files."""
-    packs, borrowed = store["packs"], store["borrowed"]
-    wanted = borrowed.select(F.col("owner_part").alias("part"), F.col("owner_block").alias("block"), "name").distinct()
-    fetched = borrowed.select("part", "block", "name").join(_shared(packs, wanted, store["parts"]), "name")
-    back = _rebuild(packs, fetched, store["parts"])
-    return store["recipes"].select("row", "start").join(back, "row").select("row", "doc_id", "start", "n_tokens", "ids_crc32")
+        for b in batches:
+            for doc, start, n, root, pos, name, chunk in zip(*(c.to_pylist() for c in b.columns)):
+                if open_ is None or open_[1] != start:
+                    if open_ is not None:
+                        close()
+                    open_, names, ids = (doc, start, n, root), [], []
+                if chunk is None or name_of(chunk) != name or pos != len(names):
+                    raise ValueError(f"a chunk of document {doc} is missing or doesn't match its name")
+                names.append(name)
+                ids.append(chunk)
+            yield batch()
+            out.clear()
+        if open_ is not None:
+            close()
+            yield batch()
+
+    return met.select("doc_id", "start", "n_tokens", "root", "pos", "name", "ids").mapInArrow(run, BACK)
 
 
 def op1_tokenstore(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,15 +64,29 @@ def test_token_store(docs, empty):
         at += len(ids)
     store = tokenstore.build(docs, path)
     assert ordered(tokenstore.read(store).select("doc_id", "start", "n_tokens", "ids_crc32")) == sorted(want, key=repr)
-    held = [n for r in store["packs"].collect() for n, _ in tokenstore._owned(r.asDict())]
-    assert len(held) == len(set(held))  # every chunk is stored once
+    names = [bytes(r["name"]) for r in store["chunks"].collect()]
+    assert len(names) == len(set(names)) and names  # every chunk is stored once
+    again = docs.groupBy("doc_id", "text").agg(F.count("*").alias("times"))  # fewer partitions behind a shuffle
+    assert {r["doc_id"]: r["ids_crc32"] for r in tokenstore.read(tokenstore.build(again, path)).collect()} == {i: c for i, _, _, c in want}
     assert tokenstore.read(tokenstore.build(empty, path)).count() == 0
 
 
-def test_token_store_notices_damage(docs):
+@pytest.mark.parametrize(
+    ("table", "damage", "match"),
+    [
+        ("chunks", lambda t: t.withColumn("ids", F.expr("cast(overlay(ids PLACING X'0102' FROM 1) AS binary)")), "name"),
+        ("chunks", lambda t: t.limit(1), "missing"),
+        ("recipes", lambda t: t.where("start > 0"), "shards"),
+        ("recipes", lambda t: t.withColumn("root", F.col("names")[0]), "shards"),
+        ("recipes", lambda t: t.withColumn("names", F.slice("names", 1, 1)), "root"),
+        ("recipes", lambda t: t.limit(0), "shards"),
+        ("manifest", lambda t: t.limit(0), "shards"),
+    ],
+)
+def test_token_store_notices_damage(docs, table, damage, match):
     store = tokenstore.build(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    store["packs"] = store["packs"].withColumn("payload", F.expr("cast(overlay(payload PLACING X'0102' FROM 1) AS binary)"))
-    with pytest.raises(Exception, match="root"):
+    store[table] = damage(store[table])
+    with pytest.raises(Exception, match=match):
         tokenstore.read(store).collect()
 
 
