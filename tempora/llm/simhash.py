@@ -1,12 +1,10 @@
 """Near duplicates by SimHash and meet-in-the-middle ball hashing.
 
-Two fingerprints at most RADIUS bits apart have a common variant within half the radius of both. All variants
-of a 64-bit fingerprint within 2 bits are 2,081; so the sparse part of the corpus is met in halves first: of two
-fingerprints at most 4 bits apart, one 32-bit half differs by 2 at most, and every fingerprint emits the
-variants within half of that, 33 for each half. Fingerprints that meet are compared. Where more than CROWD of
-them meet on a variant, comparing them would cost the square of the crowd: those emit the whole ball, in which
-any two that meet are within the radius by the triangle inequality, so that linking each to the first is
-enough. Both ways lose no link and make no false one.
+Two fingerprints at most RADIUS bits apart have a common variant within half the radius of both. Every fingerprint
+emits its whole ball of half the radius, 2,081 variants of 64 bits, and fingerprints that meet on a variant are
+verified and linked. Variants meet by their first bits: the shuffle carries a fingerprint once to each bucket of
+first bits that its ball reaches, with the number of flips it has left, and the bucket writes out the variants.
+A bucket that would hold too many is split by further bits, again and again. No link is lost, none is false.
 """
 
 from __future__ import annotations
@@ -23,12 +21,9 @@ from tempora.llm.common import documents, materialize
 from tempora.llm.components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: Fingerprints on one variant that are compared with each other; more of them take the whole ball.
-CROWD = 48
-_HALF = np.concatenate([[0], 1 << np.arange(32, dtype=np.uint64)]).astype(np.uint64)
+#: Variants that a bucket should hold, and holds at most before it is split by STEP further bits.
+BUCKET, CROWDED, STEP = 1 << 20, 1 << 23, 6
 _ONE = np.uint64(1) << np.arange(64, dtype=np.uint64)
-_TWO = np.array([_ONE[i] | _ONE[j] for i in range(64) for j in range(i)], np.uint64)
-BALL = np.concatenate([np.zeros(1, np.uint64), _ONE, _TWO])
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -59,124 +54,112 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, fp long")
 
 
-def _emit(fps: DataFrame, masks: np.ndarray, halves: bool) -> DataFrame:
-    """(variant, fp) for all masks; of both 32-bit halves, marked by bit 32, or of the whole fingerprint."""
+def flips(bits: int, most: int) -> list[np.ndarray]:
+    """Masks over the low `bits` bits with 0, 1, ... `most` (at most 2) of them set."""
+    one = _ONE[:bits]
+    i, j = np.triu_indices(bits, 1)
+    return [np.zeros(1, np.uint64), one, one[i] | one[j]][: most + 1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            every = b.column(0).to_numpy().view(np.uint64)
-            for i in range(0, len(every), 1024):
-                fp = every[i : i + 1024]
-                if halves:
-                    low, high = fp & np.uint64(0xFFFFFFFF), fp >> np.uint64(32)
-                    v = np.concatenate([low[:, None] ^ masks, (high[:, None] ^ masks) | np.uint64(1 << 32)], 1)
-                else:
-                    v = fp[:, None] ^ masks
-                yield pa.RecordBatch.from_arrays([pa.array(v.ravel().view(np.int64)), pa.array(np.repeat(fp, v.shape[1]).view(np.int64))], names=["variant", "fp"])
-
-    return fps.select("fp").mapInArrow(run, "variant long, fp long")
 
+DEALT = "bucket long, fp long, left int"
 
-def _meet(variants: DataFrame) -> DataFrame:
-    """Rows of a variant side by side."""
-    return variants.repartition("variant").sortWithinPartitions("variant", "fp")
 
+def deal(rows: DataFrame, depth: int, step: int) -> DataFrame:
+    """DEALT rows at depth + step of those at depth: a bucket is the first bits of variants, left the flips that
+    a fingerprint still has for the bits behind."""
+    half = RADIUS // 2
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, bool, bool]]:
-    """The fingerprints of each variant that several share, in pieces: (sorted fingerprints, crowded, goes on).
-
-    Only the unfinished last run of a batch is held over, and a crowded one is passed on as it comes.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks = flips(step, half)
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                bucket, fp, left = (c.to_numpy(zero_copy_only=False) for c in b.slice(at, 4096).columns)
+                own = fp.view(np.uint64) << np.uint64(depth) >> np.uint64(64 - step)
+                for n, some in enumerate(masks):
+                    may = left >= n
+                    to = (bucket[may].astype(np.uint64) << np.uint64(step))[:, None] | own[may][:, None] ^ some
+                    k = len(some)
+                    yield pa.RecordBatch.from_arrays([pa.array(to.ravel().view(np.int64)), pa.array(np.repeat(fp[may], k)), pa.array(np.repeat(left[may] - n, k).astype(np.int32))], names=["bucket", "fp", "left"])
+
+    return rows.select("bucket", "fp", "left").mapInArrow(run, DEALT)
+
+
+def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least node that each of n nodes is linked to."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+def meet(fp: np.ndarray, left: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): indices of fingerprints of one bucket that share a variant, enough of them to connect all that do.
+
+    Variants are brought together by a hash with the owner in its low bits; owners that meet are verified.
     """
-    held_v, held, crowded = None, np.empty(0, np.int64), False
-    for b in batches:
-        v, fp = b.column(0).to_numpy(), b.column(1).to_numpy()
-        if not len(v):
-            continue
-        edge = np.flatnonzero(v[1:] != v[:-1]) + 1
-        begin, stop = np.concatenate([[0], edge]), np.concatenate([edge, [len(v)]])
-        if held_v is not None and v[0] != held_v and len(held) > 1:
-            yield held, crowded or len(held) > CROWD, False
-        if held_v is None or v[0] != held_v:
-            held, crowded = np.empty(0, np.int64), False
-        many = np.flatnonzero((stop - begin > 1) | (begin == 0) | (stop == len(v)))
-        for k in many:
-            piece = fp[begin[k] : stop[k]]
-            if k == 0:
-                piece = np.concatenate([held, piece])
-            else:
-                crowded = False
-            if stop[k] == len(v):  # may go on in the next batch
-                if len(piece) > CROWD:
-                    yield piece, True, True
-                    piece, crowded = piece[:1], True
-                held_v, held = v[-1], piece
-            elif len(piece) > 1 or crowded:
-                yield piece, crowded or len(piece) > CROWD, False
-    if len(held) > 1:
-        yield held, crowded or len(held) > CROWD, False
-
-
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) within the radius, a < b; members of crowds as (fp, fp)."""
-    for fp, crowd, _ in _runs(batches):
-        if crowd:
-            a = b = fp
-        else:
-            i, j = np.triu_indices(len(fp), 1)
-            near = np.bitwise_count(fp[i].view(np.uint64) ^ fp[j].view(np.uint64)) <= RADIUS
-            a, b = fp[i[near]], fp[j[near]]
-            if len(fp) > 2 and len(a):  # a spanning forest is enough
-                keep = _forest(a, b)
-                a, b = a[keep], b[keep]
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-
-def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
-    root: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-
-    keep = []
-    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        if (p := top(x)) != (q := top(y)):
-            root[max(p, q)] = min(p, q)
-            keep.append(k)
-    return keep
-
-
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each fingerprint of a variant to the first."""
-    for fp, _, _ in _runs(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp) - 1, fp[0])), pa.array(fp[1:])], names=["a", "b"])
-
-
-def _gathered(run):
-    """Small batches are put together before they go back to the JVM."""
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for b in run(batches):
-            held.append(b)
-            rows += b.num_rows
-            if rows > 50_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, rows = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    return whole
+    bits = np.uint64(max(1, len(fp).bit_length()))
+    low = fp << np.uint64(depth) >> np.uint64(depth) if depth < 64 else np.zeros_like(fp)
+    every = [np.zeros(0, np.uint64)]
+    owner = np.arange(len(fp), dtype=np.uint64)
+    for n, some in enumerate(flips(64 - depth, RADIUS // 2)):
+        may = left >= n
+        h = (low[may][:, None] ^ some) * np.uint64(0x9E3779B97F4A7C15)
+        every.append((h >> bits << bits | owner[may][:, None]).ravel())
+    h = np.sort(np.concatenate(every))
+    who = (h & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    h >>= bits
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    run = np.cumsum(new) - 1
+    pair = np.unique(who[np.flatnonzero(new)[run[~new]]] * len(fp) + who[~new])
+    a, b = pair // len(fp), pair % len(fp)
+    near = np.bitwise_count(fp[a] ^ fp[b]) <= RADIUS
+    more = [(a[near], b[near])]
+    if not near.all():  # a hash brought strangers together: compare all of each such run
+        first, wrong = who[np.flatnonzero(new)], np.zeros(new.sum(), bool)
+        strange = set(pair[~near].tolist())
+        wrong[run[~new]] |= np.array([int(first[r]) * len(fp) + int(w) in strange for r, w in zip(run[~new], who[~new])], bool)
+        for r in np.flatnonzero(wrong):
+            own = np.unique(who[run == r])
+            i, j = np.triu_indices(len(own), 1)
+            ok = np.bitwise_count(fp[own[i]] ^ fp[own[j]]) <= RADIUS
+            more.append((own[i[ok]], own[j[ok]]))
+    return np.concatenate([x for x, _ in more]), np.concatenate([x for _, x in more])
+
+
+def _linked(depth: int):
+    def run(table: pa.Table) -> pa.Table:
+        fp, left = table.column("fp").to_numpy().view(np.uint64), table.column("left").to_numpy()
+        label = _labels(len(fp), *meet(fp, left, depth))
+        to = np.flatnonzero(label != np.arange(len(fp)))
+        return pa.table({"a": fp[label[to]].view(np.int64), "b": fp[to].view(np.int64)})
+
+    return run
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """a, b: links between distinct fingerprints that connect all that are within the radius of each other."""
-    met = materialize(_meet(_emit(fps, _HALF, True)).mapInArrow(_gathered(_near), "a long, b long").distinct(), "simhash-met")
-    crowd = materialize(met.where("a = b").select(F.col("a").alias("fp")), "simhash-crowd")
-    stars = _meet(_emit(crowd.repartition("fp"), BALL, False)).mapInArrow(_gathered(_stars), "a long, b long").distinct()
-    return met.where("a <> b").union(stars)
+    """a, b: distinct fingerprints that chains of links within the radius connect; together they connect all such."""
+    ball = sum(map(len, flips(64, RADIUS // 2)))
+    depth = min(48, max(STEP, (fps.count() * ball // BUCKET).bit_length()))
+    rows = materialize(deal(fps.select(F.lit(0).cast("long").alias("bucket"), "fp", F.lit(RADIUS // 2).alias("left")), 0, depth), "simhash-dealt")
+    found = None
+    while True:
+        sizes = np.cumsum([len(m) for m in flips(64 - depth, RADIUS // 2)] + [0] * 3)[:3].tolist()
+        held = F.sum(F.element_at(F.array(*map(F.lit, sizes)), F.col("left") + 1))
+        crowded = materialize(rows.groupBy("bucket").agg(held.alias("n")).where(F.col("n") > CROWDED).select("bucket"), "simhash-crowded")
+        last = crowded.isEmpty()
+        calm = rows if last else rows.join(crowded, "bucket", "left_anti")
+        met = materialize(calm.groupBy("bucket").applyInArrow(_linked(depth), "a long, b long"), "simhash-met")
+        found = met if found is None else found.union(met)
+        if last:
+            return found.distinct()
+        step = min(STEP, 64 - depth)
+        rows, depth = materialize(deal(rows.join(crowded, "bucket", "left_semi"), depth, step), "simhash-dealt"), depth + step
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

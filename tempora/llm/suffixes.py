@@ -328,7 +328,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
     other and all come back. An empty table gives an empty result; other columns are not read. With kept, the
     remaining bytes come back as `text`; where a cut falls inside a character, its rest becomes U+FFFD.
     """
-    parts = max(1, docs.select(key).rdd.getNumPartitions())
+    parts = max(1, docs.select(F.col(key).cast("long"), F.col(text)).rdd.getNumPartitions())
     blocks, _ = bucketed(blocks_of(docs, key, text, parts), parts, "suffix-blocks")
     total = blocks.select(F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("n")).first()["n"]
     buckets = min(1 << 16, max(LEAST_BUCKETS, int(total * (PRIME + 1) / V) // BUCKET_KEYS))

@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tempora.llm.bpe import SPACE, byte_symbols
-from tempora.llm.common import discard, documents, materialize, scratch
+from tempora.llm.common import discard, documents, materialize, release, scratch
 
 END, REMEMBERED = 2, 800_000
 #: Ids under the rolling hash are 2**WINDOW_STEPS; a cut where its low bits are zero; least and most ids of a chunk.
@@ -308,6 +308,7 @@ def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     manifest = materialize(shards(recipes), "store-manifest")
     head = materialize(recipes.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"), F.lit(encoder(path).kind.itemsize).alias("width")), "store-head")
     discard(cut)
+    release(spark)
     return {"chunks": chunks, "recipes": recipes, "manifest": manifest, "head": head}
 
 

@@ -147,7 +147,9 @@ def test_simhash(docs, empty):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(want.values()))
 
 
-def test_simhash_crowds_lose_no_link(spark):
+@pytest.mark.parametrize("crowded", [1 << 23, 2_000])
+def test_simhash_crowds_lose_no_link(spark, monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)  # the small one splits buckets again and again
     r = random.Random(3)
     centre = r.getrandbits(64)
     fps = {centre}
@@ -156,13 +158,23 @@ def test_simhash_crowds_lose_no_link(spark):
     fps |= {r.getrandbits(64) for _ in range(50)}
     signed = [f - 2**64 if f >= 2**63 else f for f in sorted(fps)]
     links = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()
-    assert all(((a ^ b) % 2**64).bit_count() <= 4 for a, b in links)
     roots = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = brute_classes(dict(zip(signed, (f % 2**64 for f in signed))))
     groups = lambda m: sorted(sorted(k for k in signed if m.get(k, k) == v) for v in {m.get(k, k) for k in signed})
     assert groups(roots) == groups(want)
 
 
+def test_simhash_emits_the_whole_ball():
+    for depth in (0, 8, 20):
+        assert sum(len(some) * sum(map(len, simhash.flips(64 - depth, 2 - k))) for k, some in enumerate(simhash.flips(depth, 2))) == 2081
+
+
+def test_strangers_of_one_hash_are_not_linked(monkeypatch):
+    fps = np.array([1, 3, 1 << 40, 1 << 50 | 1 << 40 | 1 << 41 | 0xFFF], np.uint64)
+    a, b = simhash.meet(fps, np.full(4, 2), 0)
+    assert {frozenset(x) for x in zip(a.tolist(), b.tolist())} >= {frozenset({0, 1})} and all(np.bitwise_count(fps[i] ^ fps[j]) <= 4 for i, j in zip(a, b))
+
+
 def test_components_of_a_long_path(spark):
     path = spark.range(1, 200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = components.components(path).collect()
