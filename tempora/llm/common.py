@@ -47,11 +47,6 @@ def discard(what: DataFrame | str, spark: SparkSession | None = None) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of shuffle files that no plan needs any more: Spark deletes them once its driver collects garbage."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def part_number(partition: int, parts: int) -> int:
     """A number that Spark's hash puts in bucket `partition` of `parts`, so that each has a bucket of its own."""
     if partition >= parts:

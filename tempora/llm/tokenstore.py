@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tempora.llm.bpe import SPACE, byte_symbols
-from tempora.llm.common import discard, documents, materialize, release, scratch
+from tempora.llm.common import discard, documents, materialize, scratch
 
 END, REMEMBERED = 2, 800_000
 #: Ids under the rolling hash are 2**WINDOW_STEPS; a cut where its low bits are zero; least and most ids of a chunk.
@@ -308,7 +308,6 @@ def build(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     manifest = materialize(shards(recipes), "store-manifest")
     head = materialize(recipes.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"), F.lit(encoder(path).kind.itemsize).alias("width")), "store-head")
     discard(cut)
-    release(spark)
     return {"chunks": chunks, "recipes": recipes, "manifest": manifest, "head": head}
 
 
@@ -328,24 +327,25 @@ BACK = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def read(store: dict[str, DataFrame]) -> DataFrame:
-    """BACK rows of every document: rebuilt from its recipe's chunks, each held against its name, all against the root.
+    """BACK rows of every document: rebuilt from its recipe's chunks, whose names must give the recipe's root.
 
-    A document's rows meet in order of its chunks and are taken up one by one; its start is its identity, as every
-    document has an id at least.
+    A document's start is its identity, as every document has an id at least. Its recipe comes first, its chunks
+    follow in order and are taken up one by one; beside its ids a chunk carries only its place.
     """
     verify(store)
     width = store["head"].first()["width"]
-    listed = store["recipes"].select("doc_id", "start", "n_tokens", "root", F.posexplode("names").alias("pos", "name"))
-    met = listed.join(store["chunks"], "name", "left").repartition("start").sortWithinPartitions("start", "pos")
+    listed = store["recipes"].select("start", F.posexplode("names").alias("pos", "name"))
+    found = listed.join(store["chunks"], "name", "left").select("start", "pos", "ids")
+    heads = store["recipes"].select("start", F.lit(-1).alias("pos"), "doc_id", "n_tokens", "root")
+    met = found.unionByName(heads, allowMissingColumns=True).repartition("start").sortWithinPartitions("start", "pos")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: tuple | None = None
-        names, ids, out = [], [], []
+        recipe, ids, out = None, [], []
 
         def close() -> None:
-            doc, start, n, root = open_
+            doc, start, n, root = recipe
             flat = np.frombuffer(b"".join(ids), f"<u{width}").astype("<u4")
-            if merkle(b"".join(names)) != root or len(flat) != n:
+            if merkle(b"".join(map(name_of, ids))) != root or len(flat) != n:
                 raise ValueError(f"document {doc} doesn't match its root")
             out.append((doc, start, n, zlib.crc32(flat.tobytes())))
 
@@ -353,22 +353,22 @@ def read(store: dict[str, DataFrame]) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 4)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
         for b in batches:
-            for doc, start, n, root, pos, name, chunk in zip(*(c.to_pylist() for c in b.columns)):
-                if open_ is None or open_[1] != start:
-                    if open_ is not None:
+            for start, pos, chunk, doc, n, root in zip(*(c.to_pylist() for c in b.columns)):
+                if pos < 0:
+                    if recipe:
                         close()
-                    open_, names, ids = (doc, start, n, root), [], []
-                if chunk is None or name_of(chunk) != name or pos != len(names):
-                    raise ValueError(f"a chunk of document {doc} is missing or doesn't match its name")
-                names.append(name)
-                ids.append(chunk)
+                    recipe, ids = (doc, start, n, root), []
+                elif chunk is None or recipe is None or recipe[1] != start:
+                    raise ValueError(f"a chunk or the recipe of the document at {start} is missing")
+                else:
+                    ids.append(chunk)
             yield batch()
             out.clear()
-        if open_ is not None:
+        if recipe:
             close()
             yield batch()
 
-    return met.select("doc_id", "start", "n_tokens", "root", "pos", "name", "ids").mapInArrow(run, BACK)
+    return met.select("start", "pos", "ids", "doc_id", "n_tokens", "root").mapInArrow(run, BACK)
 
 
 def op1_tokenstore(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,7 +74,7 @@ def test_token_store(docs, empty):
 @pytest.mark.parametrize(
     ("table", "damage", "match"),
     [
-        ("chunks", lambda t: t.withColumn("ids", F.expr("cast(overlay(ids PLACING X'0102' FROM 1) AS binary)")), "name"),
+        ("chunks", lambda t: t.withColumn("ids", F.expr("cast(overlay(ids PLACING X'0102' FROM 1) AS binary)")), "root"),
         ("chunks", lambda t: t.limit(1), "missing"),
         ("recipes", lambda t: t.where("start > 0"), "shards"),
         ("recipes", lambda t: t.withColumn("root", F.col("names")[0]), "shards"),
