@@ -105,8 +105,8 @@ def load(apps: DataFrame) -> DataFrame:
 
 
 def team_features(apps: DataFrame) -> DataFrame:
-    """All 87 columns of every appearance. Each family widens the rows by windows and one equi-join; keyed
-    by team first, so that one shuffle by team serves history, load and form."""
+    """All 87 columns of every appearance. Each family widens the rows by windows; every scope has the team, so
+    that one shuffle by team serves all of them."""
     out = form(load(history(apps.repartition("team_id"))))
     for scope in SCOPED:
         out = scoped_form(out, scope)

@@ -40,11 +40,13 @@ def outcome_probabilities(home: Column, away: Column, most: int = MOST) -> Colum
 def forecast(games: DataFrame, form: DataFrame) -> DataFrame:
     """Probabilities (5 digits) and expected goals (3 digits) of every match with form on both sides.
 
-    form: match_id, team_id, matches_considered, goals_scored_last_5, goals_conceded_last_5.
+    form: match_id, is_home, matches_considered, goals_scored_last_5, goals_conceded_last_5. Both sides of a match
+    meet in one aggregation, so that form is worked out once.
     """
-    league = league_before(games)
-    side = lambda p, own: form.select(F.col("match_id").alias(f"{p}_id"), F.col("team_id").alias(f"{p}_team"), F.col("matches_considered").alias(f"{p}_n"), F.col("goals_scored_last_5").alias(f"{p}_for"), F.col("goals_conceded_last_5").alias(f"{p}_against"))
-    both = league.join(side("h", "home"), (F.col("match_id") == F.col("h_id")) & (F.col("home_team_id") == F.col("h_team"))).join(side("a", "away"), (F.col("match_id") == F.col("a_id")) & (F.col("away_team_id") == F.col("a_team")))
+    of = F.struct(F.col("matches_considered").alias("n"), F.col("goals_scored_last_5").alias("for"), F.col("goals_conceded_last_5").alias("against"))
+    sides = form.groupBy(F.col("match_id").alias("f_id")).agg(F.any_value(F.when(F.col("is_home"), of), True).alias("h"), F.any_value(F.when(~F.col("is_home"), of), True).alias("a"))
+    named = sides.where("h IS NOT NULL AND a IS NOT NULL").select("f_id", *[F.col(f"{p}.{c}").alias(f"{p}_{c}") for p in "ha" for c in ("n", "for", "against")])
+    both = league_before(games).join(named, F.col("match_id") == F.col("f_id"))
     mean = (F.col("mu_home") + F.col("mu_away")) / 2
     strength = lambda goals, n: (F.col(goals) + SHRINK * mean) / ((F.col(n) + SHRINK) * mean)
     clamp = lambda c: F.least(F.greatest(c, F.lit(LOW)), F.lit(HIGH))
