@@ -9,17 +9,25 @@ from pyspark.sql.types import StructType
 
 
 class Store:
-    """base/versions/<id>/<table> and a pointer file base/CURRENT. Readers see one whole version or the one before."""
+    """base/versions/<id>/<table> and base/pointers/<number>, each with the id of a version; the greatest number counts.
+
+    A pointer appears by one rename to a name that isn't there yet, and none is ever deleted, so that readers see one
+    whole version or the one before, also after a crash between any two steps.
+    """
 
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark, self.base = spark, base.rstrip("/")
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.base).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _pointers(self) -> list[str]:
+        folder = self._path(f"{self.base}/pointers")
+        found = self._fs.listStatus(folder) if self._fs.exists(folder) else []
+        return sorted(n for n in (s.getPath().getName() for s in found) if n.isdigit())
+
     def current(self) -> str | None:
-        if not self._fs.exists(self._path(f"{self.base}/CURRENT")):
-            return None
-        return self.spark.read.text(f"{self.base}/CURRENT").first()["value"]
+        names = self._pointers()
+        return self.spark.read.text(f"{self.base}/pointers/{names[-1]}").first()["value"] if names else None
 
     def read(self, table: str, schema: str | StructType | None = None) -> DataFrame:
         """The published table; without one, an empty frame of the schema."""
@@ -41,11 +49,11 @@ class Store:
                     tables = {**tables, name: self.spark.read.parquet(s.getPath().toString())}
         for name, df in tables.items():
             df.write.parquet(f"{folder}/{name}")
-        pointer, fresh = self._path(f"{self.base}/CURRENT"), self._path(f"{self.base}/CURRENT.{version}")
+        names = self._pointers()
+        fresh, pointer = self._path(f"{self.base}/pointers/{version}.tmp"), self._path(f"{self.base}/pointers/{int(names[-1]) + 1 if names else 0:012d}")
         out = self._fs.create(fresh, True)
         out.writeBytes(version)
         out.close()
-        self._fs.delete(pointer, False)
-        if not self._fs.rename(fresh, pointer):
-            raise OSError("the new version can't be published")
+        if self._fs.exists(pointer) or not self._fs.rename(fresh, pointer):
+            raise OSError("another run has published meanwhile")
         return version
