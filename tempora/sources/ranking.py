@@ -1,109 +1,88 @@
-"""Ranking pages: HTML tables to rows, with the checks that catch a changed layout."""
+"""Ranking pages: cells by patterns, checks by aggregation over all pages; and the links of any page."""
 
 from __future__ import annotations
 
-import re
+import html as entities
 from collections.abc import Iterator
-from datetime import date, datetime
 from html.parser import HTMLParser
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Most rows of a page.
 PAGE_ROWS = 50
+COLUMNS = ["page", "ranking_date", "club_slug", "club_name", "country", "world_rank", "rating_points", "last_page", "error"]
 
 
-class _Table(HTMLParser):
-    """Cells of every table row with the links in them, the page's date and all link targets."""
+@F.pandas_udf(T.StringType())
+def _unescaped(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else entities.unescape(t))
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list[tuple[str, list[tuple[str, str]]]]] = []
-        self.date, self.targets = "", []
-        self._text: list[str] | None = None
-        self._links: list[list[str]] = []
-        self._row: list | None = None
-        self._dated = False
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        found = dict(attrs)
-        if tag == "span" and found.get("itemprop") == "dateModified":
-            self._dated = True
-        elif tag == "tr":
-            self._row = []
-        elif tag == "td" and self._row is not None:
-            self._text, self._links = [], []
-        elif tag == "a" and found.get("href"):
-            self.targets.append(found["href"])
-            if self._text is not None:
-                self._links.append([found["href"], ""])
-
-    def handle_data(self, data: str) -> None:
-        if self._dated:
-            self.date += data
-        if self._text is not None:
-            self._text.append(data)
-            if self._links:
-                self._links[-1][1] += data
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag == "span":
-            self._dated = False
-        elif tag == "td" and self._text is not None:
-            self._row.append(("".join(self._text).strip(), [(h, t.strip()) for h, t in self._links]))
-            self._text = None
-        elif tag == "tr" and self._row is not None:
-            self.rows.append(self._row)
-            self._row = None
-
-
-def parse_page(html: str, page: int) -> tuple[date, list[dict], int]:
-    """(date, ranked clubs, last page). Raises ValueError where the page isn't what it should be."""
-    t = _Table()
-    t.feed(html)
-    day = datetime.strptime(t.date.strip(), "%d %B %Y").date()
-    out = []
-    for cells in t.rows:
-        links = [x for _, found in cells for x in found]
-        club = next(((h.removeprefix("/clubs-ranking/"), n) for h, n in links if h.startswith("/clubs-ranking/")), None)
-        if club is None:
-            continue
-        country = next((n for h, n in links if h.startswith("/ranking/")), "")
-        if len(cells) < 3 or not club[1] or not country:
-            raise ValueError("a ranking row is incomplete")
-        out.append({"club_slug": club[0], "club_name": club[1], "country": country, "world_rank": int(cells[0][0].replace(",", "")), "rating_points": int(cells[2][0].replace(",", ""))})
-    if not 1 <= len(out) <= PAGE_ROWS:
-        raise ValueError(f"a page has 1 to {PAGE_ROWS} rows, this one {len(out)}")
-    if [r["world_rank"] for r in out] != [(page - 1) * PAGE_ROWS + i + 1 for i in range(len(out))]:
-        raise ValueError("ranks aren't contiguous")
-    if len({r["club_slug"] for r in out}) < len(out):
-        raise ValueError("a club occurs twice")
-    if min(r["rating_points"] for r in out) <= 0:
-        raise ValueError("points must be positive")
-    pages = [int(m[1]) for h in t.targets if (m := re.fullmatch(r"/ranking/world/(\d+)", h))]
-    return day, out, max([1, *pages])
-
-
-ROWS = "page int, ranking_date date, club_slug string, club_name string, country string, world_rank int, rating_points int, last_page int, error string"
+def _between(text: Column, tag: str) -> Column:
+    """What stands inside every element of a tag; such elements don't nest in these pages."""
+    return F.regexp_extract_all(text, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
+
+
+def _plain(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, "<[^>]*>", ""))
+
+
+def _link(row: Column, target: str, group: int) -> Column:
+    """The first link of a row to target: its rest (1) or its text (2)."""
+    return F.regexp_extract(row, rf'(?is)<a\b[^>]*\bhref="{target}([^"]*)"[^>]*>(.*?)</a>', group)
+
+
+def _number(cell: Column) -> Column:
+    return F.replace(_plain(cell), F.lit(","), F.lit("")).try_cast("int")
+
+
+def clubs(pages: DataFrame, page: str = "page", html: str = "html") -> DataFrame:
+    """A row for every ranked club as it is written, unchecked; a page without one keeps a row of nulls."""
+    body = F.coalesce(F.col(html), F.lit(""))
+    day = F.regexp_extract(body, r'(?is)<span\b[^>]*itemprop="dateModified"[^>]*>(.*?)</span>', 1)
+    ends = F.transform(F.regexp_extract_all(body, F.lit(r'href="/ranking/world/([0-9]+)"'), F.lit(1)), lambda n: n.try_cast("int"))
+    ranked = F.filter(_between(body, "tr"), lambda r: r.contains("/clubs-ranking/"))
+    rows = pages.select(F.col(page).alias("page"), F.try_to_date(F.trim(_plain(day)), "d MMMM yyyy").alias("ranking_date"), F.greatest(F.lit(1), F.array_max(ends)).alias("last_page"), F.explode_outer(ranked).alias("row"))
+    cells = _between(F.col("row"), "td")
+    return rows.select(
+        "page", "ranking_date", _link(F.col("row"), "/clubs-ranking/", 1).alias("club_slug"), _unescaped(_plain(_link(F.col("row"), "/clubs-ranking/", 2))).alias("club_name"),
+        _unescaped(_plain(_link(F.col("row"), "/ranking/", 2))).alias("country"), _number(F.get(cells, F.lit(0))).alias("world_rank"), _number(F.get(cells, F.lit(2))).alias("rating_points"), "last_page",
+    )
 
 
 def parse_pages(pages: DataFrame, page: str = "page", html: str = "html") -> DataFrame:
-    """Rows of all pages; a page that is refused gives one row with its error."""
-    kinds = pa.schema([("page", pa.int32()), ("ranking_date", pa.date32()), ("club_slug", pa.string()), ("club_name", pa.string()), ("country", pa.string()), ("world_rank", pa.int32()), ("rating_points", pa.int32()), ("last_page", pa.int32()), ("error", pa.string())])
+    """Rows of all pages; a page that is refused - one broken row refuses it - gives one row with its error.
+
+    The ranks of page n follow on from (n - 1) * PAGE_ROWS. A null page is refused like an empty one.
+    """
+    rows = clubs(pages, page, html)
+    n = F.count("club_slug")
+    broken = F.col("club_slug").isNotNull() & ~F.coalesce((F.col("club_slug") != "") & (F.col("club_name") != "") & (F.col("country") != "") & F.col("world_rank").isNotNull() & F.col("rating_points").isNotNull(), F.lit(False))
+    start = (F.col("page") - 1) * PAGE_ROWS
+    told = rows.groupBy("page").agg(
+        F.when(F.count("ranking_date") == 0, "the page has no date").when((n < 1) | (n > PAGE_ROWS), F.concat(F.lit(f"a page has 1 to {PAGE_ROWS} rows, this one "), n.cast("string")))
+        .when(F.bool_or(broken), "a ranking row is incomplete").when((F.min("world_rank") != F.first(start) + 1) | (F.max("world_rank") != F.first(start) + n) | (F.count_distinct("world_rank") != n), "ranks aren't contiguous")
+        .when(F.count_distinct("club_slug") != n, "a club occurs twice").when(F.min("rating_points") <= 0, "points must be positive").alias("error")
+    )
+    good = rows.join(told.where("error IS NULL"), "page").select(COLUMNS)
+    return good.unionByName(told.where("error IS NOT NULL"), allowMissingColumns=True).select(COLUMNS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for n, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                try:
-                    day, rows, last = parse_page(text or "", n)
-                    out += [{"page": n, "ranking_date": day, "last_page": last, "error": None, **r} for r in rows]
-                except ValueError as e:
-                    out.append({"page": n, "error": str(e)})
-            yield pa.RecordBatch.from_pylist(out, schema=kinds)
 
-    return pages.select(page, html).mapInArrow(run, ROWS)
+def one_edition(parsed: DataFrame) -> DataFrame:
+    """One row, complete or not: all pages to the last are there, accepted, and of a single date."""
+    seen = parsed.agg(F.count("error").alias("refused"), F.count_distinct("ranking_date").alias("dates"), F.count_distinct("page").alias("pages"), F.max("last_page").alias("last_page"))
+    return seen.withColumn("complete", F.coalesce((F.col("refused") == 0) & (F.col("dates") == 1) & (F.col("pages") == F.col("last_page")), F.lit(False)))
+
+
+class _Links(HTMLParser):
+    found: list[str]
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.found += [v for k, v in attrs if tag == "a" and k == "href" and v][-1:]
 
 
 def links(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -114,9 +93,10 @@ def links(pages: DataFrame, key: str, html: str) -> DataFrame:
         for b in batches:
             out = []
             for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                t = _Table()
-                t.feed(text or "")
-                out += [{key: k, "pos": i, "href": h} for i, h in enumerate(t.targets)]
+                reader = _Links()
+                reader.found = []
+                reader.feed(text or "")
+                out += [{key: k, "pos": i, "href": h} for i, h in enumerate(reader.found)]
             yield pa.RecordBatch.from_pylist(out, schema=kinds)
 
     return pages.select(key, html).mapInArrow(run, f"{key} long, pos int, href string")

@@ -64,14 +64,18 @@ def page(rows, day="1 September 2026"):
 
 def test_ranking_pages(spark):
     rows = [(1, "a", "A &amp; B", "X", "1,900"), (2, "b", "B", "Y", "1800")]
-    day, got, last = ranking.parse_page(page(rows), 1)
-    assert day == date(2026, 9, 1) and last == 63 and got[0] == {"club_slug": "a", "club_name": "A & B", "country": "X", "world_rank": 1, "rating_points": 1900}
-    for broken in ([(2, "a", "A", "X", 1)], [(1, "a", "A", "X", 0)], [(1, "a", "A", "X", 5), (2, "a", "A", "X", 4)], [(1, "a", "", "X", 5)], []):
-        with pytest.raises(ValueError):
-            ranking.parse_page(page(broken), 1)
+    broken = [[(2, "a", "A", "X", 1)], [(1, "a", "A", "X", 0)], [(1, "a", "A", "X", 5), (2, "a", "A", "X", 4)], [(1, "a", "", "X", 5)], [], [(1, "a", "A", "X", 5), (1, "b", "B", "X", 4)]]
+    many = spark.createDataFrame([(1, page(x)) for x in broken[:1]] + [(1, page(rows, "yesterday"))], "page int, html string")
+    for one in [*(spark.createDataFrame([(1, page(x))], many.schema) for x in broken), many.where("html LIKE '%yesterday%'")]:
+        assert [r["error"] is not None for r in ranking.parse_pages(one).collect()] == [True]
+    first = ranking.parse_pages(spark.createDataFrame([(1, page(rows))], many.schema)).orderBy("world_rank").first()
+    assert first.asDict() == {"page": 1, "ranking_date": date(2026, 9, 1), "last_page": 63, "club_slug": "a", "club_name": "A & B", "country": "X", "world_rank": 1, "rating_points": 1900, "error": None}
     table = spark.createDataFrame([(1, page(rows)), (2, page(rows)), (3, None)], "page int, html string")
     out = ranking.parse_pages(table).collect()
     assert [r["page"] for r in out if r["error"] is None] == [1, 1] and sorted(r["page"] for r in out if r["error"]) == [2, 3]
+    whole = [(n, page([(50 * (n - 1) + k, f"c{n}-{k}", "N", "X", 9) for k in range(1, 51)]).replace("/63", f"/{2}")) for n in (1, 2)]
+    editions = [ranking.one_edition(ranking.parse_pages(spark.createDataFrame(x, "page int, html string"))).first()["complete"] for x in (whole, whole[:1], [whole[0], (2, whole[1][1].replace("1 September", "2 September"))])]
+    assert editions == [True, False, False]
 
 
 HEAD = "team_id,observed_at,valid_from,source,source_url,squad_size,squad_min_age,squad_max_age,coach_namespace,coach_id,coach_name"
