@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.common import documents, materialize
@@ -23,6 +23,8 @@ from tempora.llm.components import components
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Variants that a bucket should hold, and holds at most before it is split by STEP further bits.
 BUCKET, CROWDED, STEP = 1 << 20, 1 << 23, 6
+#: Groups in which the fingerprints of a class fetch its least id.
+SALTS = 32
 _ONE = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
@@ -44,14 +46,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp (as a signed long) of every row; a null text counts as empty."""
+    """doc_id, fp and hash of the text (as signed longs) of every row; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t or "") for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp), b.column(2)], names=["doc_id", "fp", "hash"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(key).cast("long"), F.col(text), _text_hash(F.col(text))).mapInArrow(run, "doc_id long, fp long, hash long")
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def flips(bits: int, most: int) -> list[np.ndarray]:
@@ -162,32 +168,52 @@ def links(fps: DataFrame) -> DataFrame:
         rows, depth = materialize(deal(rows.join(crowded, "bucket", "left_semi"), depth, step), "simhash-dealt"), depth + step
 
 
+def _classed(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, fp, ...) with root, one fingerprint of their class, and component_id, its least doc_id.
+
+    A class may hold a third of all fingerprints: its least id is added up before the shuffle, and its
+    fingerprints fetch it in SALTS groups.
+    """
+    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
+    roots = components(links(fps))
+    named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    linked = named.where("root IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    alone = named.where("root IS NULL").select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id"))
+    whole = materialize(linked.join(least, ["root", "salt"]).select("fp", "root", "component_id").union(alone), "simhash-classes")
+    return rows.join(whole, "fp")
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp, component_id (least doc_id reachable) of every row.
 
     Null and blank texts share fingerprint zero and are linked like any other. Repeated rows all come back. A
     null key counts as greater than any. An empty table gives an empty result; other columns are not read.
     """
-    rows = materialize(fingerprints(docs, key, text), "simhash-rows")
-    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
-    roots = components(links(fps))
-    named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    whole = materialize(named.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-classes")
-    return rows.join(whole, "fp").select("doc_id", "fp", "component_id")
+    rows = materialize(fingerprints(docs, key, text).select("doc_id", "fp"), "simhash-rows")
+    return _classed(rows).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of the least key of each class, all columns; of rows that share a key, the first by content."""
-    found = classes(docs, key, text)
-    kept = found.groupBy(F.col("component_id").alias("simhash_kept")).agg(F.count("*").alias("simhash_n"))
-    keys = materialize(kept.join(found.groupBy(F.col("doc_id").alias("k")).agg(F.count("*").alias("simhash_times")), F.col("simhash_kept").eqNullSafe(F.col("k"))).select("simhash_kept", "simhash_times"), "simhash-kept")
-    mine = docs.join(keys, docs[key].eqNullSafe(keys["simhash_kept"]))
+    """One row of each class, all columns: the one of the least key, of equal keys the one of the least text hash,
+    of those that are alike in both the first by all columns as JSON.
+
+    Different classes stay apart even where their rows share a key or have none; a null key counts as greater
+    than any. A null text counts as empty. An empty table gives an empty one.
+    """
+    rows = materialize(fingerprints(docs, key, text), "simhash-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash"))
+    kept = _classed(rows).groupBy("root").agg(first.alias("m")).select(F.col("m.doc_id").alias("simhash_key"), F.col("m.hash").alias("simhash_hash"))
+    times = rows.groupBy("doc_id", "hash").agg(F.count("*").alias("simhash_times"))
+    keys = kept.join(times, kept["simhash_key"].eqNullSafe(times["doc_id"]) & (kept["simhash_hash"] == times["hash"]))
+    keys = materialize(keys.select("simhash_key", "simhash_hash", "simhash_times"), "simhash-kept")
+    mine = docs.join(keys, F.col(key).cast("long").eqNullSafe(F.col("simhash_key")) & (_text_hash(F.col(text)) == F.col("simhash_hash")))
     once = mine.where("simhash_times = 1").select(docs.columns)
-    if not keys.where("simhash_times > 1").limit(1).count():
+    if keys.where("simhash_times > 1").isEmpty():
         return once
-    again = mine.where("simhash_times > 1").select(docs.columns).dropDuplicates([key])
-    return once.unionByName(again)
+    row = F.struct(*docs.columns)
+    again = mine.where("simhash_times > 1").groupBy("simhash_key", "simhash_hash").agg(F.min_by(row, F.to_json(row)).alias("simhash_row"))
+    return once.unionByName(again.select("simhash_row.*"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

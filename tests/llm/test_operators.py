@@ -147,6 +147,16 @@ def test_simhash(docs, empty):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(want.values()))
 
 
+def test_keep_one_tells_classes_apart_without_keys(spark):
+    a, b, c = prose(80, 1), prose(80, 2), prose(80, 3)
+    rows = [(7, a, "x", 1), (7, b, "x", 2), (None, c, "x", 3), (None, prose(80, 4), "x", 4), (9, a, "y", 5), (None, a, "z", 6), (8, b, "v", 7), (8, b, "w", 8), (7, b, "a", 9), (3, None, "n", 10), (4, "", "e", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string, root int")
+    got = sorted(r["root"] for r in simhash.keep_one(docs).collect())
+    assert got == [1, 3, 4, 9, 10]  # of the two rows (7, b), alike in key and text, the first as JSON
+    assert simhash.keep_one(docs).columns == docs.columns
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("crowded", [1 << 23, 2_000])
 def test_simhash_crowds_lose_no_link(spark, monkeypatch, crowded):
     monkeypatch.setattr(simhash, "CROWDED", crowded)  # the small one splits buckets again and again
