@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.clock import Clock
-from tempora.operators.merge import upsert
+from tempora.operators.merge import insert_if_absent, upsert
 from tempora.operators.quality import failed, run
 from tempora.operators.sides import pivot_sides, points, unpivot_sides
 from tempora.plans import context, facts, features, forecast, odds, ranking, staging, weather
@@ -27,10 +27,11 @@ EMPTY = {
 
 @dataclass
 class Sources:
-    """raw: the football answers; everything else may be missing."""
+    """raw: the football answers; everything else may be missing. odds_source: whose odds the product may use."""
 
     raw: DataFrame
     other: dict[str, DataFrame] = field(default_factory=dict)
+    odds_source: str = odds.LIVE_SOURCE
 
     def get(self, name: str) -> DataFrame:
         return self.other[name] if name in self.other else self.raw.sparkSession.createDataFrame([], EMPTY[name])
@@ -84,11 +85,14 @@ def transform(spark: SparkSession, store: Store, sources: Sources, clock: Clock)
     hours = staging.forecasts(sources.get("raw_weather"), clock)
     t["weather_forecast"] = merged("weather_forecast", hours, ["venue_team_id", "forecast_hour_utc", "ingestion_date"], None)
     t["match_weather"] = merged("match_weather", weather.match_weather(games, t["weather_forecast"], t["dim_venue"], clock), ["match_id"], "as_of_date")
-    t["raw_odds"] = sources.get("raw_odds")
-    t["staged_odds"] = staging.odds(t["raw_odds"])
+    fetches = sources.get("raw_odds")
+    t["raw_odds"] = insert_if_absent(store.read("raw_odds", fetches.schema), fetches, ["raw_id"], [F.col("ingested_at"), F.col("payload")])
+    stored = store.read("staged_odds", staging.odds(t["raw_odds"]).schema)
+    t["staged_odds"] = stored.unionByName(staging.odds(t["raw_odds"], stored))
     staged = t["staged_odds"]
     events = staged.groupBy("event_id").agg(*[F.max_by(c, "fetched_at").alias(c) for c in ("commence_time", "home_team_name", "away_team_name")])
-    t["event_match"] = odds.resolve(events, odds.fixtures(games, t["dim_team"], sources.get("aliases")))
+    sides = odds.fixtures(games, t["dim_team"], sources.get("aliases"))
+    t["event_match"] = odds.resolve_open(store.read("event_match", odds.resolve(events, sides).schema), events, sides)
     t["bookmaker_odds"] = odds.priced(odds.changes(staged, t["event_match"]))
     snapshots = context.api_snapshots(sources.raw, sources.get("runs"), clock)
     if "imports" in sources.other:
@@ -101,7 +105,7 @@ def transform(spark: SparkSession, store: Store, sources: Sources, clock: Clock)
     t["team_features"] = features.team_features(own)
     mapping = ranking.resolve(t["dim_team"], sources.get("ranking_pages"), sources.get("reviewed"))
     rankings = ranking.team_rankings(sources.get("ranking_pages"), mapping)
-    t["product"] = wide(training, t["team_features"], t["team_context"], t["match_weather"], odds.training_summary(training, t["bookmaker_odds"]), rankings)
+    t["product"] = wide(training, t["team_features"], t["team_context"], t["match_weather"], odds.training_summary(training, odds.training_quotes(staged, t["raw_odds"], t["event_match"], sources.odds_source)), rankings)
     t["team_crest"] = sources.get("team_crest")
     return t
 

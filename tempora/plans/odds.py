@@ -16,6 +16,8 @@ TOLERANCE, THRESHOLD = 3 * 3_600_000_000, 0.6
 PRICES = ["home_price", "draw_price", "away_price"]
 LOW_PRICE, HIGH_PRICE, LOW_MARGIN, HIGH_MARGIN = 1.01, 1000, -0.02, 0.30
 QUOTE = ["match_id", "bookmaker_key", "market_key", "source_updated_at", *PRICES]
+#: Fixed value: the source of live fetches. Recorded samples have another and stay out of the training product.
+LIVE_SOURCE = "the-odds-api.com"
 
 
 def fixtures(games: DataFrame, teams: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -54,10 +56,15 @@ def resolve_open(stored: DataFrame, events: DataFrame, fixtures: DataFrame) -> D
     return settled.unionByName(resolve(todo, fixtures))
 
 
+def by_role(staged: DataFrame, *keys: str) -> DataFrame:
+    """One row for each quote, with the prices of its three outcomes."""
+    role = lambda r, name: F.max(F.when(F.col("outcome_role") == r, F.col("price"))).alias(name)
+    return staged.groupBy(*keys).agg(role("HOME", "home_price"), role("DRAW", "draw_price"), role("AWAY", "away_price"))
+
+
 def changes(staged: DataFrame, resolved: DataFrame) -> DataFrame:
     """One row for each distinct quote of a match, with the interval in which it was seen. Null prices are equal."""
-    role = lambda r, name: F.max(F.when(F.col("outcome_role") == r, F.col("price"))).alias(name)
-    quotes = staged.groupBy("fetched_at", "event_id", "bookmaker_key", "bookmaker_title", "market_key", "source_updated_at").agg(role("HOME", "home_price"), role("DRAW", "draw_price"), role("AWAY", "away_price"))
+    quotes = by_role(staged, "fetched_at", "event_id", "bookmaker_key", "bookmaker_title", "market_key", "source_updated_at")
     known = quotes.join(resolved.where("match_id IS NOT NULL").select("event_id", "match_id"), "event_id")
     return known.groupBy(*QUOTE).agg(F.min("fetched_at").alias("first_seen_at"), F.max("fetched_at").alias("last_seen_at"), F.max_by("bookmaker_title", F.struct("fetched_at", "bookmaker_title")).alias("bookmaker_title"))
 
@@ -97,15 +104,21 @@ def comparison(predictions: DataFrame, quotes: DataFrame) -> DataFrame:
     return both.withColumns(made)
 
 
-def training_summary(games: DataFrame, quotes: DataFrame, own_source: str | None = None) -> DataFrame:
-    """Per match, over each bookmaker's last quote that could be seen before kick-off.
+def training_quotes(staged: DataFrame, raw: DataFrame, resolved: DataFrame, source: str = LIVE_SOURCE) -> DataFrame:
+    """The quotes of every live fetch, not collapsed: a sample or an equal quote of another fetch gives none its time."""
+    live = staged.join(raw.where(F.col("source") == source).select("raw_id").distinct(), "raw_id", "left_semi")
+    known = live.join(resolved.where("match_id IS NOT NULL").select("event_id", "match_id"), "event_id")
+    quotes = by_role(known, "raw_id", "match_id", "bookmaker_key", "market_key", "source_updated_at", "fetched_at")
+    return priced(quotes.withColumnsRenamed({"raw_id": "odds_id", "fetched_at": "first_seen_at"}))
+
+
+def training_summary(games: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Per match, over each bookmaker's last of training_quotes that could be seen before kick-off.
 
-    Incomplete and implausible quotes go after the selection: they must not bring older ones back. quotes may
-    have `source`; recorded samples are left out when own_source names the real one.
+    Incomplete and implausible quotes go after the selection: they must not bring older ones back.
     """
-    seen = quotes if own_source is None else quotes.where(F.col("source") == own_source)
-    before = seen.where("market_key = 'h2h'").join(games.select("match_id", "utc_kickoff"), "match_id").where("first_seen_at < utc_kickoff AND source_updated_at < utc_kickoff")
-    last = keep_latest(before, ["match_id", "bookmaker_key"], newest("source_updated_at", "first_seen_at"))
+    before = quotes.where("market_key = 'h2h'").join(games.select("match_id", "utc_kickoff"), "match_id").where("first_seen_at < utc_kickoff AND source_updated_at < utc_kickoff")
+    last = keep_latest(before, ["match_id", "bookmaker_key"], newest("source_updated_at", "first_seen_at", "odds_id"))
     fine = F.col("is_complete") & F.col("overround").between(LOW_MARGIN, HIGH_MARGIN)
     for p in PRICES:
         fine = fine & F.col(p).between(LOW_PRICE, HIGH_PRICE)

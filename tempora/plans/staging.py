@@ -88,17 +88,20 @@ def forecasts(raw: DataFrame, clock: Clock) -> DataFrame:
 
 
 def odds(raw: DataFrame, staged: DataFrame | None = None) -> DataFrame:
-    """Outcome rows of the fetches that aren't staged yet: four levels of lists, missing ones empty."""
+    """Outcome rows of the fetches that aren't staged yet: four levels of lists, missing ones empty.
+
+    Of several rows of one fetch, event, bookmaker, market and outcome the first in the answer counts.
+    """
     fresh = raw if staged is None else raw.join(staged.select("raw_id").distinct(), "raw_id", "left_anti")
-    e = fresh.where(F.col("payload").rlike(r"^\s*\[")).select("raw_id", "ingested_at", F.explode(F.from_json("payload", ODDS)).alias("e"))
-    b = e.select("*", F.explode("e.bookmakers").alias("b"))  # a missing list explodes to nothing
-    m = b.select("*", F.explode("b.markets").alias("m")).where("m.key = 'h2h'")
-    o = m.select("*", F.explode("m.outcomes").alias("o"))
+    e = fresh.where(F.col("payload").rlike(r"^\s*\[")).select("raw_id", "ingested_at", F.posexplode(F.from_json("payload", ODDS)).alias("at_e", "e"))
+    b = e.select("*", F.posexplode("e.bookmakers").alias("at_b", "b"))  # a missing list explodes to nothing
+    m = b.select("*", F.posexplode("b.markets").alias("at_m", "m")).where("m.key = 'h2h'")
+    o = m.select("*", F.posexplode("m.outcomes").alias("at_o", "o"))
     role = F.when(F.col("o.name") == F.col("e.home_team"), "HOME").when(F.col("o.name") == F.col("e.away_team"), "AWAY").when(F.lower("o.name") == "draw", "DRAW")
     rows = o.select(
         "raw_id", F.col("ingested_at").alias("fetched_at"), F.col("e.id").alias("event_id"), F.col("e.commence_time").alias("commence_time"), F.col("e.home_team").alias("home_team_name"),
         F.col("e.away_team").alias("away_team_name"), F.col("b.key").alias("bookmaker_key"), F.coalesce("b.title", "b.key").alias("bookmaker_title"), F.col("m.key").alias("market_key"),
-        F.coalesce("m.last_update", "b.last_update", "ingested_at").alias("source_updated_at"), role.alias("outcome_role"), F.col("o.name").alias("outcome_name"), F.col("o.price").alias("price"),
+        F.coalesce("m.last_update", "b.last_update", "ingested_at").alias("source_updated_at"), role.alias("outcome_role"), F.col("o.name").alias("outcome_name"), F.col("o.price").alias("price"), F.struct("at_e", "at_b", "at_m", "at_o").alias("place"),
     )
     good = rows.where("outcome_role IS NOT NULL AND event_id IS NOT NULL AND commence_time IS NOT NULL AND price >= 1")
-    return good.dropDuplicates(["raw_id", "event_id", "bookmaker_key", "market_key", "outcome_role"])
+    return keep_latest(good, ["raw_id", "event_id", "bookmaker_key", "market_key", "outcome_role"], [F.col("place").asc()]).drop("place")

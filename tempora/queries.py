@@ -370,14 +370,16 @@ def insert_absent(spark, sf_dir):
 _TOKENS = "list_distinct(list_filter(string_split_regex(lower({0}), '[^a-z0-9]+'), lambda x: x <> '' AND x NOT IN ('de', 'fc')))"
 
 
-@query(f"""WITH p AS (SELECT p_partkey, p_size, {_TOKENS.format("p_name")} AS t FROM part), q AS (SELECT p_partkey AS q_partkey, p_size AS q_size, {_TOKENS.format("p_name")} AS u FROM part WHERE p_partkey % 10 = 0)
-SELECT q_partkey, p_partkey, len(list_intersect(t, u)) / CAST(least(len(t), len(u)) AS DOUBLE) AS score FROM p JOIN q ON p_size = q_size AND p_partkey <> q_partkey WHERE least(len(t), len(u)) > 0 AND len(list_intersect(t, u)) / CAST(least(len(t), len(u)) AS DOUBLE) >= 0.5""")
+_OVERLAP_SQL = f"""WITH p AS (SELECT p_partkey, p_size, {_TOKENS.format("p_name")} AS t FROM part), q AS (SELECT p_partkey AS q_partkey, p_size AS q_size, t AS u FROM p)
+SELECT q_partkey, p_partkey, len(list_intersect(t, u)) / CAST(least(len(t), len(u)) AS DOUBLE) AS score FROM p JOIN q ON p_size = q_size AND p_partkey <> q_partkey WHERE least(len(t), len(u)) > 0 AND len(list_intersect(t, u)) / CAST(least(len(t), len(u)) AS DOUBLE) >= 0.5"""
+
+
+@query(_OVERLAP_SQL)
 def name_overlap_match(spark, sf_dir):
-    """The rows of name_overlap_all that its SQL asks for: one part in ten looks for partners."""
-    return name_overlap_all(spark, sf_dir).where("q_partkey % 10 = 0")
+    return name_overlap_all(spark, sf_dir)
 
 
-@query()
+@query(_OVERLAP_SQL)
 def name_overlap_all(spark, sf_dir):
     """Every part with all parts of its size whose names overlap by half. An overlap above 0 needs a shared token."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size", tokens(F.col("p_name"), ["de", "fc"], False).alias("t"))

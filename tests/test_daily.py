@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempora.clock import Clock
-from tempora.plans import daily, staging
+from tempora.plans import daily, odds, staging
 from tempora.plans.daily import Sources
 from tempora.sources import raw
 from tempora.store import Store
@@ -76,7 +76,7 @@ def published(spark, tmp_path_factory):
         "team_crest": spark.createDataFrame([(t,) for t in TEAMS], daily.EMPTY["team_crest"]),
     }
     store = Store(spark, str(tmp_path_factory.mktemp("store")))
-    sources = Sources(answers(spark), other)
+    sources = Sources(answers(spark), other, odds_source="the-odds")
     clock = Clock.at(DAY, datetime(2026, 9, 20, 12, tzinfo=UTC))
     daily.daily(spark, store, sources, clock)
     return store, sources, clock
@@ -124,6 +124,24 @@ def test_odds_are_matched_and_selected_before_they_are_filtered(published):
     assert abs(p["odds_home_prob_fair"] - (1 / 2.2) / (1 / 2.2 + 1 / 3.5 + 1 / 3.6)) < 1e-5
 
 
+def test_training_quotes_are_those_of_live_fetches(spark):
+    def offer(price, times=1):
+        outcomes = [{"name": n, "price": p} for n, p in (("Alpha", price), ("Draw", 3.0), ("Beta", 4.0))] + [{"name": "Draw", "price": 9.0}] * (times - 1)
+        return raw.canonical([{"id": "e", "commence_time": "2026-09-21T00:00:00Z", "home_team": "Alpha", "away_team": "Beta", "bookmakers": [{"key": "b", "markets": [{"key": "h2h", "last_update": "2026-09-20T01:00:00Z", "outcomes": outcomes}]}]}])
+
+    hour = lambda h: datetime(2026, 9, 20, h, tzinfo=UTC)
+    rows = [("f1", "live", 2, offer(2.0)), ("f2", "live", 3, offer(2.5)), ("f3", "live", 4, offer(2.0)), ("f4", "live", 4, offer(2.1, 2)), ("f5", "sample", 5, offer(8.0))]
+    fetched = spark.createDataFrame([(i, s, "odds", "{}", hour(h), p) for i, s, h, p in rows], daily.EMPTY["raw_odds"])
+    resolved = spark.createDataFrame([("e", 1)], "event_id string, match_id long")
+    games = spark.createDataFrame([(1, datetime(2026, 9, 21, tzinfo=UTC))], "match_id long, utc_kickoff timestamp")
+    staged = staging.odds(fetched)
+    assert one(staged, raw_id="f4", outcome_role="DRAW")["price"] == 3  # the first in the answer
+    quotes = odds.training_quotes(staged, fetched, resolved, "live")
+    assert quotes.count() == 4
+    got = one(odds.training_summary(games, quotes), match_id=1)  # the last fetch, of two at that time the greater id
+    assert float(got["odds_home_price_mean"]) == 2.1 and got["audit_odds_observed_at"].hour == 4
+
+
 def test_context_counts_once_its_run_had_ended(published):
     store, *_ = published
     s = one(store.read("team_context_snapshot"), team_id=1)
@@ -154,6 +172,8 @@ def test_rerun_changes_nothing_and_older_days_do_not_overwrite(spark, published)
     before = {n: sorted(map(str, store.read(n).collect())) for n in ("product", "fact_match", "bookmaker_odds", "prediction")}
     daily.daily(spark, store, sources, clock)
     assert before == {n: sorted(map(str, store.read(n).collect())) for n in before}
+    daily.daily(spark, store, Sources(sources.raw, {k: v for k, v in sources.other.items() if k != "raw_odds"}, sources.odds_source), clock)
+    assert before == {n: sorted(map(str, store.read(n).collect())) for n in before}  # stored fetches stay
     older = staging.matches(answers(spark, date(2026, 9, 19), AT - timedelta(days=1), [match(1, 1, 2, 0, (9, 9))]), Clock.at("2026-09-19"))
     from tempora.operators.merge import upsert
 
