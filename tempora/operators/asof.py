@@ -36,6 +36,34 @@ def as_of_where(events: DataFrame, observations: DataFrame, on: Column, key: str
     return out.select(*[events[c] for c in events.columns], *[F.col(f"_best.{c}").alias(c) for c in take])
 
 
+def as_of_valid(events: DataFrame, observations: DataFrame, on: Sequence[str], key: str, time: str, observed: str, until: str, take: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
+    """events (unique `key`) with `take` of the newest observation of the same `on` with observed < time < until.
+
+    Both meet by key and day: an observation stands once for each day that its validity touches, so that an event
+    meets only observations that may be valid on its day, however long the history is. Of those observed at one
+    time the greatest `tie` counts. A null in `on`, time, observed or until finds nothing.
+    """
+    day = lambda c: F.to_date(F.col(c).cast("timestamp"))
+    left = events.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in on], F.col(time).cast("timestamp").alias("_time"), day(time).alias("_day"))
+    spans = observations.where(F.col(until) > F.col(observed)).select(
+        *[F.col(c).alias(f"_{c}") for c in on], F.struct(F.col(observed).cast("timestamp").alias("at"), *tie).alias("_order"), F.col(until).cast("timestamp").alias("_until"), F.struct(*take).alias("_take"), F.explode(F.sequence(day(observed), day(until))).alias("_day")
+    )
+    met = left.join(spans, [*[f"_{c}" for c in on], "_day"]).where((F.col("_order.at") < F.col("_time")) & (F.col("_time") < F.col("_until")))
+    best = met.groupBy("_key").agg(F.max_by("_take", "_order").alias("_best"))
+    return events.join(best, F.col(key) == F.col("_key"), "left").select(*events.columns, *[F.col(f"_best.{c}").alias(c) for c in take])
+
+
+def as_of_days(events: DataFrame, observations: DataFrame, on: Sequence[str], time: str, observed: str, days: int, take: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
+    """events with `take` of the newest observation of an earlier day, unless it is more than `days` days old.
+
+    Where the newest is too old, every other is, so that one pass of as_of finds it.
+    """
+    start = F.date_trunc("day", F.col(time).cast("timestamp"))
+    found = as_of(events.withColumn("_day", start), observations.withColumn("_seen", F.col(observed)), on, "_day", observed, ["_seen", *take], tie=tie)
+    young = F.datediff(F.col("_day"), F.to_date("_seen")) <= days
+    return found.select(*events.columns, *[F.when(young, F.col(c)).alias(c) for c in take])
+
+
 def first_of_current_run(rows: DataFrame, key: Sequence[str], time: Sequence[str], value: str, out: str) -> DataFrame:
     """rows with the time at which the value they hold began its unbroken run (a gap-and-island)."""
     by = Window.partitionBy(*key).orderBy(*time)

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from tempora.functions.names import overlap, tokens
 from tempora.functions.odds import fair, implied_total, overround
-from tempora.operators.asof import as_of, as_of_where, first_of_current_run
+from tempora.operators.asof import as_of, as_of_days, as_of_valid, first_of_current_run
 from tempora.operators.latest import keep_latest, latest_then, newest
 from tempora.operators.lookback import DAY
 from tempora.operators.match import best_unambiguous, interval_join, token_join
@@ -241,17 +241,15 @@ def _observations(spark, sf_dir):
 @query(f"""WITH {_OBS} SELECT e.event_id, o.obs_id, o.o_value FROM (SELECT * FROM events WHERE event_type = 'view') e LEFT JOIN LATERAL (SELECT * FROM observations o WHERE o.o_user = e.user_id AND o.observed_at < e.ts AND e.ts < o.valid_until ORDER BY o.observed_at DESC, o.obs_id DESC LIMIT 1) o ON true""")
 def asof_validity(spark, sf_dir):
     e = table(spark, sf_dir, "events").where("event_type = 'view'").select("event_id", "user_id", "ts")
-    o = _observations(spark, sf_dir)
-    valid = (o["observed_at"] < e["ts"]) & (F.unix_micros(e["ts"].cast("timestamp")) < o["until_us"])
-    return as_of_where(e, o, e["user_id"] == o["o_user"], "event_id", valid, F.struct(o["observed_at"], o["obs_id"]), ["obs_id", "o_value"]).select("event_id", "obs_id", "o_value")
+    o = _observations(spark, sf_dir).withColumn("until", F.timestamp_micros("until_us"))
+    return as_of_valid(e, o.withColumnRenamed("o_user", "user_id"), ["user_id"], "event_id", "ts", "observed_at", "until", ["obs_id", "o_value"], ["obs_id"]).select("event_id", "obs_id", "o_value")
 
 
 @query(f"""WITH {_OBS} SELECT e.event_id, o.obs_id FROM (SELECT * FROM events WHERE event_type = 'view') e LEFT JOIN LATERAL (SELECT * FROM observations o WHERE o.o_user = e.user_id AND CAST(o.observed_at AS DATE) < CAST(e.ts AS DATE) AND date_diff('day', CAST(o.observed_at AS DATE), CAST(e.ts AS DATE)) <= 5 ORDER BY CAST(o.observed_at AS DATE) DESC, o.observed_at DESC, o.obs_id DESC LIMIT 1) o ON true""")
 def asof_maxage(spark, sf_dir):
     e = table(spark, sf_dir, "events").where("event_type = 'view'").select("event_id", "user_id", "ts")
-    o = _observations(spark, sf_dir)
-    age = F.datediff(F.to_date(e["ts"]), F.to_date(o["observed_at"]))
-    return as_of_where(e, o, e["user_id"] == o["o_user"], "event_id", (age > 0) & (age <= 5), F.struct(o["observed_at"], o["obs_id"]), ["obs_id"]).select("event_id", "obs_id")
+    o = _observations(spark, sf_dir).withColumnRenamed("o_user", "user_id")
+    return as_of_days(e, o, ["user_id"], "ts", "observed_at", 5, ["obs_id"], ["obs_id"]).select("event_id", "obs_id")
 
 
 @query("""SELECT event_id, event_type, epoch_us(min(ts) OVER (PARTITION BY user_id, run)) AS since_us FROM (SELECT *, sum(changed) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM (SELECT *, CASE WHEN lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = event_type THEN 0 ELSE 1 END AS changed FROM events))""")
