@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from datetime import datetime
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -19,6 +21,56 @@ def split_by_time(df: DataFrame, time: str, train_share: float = 0.7) -> tuple[D
     return df.where(at <= cut), df.where(at > cut)
 
 
+#: Hours after kick-off when a result counts as known.
+KNOWN_AFTER = 3
+CLASSES = ("AWAY_WIN", "DRAW", "HOME_WIN")
+
+
+def chronological_split(df: DataFrame, label: str, train_before: datetime, test_before: datetime, now: datetime, time: str = "utc_kickoff", key: str = "match_id", history: Sequence[str] = ("audit_home_history_last_available_at", "audit_away_history_last_available_at"), classes: Sequence[str] = CLASSES) -> tuple[DataFrame, DataFrame]:
+    """Matches whose result was known before train_before, and known ones that began from then to test_before.
+
+    A match of the last hours before the cut is in neither. Naive moments are UTC. Refused (ValueError): cuts in
+    the wrong order, a repeated key, history that wasn't known before kick-off, an empty part, a class that no
+    training row has. One aggregation decides on all but the repeated keys.
+    """
+    start, end, until = (F.lit(m.isoformat()).cast("timestamp") for m in (train_before, test_before, now))
+    if train_before >= test_before:
+        raise ValueError("train_before must be earlier than test_before")
+    at = F.col(time).cast("timestamp")
+    known = at + F.expr(f"INTERVAL {KNOWN_AFTER} HOURS")
+    completed = F.col(label).isin(*classes) & (known < until)
+    train, test = F.coalesce(completed & (known < start), F.lit(False)), F.coalesce(completed & (at >= start) & (at < end), F.lit(False))
+    leak = F.lit(False)
+    for c in history:
+        leak = leak | F.coalesce(F.col(c).cast("timestamp") >= at, F.lit(False))
+    told = df.agg(F.count_if(leak).alias("leaks"), F.count_if(test).alias("tests"), F.collect_set(F.when(train, F.col(label))).alias("classes")).first()
+    if told["leaks"]:
+        raise ValueError("history that was not known before kick-off")
+    if not told["classes"] or not told["tests"]:
+        raise ValueError("both periods need completed matches")
+    if set(told["classes"]) != set(classes):
+        raise ValueError("the training period must have every class")
+    if not df.groupBy(key).count().where("count > 1").isEmpty():
+        raise ValueError("a key is repeated")
+    return df.where(train), df.where(test)
+
+
+def save_experiment(folder: str, model: PipelineModel, predictions: DataFrame, metrics: DataFrame) -> None:
+    """folder/model, folder/predictions (CSV with a header), folder/metrics (JSON). A folder that exists is refused.
+
+    Predictions' maps become one column for each class, so that CSV can hold them.
+    """
+    spark = predictions.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        raise FileExistsError(folder)
+    names = model.stages[0].labels
+    flat = [c for c in predictions.columns if c != "probabilities"]
+    predictions.select(*flat, *[F.col("probabilities")[n].alias(f"prob_{n.lower()}") for n in names]).write.option("header", True).csv(f"{folder}/predictions")
+    model.write().save(f"{folder}/model")
+    metrics.coalesce(1).write.json(f"{folder}/metrics")
+
+
 def fit(train: DataFrame, label: str, numeric: Sequence[str], categories: Sequence[str] = ()) -> PipelineModel:
     """Median-imputed, standardised features; unseen categories are all zero; strength of one over the rows."""
     typed = train.where(F.col(label).isNotNull())

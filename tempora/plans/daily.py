@@ -14,8 +14,10 @@ from tempora.operators.quality import failed, run
 from tempora.operators.sides import pivot_sides, points, unpivot_sides
 from tempora.plans import context, facts, features, forecast, odds, ranking, staging, weather
 from tempora.plans.checks import checks
+from tempora.plans.runs import Run
 from tempora.store import Store
 
+PIPELINE = "daily"
 EMPTY = {
     "venue_answers": "team_id bigint, osm array<struct<lat:string,lon:string,osm_type:string,osm_id:bigint,type:string>>, override_lat double, override_lon double, reason string",
     "raw_weather": "venue_team_id bigint, ingestion_date date, ingested_at timestamp, payload string",
@@ -124,14 +126,16 @@ def wide(training: DataFrame, team: DataFrame, known: DataFrame, rain: DataFrame
 
 def daily(spark: SparkSession, store: Store, sources: Sources, clock: Clock) -> str:
     """Transform, write, check what was written, publish. A critical failure leaves the published version as it is."""
-    draft = transform(spark, store, sources, clock)
-    tables = {name: draft[name] for name in CHECKED}
-    results = run(spark, tables, checks(clock)).withColumn("checked_at", clock.now())
-    results.write.mode("append").parquet(f"{store.base}/check_results")
-    if bad := failed(results):
-        raise ChecksFailed(", ".join(bad))
-    names = [*CHECKED, "staging_teams", "staging_standings", "weather_forecast", "staged_odds", "team_context_snapshot"]
-    return store.publish({n: draft[n] for n in names})
+    with Run(spark, f"{store.base}/runs", PIPELINE, clock) as log:
+        draft = transform(spark, store, sources, clock)
+        log.add(extracted=sources.raw.count(), loaded=draft["product"].count())
+        tables = {name: draft[name] for name in CHECKED}
+        results = run(spark, tables, checks(clock)).withColumn("checked_at", clock.now())
+        results.write.mode("append").parquet(f"{store.base}/check_results")
+        if bad := failed(results):
+            raise ChecksFailed(", ".join(bad))
+        names = [*CHECKED, "staging_teams", "staging_standings", "weather_forecast", "staged_odds", "team_context_snapshot"]
+        return store.publish({n: draft[n] for n in names})
 
 
 CHECKED = ["staging_matches", "fact_match", "team_match_form", "dim_team", "dim_venue", "match_weather", "prediction", "bookmaker_odds", "event_match", "raw_odds", "team_crest", "product", "team_features", "team_context"]

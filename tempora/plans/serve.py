@@ -68,3 +68,25 @@ def market_by_outcome(quotes: DataFrame) -> DataFrame:
 def latest_run(runs: DataFrame, pipeline: str) -> DataFrame:
     """The newest successful run of a pipeline."""
     return runs.where((F.col("pipeline") == pipeline) & (F.col("status") == "SUCCESS")).orderBy(F.col("finished_at").desc_nulls_last()).limit(1)
+
+
+def model_features(games: DataFrame, teams: DataFrame, form: DataFrame, weather: DataFrame, predictions: DataFrame, quotes: DataFrame) -> DataFrame:
+    """One row a match between known teams: names, label, form of both sides, weather, forecast and market.
+
+    form: a row for each match and team; weather and predictions: at most one for each match; quotes: the current
+    ones of all bookmakers, averaged. A match without quotes has 0 bookmakers.
+    """
+    side = lambda s: form.select(
+        "match_id", F.col("team_id").alias(f"{s}_team_id"), F.col("matches_considered").alias(f"{s}_form_matches"), F.col("points_last_5").alias(f"{s}_form_points"), F.col("goals_scored_last_5").alias(f"{s}_goals_scored_last_5"),
+        F.col("goals_conceded_last_5").alias(f"{s}_goals_conceded_last_5"), F.col("days_since_last_match").alias(f"{s}_rest_days"),
+    )
+    name = lambda s: teams.select(F.col("team_id").alias(f"{s}_team_id"), F.col("name").alias(f"{s}_team"))
+    market = quotes.groupBy("match_id").agg(*[F.avg(f"{s}_prob_fair").alias(f"fair_prob_{s}") for s in ("home", "draw", "away")], F.countDistinct("bookmaker_key").alias("bookmaker_count"))
+    rain = weather.select("match_id", "weather_status", "temperature_c", "precipitation_probability", "wind_speed_kmh", F.col("lead_days").alias("weather_lead_days"))
+    guess = predictions.select("match_id", *[F.col(f"{s}_prob").alias(f"model_prob_{s}") for s in ("home", "draw", "away")])
+    out = games.select("match_id", "season_id", "match_date", "utc_kickoff", "matchday", "is_finished", "home_team_id", "away_team_id", "outcome", "home_goals", "away_goals")
+    for s in ("home", "away"):
+        out = out.join(name(s), f"{s}_team_id").join(side(s), ["match_id", f"{s}_team_id"], "left")
+    for more in (rain, guess, market):
+        out = out.join(more, "match_id", "left")
+    return out.drop("home_team_id", "away_team_id").withColumn("bookmaker_count", F.coalesce("bookmaker_count", F.lit(0)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,9 @@ from tempora.operators.lookback import DAY
 from tempora.operators.match import best_unambiguous, interval_join, token_join
 from tempora.operators.merge import insert_if_absent, unseen, upsert, widen
 from tempora.operators.quality import CRITICAL, WARNING, Check, run
-from tempora.plans import features, forecast
+from tempora.plans import baseline, features, forecast, serve
 from tempora.plans.export import column_role
+from tempora.plans.facts import outcome
 from tempora.plans.fixtures import MATCHES_SQL, appearances, matches
 from tempora.sources.ranking import links
 
@@ -167,12 +169,97 @@ def poisson_forecast(spark, sf_dir):
     return forecast.forecast(games, features.legacy_form(appearances(games)))
 
 
-@query()
+FAMILIES = ["history_rest", "load_7_14_30", "form_last3_10", "form_last5", "form_venue", "form_competition", "form_h2h", "season_to_date"]
+
+
+def _family_sql(name: str) -> str:
+    """A family's SQL as a table expression of its own name, without the matches that it shares with others."""
+    return f"{name} AS ({ORACLES[name].replace(f'WITH {MATCHES_SQL}, ', 'WITH ').replace(f'WITH {MATCHES_SQL}', '')})"
+
+
+_TEAM_SQL = f"""team AS (SELECT * EXCLUDE (first_us, last_us), first_us AS history_first_kickoff_us, last_us AS history_last_kickoff_us, last_us + 10800000000 AS history_last_available_at_us
+  FROM {FAMILIES[0]} {" ".join(f"JOIN {f} USING (match_id, team_id)" for f in FAMILIES[1:])}),
+home AS (SELECT COLUMNS('(.*)') AS 'home_\\1' FROM team), away AS (SELECT COLUMNS('(.*)') AS 'away_\\1' FROM team)"""
+
+
+def _minus_sql(names: str) -> str:
+    return ", ".join(f"home_{c} - away_{c} AS {name}" for name, c in (n.split(":") for n in names.split()))
+
+
+@query(f"""WITH {MATCHES_SQL}, {", ".join(map(_family_sql, FAMILIES))}, {_TEAM_SQL}
+SELECT m.* EXCLUDE (utc_kickoff), epoch_us(utc_kickoff) AS utc_kickoff_us, h.* EXCLUDE (home_match_id, home_team_id), a.* EXCLUDE (away_match_id, away_team_id),
+  CAST(CAST(utc_kickoff AS DATE) AS VARCHAR) AS match_date, year(utc_kickoff) AS kickoff_year, month(utc_kickoff) AS kickoff_month, isodow(utc_kickoff) AS kickoff_day_of_week, hour(utc_kickoff) AS kickoff_hour_utc,
+  is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL AS label_available, CASE WHEN label_available THEN CASE WHEN home_goals > away_goals THEN 'HOME_WIN' WHEN home_goals < away_goals THEN 'AWAY_WIN' ELSE 'DRAW' END END AS label_outcome_90min,
+  CASE WHEN is_finished THEN home_goals END AS label_home_goals_90min, CASE WHEN is_finished THEN away_goals END AS label_away_goals_90min,
+  {_minus_sql("points_difference_last_5:points_last_5 points_difference_last_10:points_last_10 goals_for_difference_last_5:goals_for_last_5 goals_against_difference_last_5:goals_against_last_5 goal_difference_difference_last_10:goal_difference_last_10 season_points_per_match_difference:season_points_per_match")},
+  round(home_rest_days - away_rest_days, 3) AS rest_days_difference, home_matches_last_10 = 10 AND away_matches_last_10 = 10 AS has_full_history_last_10, home_matches_last_10 = 0 AS home_has_no_prior_results, away_matches_last_10 = 0 AS away_has_no_prior_results
+FROM matches m JOIN home h ON home_match_id = m.match_id AND h.home_team_id = m.home_team_id JOIN away a ON away_match_id = m.match_id AND a.away_team_id = m.away_team_id""")
 def training_product(spark, sf_dir):
+    """The whole product; moments as microseconds, decimals as doubles and days as text, so that engines compare."""
+    return _comparable(_product(spark, sf_dir))
+
+
+def _product(spark, sf_dir):
     games = matches(spark, sf_dir)
     return features.product(games, features.team_features(appearances(games)))
 
 
+def _comparable(df: DataFrame) -> DataFrame:
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    told = {"timestamp": lambda c: F.unix_micros(c).alias(f"{c}_us"), "decimal": lambda c: F.col(c).cast("double").alias(c), "date": lambda c: F.col(c).cast("string").alias(c)}
+    return df.select(*[told.get(kinds[c], F.col)(c) for c in df.columns])
+
+
+_LABEL_SQL = "CASE WHEN is_finished AND home_goals > away_goals THEN 'HOME_WIN' WHEN is_finished AND home_goals < away_goals THEN 'AWAY_WIN' WHEN is_finished AND home_goals = away_goals THEN 'DRAW' END"
+
+
+def _labelled(spark, sf_dir):
+    return matches(spark, sf_dir).withColumn("label_outcome_90min", F.when(F.col("is_finished"), outcome()))
+
+
+@query(f"""WITH {MATCHES_SQL} SELECT match_id, CASE WHEN utc_kickoff + INTERVAL 3 HOUR < TIMESTAMP '2024-01-15' THEN 'train' ELSE 'test' END AS part FROM matches
+WHERE {_LABEL_SQL} IS NOT NULL AND utc_kickoff + INTERVAL 3 HOUR < TIMESTAMP '2024-01-25' AND (utc_kickoff + INTERVAL 3 HOUR < TIMESTAMP '2024-01-15' OR utc_kickoff >= TIMESTAMP '2024-01-15' AND utc_kickoff < TIMESTAMP '2024-01-22')""")
+def chronological_split(spark, sf_dir):
+    parts = baseline.chronological_split(_labelled(spark, sf_dir), "label_outcome_90min", datetime(2024, 1, 15), datetime(2024, 1, 22), datetime(2024, 1, 25), history=())
+    train, test = (df.select("match_id", F.lit(name).alias("part")) for df, name in zip(parts, ("train", "test")))
+    return train.unionByName(test)
+
+
+@query(f"""WITH {MATCHES_SQL} SELECT competition_code, season_id, CAST(count(*) AS BIGINT) AS matches, CAST(count({_LABEL_SQL}) AS BIGINT) AS labelled, epoch_us(min(utc_kickoff)) AS first_us, epoch_us(max(utc_kickoff)) AS last_us FROM matches GROUP BY 1, 2""")
+def season_overview(spark, sf_dir):
+    return _comparable(serve.season_overview(_labelled(spark, sf_dir)))
+
+
+@query(f"WITH {MATCHES_SQL} SELECT label_outcome_90min, CAST(count(*) AS BIGINT) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1)::DOUBLE AS pct FROM (SELECT {_LABEL_SQL} AS label_outcome_90min FROM matches) WHERE label_outcome_90min IS NOT NULL GROUP BY 1")
+def outcome_shares(spark, sf_dir):
+    return serve.outcome_shares(_labelled(spark, sf_dir))
+
+
+def _form_side_sql(side: str) -> str:
+    names = {"form_matches": "matches_considered", "form_points": "points_last_5", "goals_scored_last_5": "goals_scored_last_5", "goals_conceded_last_5": "goals_conceded_last_5", "rest_days": "days_since_last_match"}
+    return ", ".join(f"f{side[0]}.{c} AS {side}_{name}" for name, c in names.items())
+
+
+@query(f"""WITH {MATCHES_SQL}, form AS ({LEGACY_SQL.replace("WITH " + MATCHES_SQL, "")}),
+market AS (SELECT l_partkey AS match_id, avg(CAST(l_discount AS DOUBLE)) AS fair_prob_home, avg(CAST(l_tax AS DOUBLE)) AS fair_prob_draw, avg(CAST(l_quantity AS DOUBLE)) AS fair_prob_away, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1)
+SELECT m.match_id, season_id, CAST(CAST(utc_kickoff AS DATE) AS VARCHAR) AS match_date, epoch_us(utc_kickoff) AS utc_kickoff_us, season_id AS matchday, is_finished, h.c_name AS home_team, a.c_name AS away_team, {_LABEL_SQL} AS outcome,
+  home_goals, away_goals, {_form_side_sql("home")}, {_form_side_sql("away")}, o_orderpriority AS weather_status, CAST(o_totalprice AS DOUBLE) AS temperature_c, CAST(o_custkey AS BIGINT) AS precipitation_probability, CAST(o_totalprice AS DOUBLE) AS wind_speed_kmh,
+  CAST(o_custkey AS BIGINT) AS weather_lead_days, CAST(s_acctbal AS DOUBLE) AS model_prob_home, CAST(s_acctbal AS DOUBLE) AS model_prob_draw, CAST(s_acctbal AS DOUBLE) AS model_prob_away,
+  round(fair_prob_home, 6) AS fair_prob_home, round(fair_prob_draw, 6) AS fair_prob_draw, round(fair_prob_away, 6) AS fair_prob_away, CAST(coalesce(n, 0) AS BIGINT) AS bookmaker_count
+FROM matches m JOIN customer h ON h.c_custkey = home_team_id JOIN customer a ON a.c_custkey = away_team_id LEFT JOIN form fh ON fh.match_id = m.match_id AND fh.team_id = home_team_id LEFT JOIN form fa ON fa.match_id = m.match_id AND fa.team_id = away_team_id
+LEFT JOIN orders ON o_orderkey = m.match_id LEFT JOIN supplier ON s_suppkey = m.match_id LEFT JOIN market q ON q.match_id = m.match_id""")
+def model_features(spark, sf_dir):
+    """Orders stand for the weather, suppliers for the forecasts, line items for the quotes, customers for the teams."""
+    games = matches(spark, sf_dir).withColumns({"match_date": F.to_date("utc_kickoff"), "matchday": F.col("season_id"), "outcome": F.when(F.col("is_finished"), outcome())})
+    double, long = (lambda c, name: F.col(c).cast("double").alias(name)), (lambda c, name: F.col(c).cast("long").alias(name))
+    teams = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("team_id"), F.col("c_name").alias("name"))
+    rain = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("match_id"), F.col("o_orderpriority").alias("weather_status"), double("o_totalprice", "temperature_c"), long("o_custkey", "precipitation_probability"), double("o_totalprice", "wind_speed_kmh"), long("o_custkey", "lead_days"))
+    guess = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("match_id"), *[double("s_acctbal", f"{s}_prob") for s in ("home", "draw", "away")])
+    quotes = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("match_id"), F.col("l_suppkey").alias("bookmaker_key"), double("l_discount", "home_prob_fair"), double("l_tax", "draw_prob_fair"), double("l_quantity", "away_prob_fair"))
+    out = serve.model_features(games, teams, features.legacy_form(appearances(games)), rain, guess, quotes)
+    return _comparable(out.withColumns({f"fair_prob_{s}": F.round(f"fair_prob_{s}", 6) for s in ("home", "draw", "away")}))
+
+
 @query("SELECT DISTINCT ON (user_id) user_id, event_id, event_type, value FROM events ORDER BY user_id, ts DESC NULLS FIRST, event_id DESC")
 def latest_event_per_user(spark, sf_dir):
     return keep_latest(table(spark, sf_dir, "events"), ["user_id"], newest("ts", "event_id")).select("user_id", "event_id", "event_type", "value")
@@ -419,12 +506,10 @@ def dq_checks(spark, sf_dir):
 @query("""WITH p AS (SELECT doc_id, quality, CASE WHEN n_chars > 1000 THEN 0.9 ELSE 0.6 END AS p FROM labels JOIN documents USING (doc_id))
 SELECT CAST(count(*) AS BIGINT) AS n, round(avg(CASE WHEN quality = 1 THEN 1.0 ELSE 0.0 END), 6) AS accuracy, round(avg(2 * (quality - p) * (quality - p)), 6)::DOUBLE AS brier, round(-avg(ln(CASE WHEN quality = 1 THEN p ELSE 1 - p END)), 6) AS log_loss FROM p""")
 def metrics_brier(spark, sf_dir):
-    from tempora.plans.baseline import class_metrics
-
     rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
     p = F.when(F.col("n_chars") > 1000, 0.9).otherwise(0.6)
     scored = rows.select(F.col("quality").cast("string").alias("label"), F.map_from_arrays(F.array(F.lit("0"), F.lit("1")), F.array(1 - p, p)).alias("probabilities"))
-    return class_metrics(scored).select("n", "accuracy", "brier", "log_loss")
+    return baseline.class_metrics(scored).select("n", "accuracy", "brier", "log_loss")
 
 
 @query()
@@ -434,5 +519,5 @@ def html_links(spark, sf_dir):
 
 @query()
 def export_roles(spark, sf_dir):
-    columns = training_product(spark, sf_dir).columns
+    columns = _product(spark, sf_dir).columns
     return spark.createDataFrame([(c, column_role(c)) for c in columns], "column_name string, role string")
