@@ -31,10 +31,22 @@ def rows(spark: SparkSession, answers: Sequence[tuple[str, str, dict, object]],
     return spark.createDataFrame(made, SCHEMA)
 
 
-def replay(spark: SparkSession, path: str, source: str, day: date, at: datetime, run_id: str) -> DataFrame:
-    """Files of recorded answers as raw rows; the file's name is the endpoint. A missing folder is an error."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("f"), "value")
-    name = F.regexp_extract("f", r"([^/]+)\.json$", 1)
+def replay(spark: SparkSession, path: str, source: str, day: date, at: datetime, run_id: str, wanted: Sequence[str] = ()) -> DataFrame:
+    """Files of recorded answers as raw rows; a file's place under path, without .json, is its endpoint.
+
+    So `path/competitions/CL/matches.json` answers `competitions/CL/matches`. A missing folder is an error, and so
+    is a wanted endpoint without a file.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    plain = lambda c: F.regexp_replace(c, "^([A-Za-z0-9]+):/+", "$1:/")
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True).select(F.input_file_name().alias("f"), "value")
+    name = F.regexp_replace(F.expr("url_decode(rest)"), r"\.json$", "")
+    files = files.withColumn("rest", F.substr(plain(F.col("f")), F.length(plain(F.lit(whole))) + 2))
+    if wanted:
+        found = {r["n"] for r in files.select(name.alias("n")).where(F.col("n").isin(*wanted)).distinct().collect()}
+        if missing := sorted(set(wanted) - found):
+            raise FileNotFoundError(", ".join(missing))
     lit = lambda v, t: F.lit(v).cast(t)
     return files.select(
         F.left(F.sha2(F.concat_ws("|", F.lit(source), name, F.lit(at.isoformat()), "value"), 256), F.lit(16)).alias("raw_id"), F.lit(source).alias("source"), name.alias("endpoint"), F.lit("{}").alias("request_params"), lit(day.isoformat(), "date").alias("ingestion_date"),
