@@ -47,28 +47,44 @@ def discard(what: DataFrame | str, spark: SparkSession | None = None) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def spark_hash(n: np.ndarray) -> np.ndarray:
+    """Spark's hash of ints, as bucketBy uses it."""
+    with np.errstate(over="ignore"):
+        k = n.astype(np.uint32) * np.uint32(0xCC9E2D51)
+        k = (k << np.uint32(15) | k >> np.uint32(17)) * np.uint32(0x1B873593)
+        h = np.uint32(42) ^ k
+        h = (h << np.uint32(13) | h >> np.uint32(19)) * np.uint32(5) + np.uint32(0xE6546B64)
+        h ^= np.uint32(4)
+        h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+        h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+        h ^= h >> np.uint32(16)
+    return h.view(np.int32).astype(np.int64)
+
+
 def part_number(partition: int, parts: int) -> int:
     """A number that Spark's hash puts in bucket `partition` of `parts`, so that each has a bucket of its own."""
     if partition >= parts:
         raise ValueError(f"partition {partition} of a job that was to have {parts}")
     at, step = 0, 1 << 16
     while True:
-        n = np.arange(at, at + step, dtype=np.uint32)
-        with np.errstate(over="ignore"):
-            k = n * np.uint32(0xCC9E2D51)
-            k = (k << np.uint32(15) | k >> np.uint32(17)) * np.uint32(0x1B873593)
-            h = np.uint32(42) ^ k
-            h = (h << np.uint32(13) | h >> np.uint32(19)) * np.uint32(5) + np.uint32(0xE6546B64)
-            h ^= np.uint32(4)
-            h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
-            h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
-            h ^= h >> np.uint32(16)
-        hit = np.flatnonzero(h.view(np.int32).astype(np.int64) % parts == partition)
+        hit = np.flatnonzero(spark_hash(np.arange(at, at + step)) % parts == partition)
         if len(hit):
             return int(at + hit[0])
         at += step
 
 
+def part_numbers(parts: int) -> list[int]:
+    """The part_number of every partition."""
+    found, at, step = np.full(parts, -1), 0, 16 * parts
+    while (found < 0).any():
+        n = np.arange(at, at + step)
+        bucket, first = np.unique(spark_hash(n) % parts, return_index=True)
+        new = found[bucket] < 0
+        found[bucket[new]] = n[first[new]]
+        at += step
+    return found.tolist()
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one at a time: large values of a batch are not all copied at once."""
     for b in batches:
@@ -76,15 +92,18 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield b.slice(i, 1).to_pylist()[0]
 
 
-def bucketed(df: DataFrame, parts: int, name: str) -> tuple[DataFrame, str]:
+def bucketed(df: DataFrame, parts: int, name: str, listed: bool = True) -> tuple[DataFrame, str]:
     """df as a table in the scratch folder with a bucket for every part, and its path.
 
-    A task writes one part, under the part_number of its partition.
+    A task writes one part, under the part_number of its partition. listed: the catalog keeps the table's name.
     """
     spark = df.sparkSession
     path, table = scratch(spark, name), f"tempora_{uuid.uuid4().hex[:12]}"
     df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(parts, "part").saveAsTable(table)
-    return spark.table(table), path
+    out = spark.table(table)
+    if not listed:  # the frame has its files and buckets by now
+        spark.sql(f"DROP TABLE {table}")
+    return out, path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from tempora.llm.bpe import op6_bpe
+from tempora.llm.conversations import op13_conversations
 from tempora.llm.crf import op7_quality
+from tempora.llm.lines import op12_lines
 from tempora.llm.media import op2_media
 from tempora.llm.mixing import op9_mixing
+from tempora.llm.negatives import op11_negatives
 from tempora.llm.pii import op5_pii
 from tempora.llm.rules import op8_rules
 from tempora.llm.secrets import op10_secrets
 from tempora.llm.simhash import op3_simhash
+from tempora.llm.sql import OP11_SQL, OP12_SQL, OP13_SQL
 from tempora.llm.suffixes import op4_suffixes
 from tempora.llm.tokenstore import op1_tokenstore
 
@@ -24,6 +28,9 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_negatives": op11_negatives,
+    "op12_lines": op12_lines,
+    "op13_conversations": op13_conversations,
 }
 
 SPANS_SQL = """
@@ -61,4 +68,7 @@ FROM d LEFT JOIN found USING (doc_id)
 
 ORACLES = {
     "op10_secrets": OP10_SQL,
+    "op11_negatives": OP11_SQL,
+    "op12_lines": OP12_SQL,
+    "op13_conversations": OP13_SQL,
 }
