@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.clock import Clock
-from tempora.operators.asof import as_of_where
+from tempora.operators.asof import as_of_valid, first_of_current_value
 from tempora.operators.latest import keep_latest, newest
 from tempora.operators.lookback import HOUR, before
 from tempora.plans.staging import seasonal, team_elements
@@ -89,24 +89,8 @@ def player_snapshots(raw: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 def _known(apps: DataFrame, snapshots: DataFrame, needs: str, take: dict[str, str]) -> DataFrame:
     """apps with the newest valid snapshot in which `needs` is filled; take: snapshot column -> output column."""
-    own = snapshots.where(F.col(needs).isNotNull()).select(F.col("team_id").alias("_team"), F.col("observed_at").alias("_observed"), F.col("valid_from").alias("_from"), F.col("valid_until").alias("_until"), F.col("snapshot_id").alias("_id"), *[F.col(c).alias(n) for c, n in take.items()])
-    at = F.col("utc_kickoff")
-    valid = (F.col("_observed") < at) & (F.col("_from") <= at) & (F.col("_until").isNull() | (at < F.col("_until")))
-    return as_of_where(apps, own, F.col("team_id") == F.col("_team"), ["match_id", "team_id"], valid, F.struct("_observed", "_from", "_id"), list(take.values()))
-
-
-def coach_since(assigned: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """coach_first_observed_at: the first observation of the coach after the last one of somebody else.
-
-    Both are aggregates of the team's observations up to the coach's, so that nothing is nested.
-    """
-    x = snapshots.where("coach_id IS NOT NULL").select(F.col("team_id").alias("_t"), F.col("coach_id").alias("_c"), F.col("observed_at").alias("_o"), F.col("valid_from").alias("_f"))
-    near = assigned.where("coach_id IS NOT NULL").select("match_id", "team_id", "utc_kickoff", "coach_id", "coach_observed_at")
-    seen = near.join(x, (F.col("team_id") == F.col("_t")) & (F.col("_f") <= F.col("utc_kickoff")) & (F.col("_o") <= F.col("coach_observed_at")))
-    key = ["match_id", "team_id"]
-    other = seen.where("_c <> coach_id AND _o < coach_observed_at").groupBy(*key).agg(F.max("_o").alias("_other"))
-    own = seen.where("_c = coach_id").join(other, key, "left").where("_other IS NULL OR _o >= _other").groupBy(*key).agg(F.min("_o").alias("coach_first_observed_at"))
-    return assigned.join(own, key, "left")
+    own = snapshots.where(F.col(needs).isNotNull()).select("team_id", F.col("observed_at").alias("_observed"), F.col("valid_from").alias("_from"), F.col("valid_until").alias("_until"), F.col("snapshot_id").alias("_id"), *[F.col(c).alias(n) for c, n in take.items()])
+    return as_of_valid(apps, own, ["team_id"], ["match_id", "team_id"], "utc_kickoff", "_observed", "_until", list(take.values()), ["_id"], "_from")
 
 
 def team_context(apps: DataFrame, snapshots: DataFrame) -> DataFrame:
@@ -119,7 +103,7 @@ def team_context(apps: DataFrame, snapshots: DataFrame) -> DataFrame:
     coach = {c: c for c in COACH} | {"source": "coach_source", "observed_at": "coach_observed_at"}
     value = {"squad_market_value_eur": "squad_market_value_eur", "source": "market_value_source", "observed_at": "market_value_observed_at"}
     out = _known(_known(_known(apps, snapshots, "squad_size", squad), snapshots, "coach_id", coach), snapshots, "squad_market_value_eur", value)
-    out = coach_since(out, snapshots)
+    out = first_of_current_value(out, snapshots, ["team_id"], ["match_id", "team_id"], "utc_kickoff", "coach_observed_at", "coach_id", "observed_at", "valid_from", "coach_first_observed_at")
     day = F.to_date("utc_kickoff")
     micros = lambda c: F.unix_micros(F.col(c))
     observed = F.greatest("squad_observed_at", "coach_observed_at", "market_value_observed_at")

@@ -105,7 +105,8 @@ def transform(spark: SparkSession, store: Store, sources: Sources, clock: Clock)
     own = _apps(training)
     t["team_context"] = context.team_context(own.select("match_id", "team_id", "is_home", "utc_kickoff", "is_finished", "points"), snapshots)
     t["team_features"] = features.team_features(own)
-    mapping = ranking.resolve(t["dim_team"], sources.get("ranking_pages"), sources.get("reviewed"))
+    ranking.check_reviewed(sources.get("reviewed"))
+    mapping = ranking.resolve(t["dim_team"], sources.get("ranking_pages"), sources.get("reviewed"), sources.get("aliases"))
     rankings = ranking.team_rankings(sources.get("ranking_pages"), mapping)
     t["product"] = wide(training, t["team_features"], t["team_context"], t["match_weather"], odds.training_summary(training, odds.training_quotes(staged, t["raw_odds"], t["event_match"], sources.odds_source)), rankings)
     t["team_crest"] = sources.get("team_crest")

@@ -90,10 +90,16 @@ def latest(facts: DataFrame, raw: DataFrame, staged: DataFrame, resolved: DataFr
     scopes = known.join(raw, "raw_id").select("match_id", *request).distinct()
     fetched = raw.groupBy(*request).agg(F.max("ingested_at").alias("at"))
     newest_fetch = scopes.join(fetched, request).groupBy("match_id").agg(F.max("at").alias("latest_fetch_at"))
-    one = keep_latest(facts, ["match_id", "bookmaker_key", "market_key"], newest("last_seen_at", "source_updated_at"))
+    # two quotes may be seen last at one time, with one time of the source: the greater prices, so that reruns agree
+    one = keep_latest(facts, ["match_id", "bookmaker_key", "market_key"], [*newest("last_seen_at", "source_updated_at"), *[F.col(p).desc_nulls_last() for p in PRICES]])
     return one.join(newest_fetch, "match_id").withColumn("is_current", F.col("last_seen_at") >= F.col("latest_fetch_at"))
 
 
+def latest_predictions(predictions: DataFrame) -> DataFrame:
+    """The newest forecast of each match and model version."""
+    return keep_latest(predictions, ["match_id", "model_version"], newest("as_of_date", "predicted_at"))
+
+
 def comparison(predictions: DataFrame, quotes: DataFrame) -> DataFrame:
     """Model odds beside the market's, and the deviation in percentage points."""
     both = predictions.join(quotes, "match_id")

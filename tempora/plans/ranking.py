@@ -1,43 +1,62 @@
-"""World rankings: clubs resolved by name and country, and the ranking that counted at kick-off."""
+"""World rankings: clubs resolved by names and country, and the ranking that counted at kick-off."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.functions.names import STOP_RANKING, tokens
-from tempora.operators.asof import as_of_where
-from tempora.operators.match import unique_both_ways
+from tempora.operators.intervals import greatest_valid
+from tempora.operators.match import unique_pairs
 
 MAX_AGE_DAYS = 35
 
 
-def _key(name: str):
-    return F.array_join(F.array_sort(tokens(F.col(name), STOP_RANKING, False)), " ")
+def _key(name: Column) -> Column:
+    return F.array_join(F.array_sort(tokens(name, STOP_RANKING, False)), " ")
 
 
-def resolve(clubs: DataFrame, ranked: DataFrame, reviewed: DataFrame) -> DataFrame:
-    """team_id, club_slug: reviewed pairs first, then names that are unique within a country on both sides.
+def check_reviewed(reviewed: DataFrame) -> None:
+    """A reviewed slug names one team. Raises for the first few that name several."""
+    twice = reviewed.groupBy("club_slug").agg(F.count_distinct("team_id").alias("n")).where("n > 1").orderBy("club_slug").limit(5).collect()
+    if twice:
+        raise ValueError("reviewed for more than one team: " + ", ".join(r["club_slug"] for r in twice))
 
-    clubs: team_id, name, country; ranked: club_slug, club_name, country; reviewed: team_id, club_slug.
+
+def resolve(clubs: DataFrame, ranked: DataFrame, reviewed: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """team_id, club_slug, method: reviewed pairs of known clubs and ranked slugs, then pairs by name and country.
+
+    clubs: team_id, name, short_name, country; ranked: club_slug, club_name, country; reviewed: team_id, club_slug;
+    aliases: team_id, alias. A club is met by any of its spellings; a slug that a reviewed pair claims is out. A
+    pair counts if the club meets no other slug, and the slug no other such club. A club without a country meets
+    none. A reviewed pair whose slug isn't ranked leaves its club to the names.
     """
-    open_clubs = clubs.join(reviewed, "team_id", "left_anti").select("team_id", _key("name").alias("n"), _key("country").alias("c")).where("n <> ''")
-    open_ranked = ranked.select("club_slug", "club_name", "country").distinct().join(reviewed, "club_slug", "left_anti").select("club_slug", _key("club_name").alias("n"), _key("country").alias("c")).where("n <> ''")
-    found = unique_both_ways(open_clubs, open_ranked, ["c", "n"], "team_id", "club_slug")
-    return reviewed.select("team_id", "club_slug").join(ranked.select("club_slug").distinct(), "club_slug", "left_semi").select("team_id", "club_slug").unionByName(found)
+    clubs = clubs if "short_name" in clubs.columns else clubs.withColumn("short_name", F.lit(None).cast("string"))
+    known = reviewed.select("team_id", "club_slug").distinct().join(clubs.select("team_id").distinct(), "team_id", "left_semi").join(ranked.select("club_slug").distinct(), "club_slug", "left_semi")
+    own = clubs.select("team_id", F.explode(F.array("name", "short_name")).alias("spelling"), "country")
+    if aliases is not None:
+        own = own.unionByName(clubs.select("team_id", "country").join(aliases.select("team_id", F.col("alias").alias("spelling")), "team_id"))
+    spelled = own.where("spelling <> ''").select("team_id", _key(F.col("spelling")).alias("n"), _key(F.coalesce("country", F.lit(""))).alias("c")).where("c <> ''")
+    open_clubs = spelled.join(known.select("team_id"), "team_id", "left_anti")
+    open_ranked = ranked.join(known.select("club_slug"), "club_slug", "left_anti").select("club_slug", _key(F.col("club_name")).alias("n"), _key(F.col("country")).alias("c"))
+    found = unique_pairs(open_clubs, open_ranked, ["c", "n"], "team_id", "club_slug")
+    return known.select("team_id", "club_slug", F.lit("REVIEWED").alias("method")).unionByName(found.withColumn("method", F.lit("EXACT_COUNTRY")))
 
 
 def team_rankings(pages: DataFrame, mapping: DataFrame) -> DataFrame:
     """Rows of mapped teams. pages: raw_id, source_url, observed_at beside the parsed columns."""
-    return pages.join(F.broadcast(mapping), "club_slug").select("raw_id", "team_id", "ranking_date", "observed_at", "source_url", "world_rank", "rating_points")
+    return pages.join(mapping.select("club_slug", "team_id"), "club_slug").select("raw_id", "team_id", "ranking_date", "observed_at", "source_url", "world_rank", "rating_points")
 
 
 def with_rankings(games: DataFrame, rankings: DataFrame) -> DataFrame:
-    """home_ and away_ rank and points of the newest ranking from an earlier day, at most 35 days old."""
+    """home_ and away_ rank and points of the newest ranking from an earlier day, at most 35 days old.
+
+    A ranking is valid from the day after its date, once it was observed, for MAX_AGE_DAYS days.
+    """
     take = {"world_rank": "{}_world_rank", "rating_points": "{}_world_rating_points", "ranking_date": "audit_{}_world_ranking_date", "observed_at": "audit_{}_world_ranking_observed_at", "source_url": "audit_{}_world_ranking_source"}
+    day = lambda n: F.date_add("_d", n).cast("timestamp")
+    start = F.greatest(F.timestamp_micros(F.unix_micros("_o") + 1), day(1))
     for side in ("home", "away"):
-        r = rankings.select(F.col("team_id").alias("_t"), F.col("raw_id").alias("_id"), F.col("ranking_date").alias("_d"), F.col("observed_at").alias("_o"), *[F.col(c).alias(n.format(side)) for c, n in take.items()])
-        age = F.datediff(F.to_date("utc_kickoff"), F.col("_d"))
-        fits = (F.col("_o") < F.col("utc_kickoff")) & (age > 0) & (age <= MAX_AGE_DAYS)
-        games = as_of_where(games, r, F.col(f"{side}_team_id") == F.col("_t"), "match_id", fits, F.struct("_d", "_o", "_id"), [n.format(side) for n in take.values()])
+        r = rankings.where("observed_at IS NOT NULL AND ranking_date IS NOT NULL").select(F.col("team_id").alias(f"{side}_team_id"), F.col("raw_id").alias("_id"), F.col("ranking_date").alias("_d"), F.col("observed_at").cast("timestamp").alias("_o"), *[F.col(c).alias(n.format(side)) for c, n in take.items()])
+        games = greatest_valid(games, r, [f"{side}_team_id"], ["match_id"], "utc_kickoff", start, day(MAX_AGE_DAYS + 1), [F.col("_d"), F.col("_o"), F.col("_id")], [n.format(side) for n in take.values()])
     return games.withColumns({"world_rating_points_difference": F.col("home_world_rating_points") - F.col("away_world_rating_points"), "world_rank_advantage_home": F.col("away_world_rank") - F.col("home_world_rank")})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,27 +20,9 @@ from tempora.plans import baseline, features, forecast, serve
 from tempora.plans.export import column_role
 from tempora.plans.facts import outcome
 from tempora.plans.fixtures import MATCHES_SQL, appearances, matches
+from tempora.registry import ORACLES, QUERIES, query, table
 from tempora.sources.ranking import links
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return appearances(matches(spark, sf_dir))
 
