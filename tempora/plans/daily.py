@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,15 +54,20 @@ def _apps(games: DataFrame) -> DataFrame:
 
 
 class Draft(dict):
-    """Tables by name; what is put in is written at once and read back, so that nothing is worked out twice."""
+    """Tables by name; what is put in is written at once and read back, so that nothing is worked out twice. What is
+    published stays where it was written; the store's vacuum takes the rest."""
 
-    def __init__(self, spark: SparkSession, base: str) -> None:
+    def __init__(self, store: Store) -> None:
         super().__init__()
-        self.spark, self.base = spark, f"{base}/drafts/{uuid.uuid4().hex}"
+        self.store, self.place = store, store.folder()
+
+    def folder(self, name: str) -> str:
+        return f"{self.place}/{name}"
 
     def __setitem__(self, name: str, df: DataFrame) -> None:
-        df.write.parquet(f"{self.base}/{name}")
-        super().__setitem__(name, self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}"))
+        path = f"{self.store.base}/{self.folder(name)}"
+        df.write.parquet(path)
+        super().__setitem__(name, self.store.spark.read.schema(df.schema).parquet(path))
 
 
 def transform(spark: SparkSession, store: Store, sources: Sources, clock: Clock) -> Draft:
@@ -71,7 +75,7 @@ def transform(spark: SparkSession, store: Store, sources: Sources, clock: Clock)
     def merged(name: str, fresh: DataFrame, keys: list[str], guard: str | None) -> DataFrame:
         return upsert(store.read(name, fresh.schema), fresh, keys, guard)
 
-    t = Draft(spark, store.base)
+    t = Draft(store)
     t["staging_matches"] = merged("staging_matches", staging.matches(sources.raw, clock), ["match_id"], "ingestion_date")
     t["staging_teams"] = merged("staging_teams", staging.teams(sources.raw, clock), ["team_id"], "ingestion_date")
     t["staging_standings"] = merged("staging_standings", staging.standings(sources.raw, clock), ["season_id", "team_id", "ingestion_date"], None)
@@ -136,7 +140,7 @@ def daily(spark: SparkSession, store: Store, sources: Sources, clock: Clock) ->
         if bad := failed(results):
             raise ChecksFailed(", ".join(bad))
         names = [*CHECKED, "staging_teams", "staging_standings", "weather_forecast", "staged_odds", "team_context_snapshot"]
-        return store.publish({n: draft[n] for n in names})
+        return store.publish(written={n: draft.folder(n) for n in names})
 
 
 CHECKED = ["staging_matches", "fact_match", "team_match_form", "dim_team", "dim_venue", "match_weather", "prediction", "bookmaker_odds", "event_match", "raw_odds", "team_crest", "product", "team_features", "team_context"]

@@ -62,6 +62,12 @@ def by_role(staged: DataFrame, *keys: str) -> DataFrame:
     return staged.groupBy(*keys).agg(role("HOME", "home_price"), role("DRAW", "draw_price"), role("AWAY", "away_price"))
 
 
+def event_changes(staged: DataFrame) -> DataFrame:
+    """One row for each distinct quote of an event, resolved or not, with the interval in which it was seen."""
+    quotes = by_role(staged, "fetched_at", "event_id", "bookmaker_key", "bookmaker_title", "market_key", "source_updated_at")
+    return quotes.groupBy("event_id", *QUOTE[1:]).agg(F.min("fetched_at").alias("first_seen_at"), F.max("fetched_at").alias("last_seen_at"), F.max_by("bookmaker_title", F.struct("fetched_at", "bookmaker_title")).alias("bookmaker_title"))
+
+
 def changes(staged: DataFrame, resolved: DataFrame) -> DataFrame:
     """One row for each distinct quote of a match, with the interval in which it was seen. Null prices are equal."""
     quotes = by_role(staged, "fetched_at", "event_id", "bookmaker_key", "bookmaker_title", "market_key", "source_updated_at")
