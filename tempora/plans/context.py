@@ -36,6 +36,26 @@ def players(squad: Column) -> Column:
     return F.transform(firsts, lambda x: x["p"])
 
 
+def squad_summary(squad: Column, observed: Column, home: Column) -> dict[str, Column]:
+    """Aggregates of a squad as it was observed, by name, without a join or an explode.
+
+    A count is null where there is no squad at all, ages where no birth date is known. Foreign players are counted
+    only where the nationality of all, and the club's own country, are known: a part of them would mislead.
+    """
+    some = F.size(squad) > 0
+    filled = lambda field: F.filter(F.transform(squad, lambda p: F.nullif(p[field], F.lit(""))), lambda x: x.isNotNull())
+    born = F.filter(F.transform(filled("dateOfBirth"), lambda d: d.try_cast("date")), lambda d: d.isNotNull())
+    ages = F.transform(born, lambda d: F.datediff(F.to_date(observed), d) / YEAR)
+    nations, roles = filled("nationality"), F.transform(squad, lambda p: role_of(p["position"]))
+    count = lambda c: F.when(some, c).cast("int")
+    return {
+        "squad_size": count(F.size(squad)), "squad_avg_age": F.aggregate(ages, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(ages), F.lit(0)), "squad_min_age": F.array_min(ages), "squad_max_age": F.array_max(ages),
+        "squad_nationalities": F.nullif(F.size(F.array_distinct(nations)), F.lit(0)),
+        "squad_foreign_players": F.when(some & (F.size(nations) == F.size(squad)) & home.isNotNull(), F.size(F.filter(nations, lambda n: n != home))),
+        "squad_missing_birthdates": count(F.size(squad) - F.size(born)), **{name: count(F.size(_equal(roles, role))) for role, name in ROLE_COUNTS.items()},
+    }
+
+
 def api_snapshots(raw: DataFrame, runs: DataFrame, clock: Clock) -> DataFrame:
     """A snapshot of every team of every answer that isn't by season.
 
@@ -45,22 +65,10 @@ def api_snapshots(raw: DataFrame, runs: DataFrame, clock: Clock) -> DataFrame:
     found = raw.where((F.col("ingestion_date") <= clock.today()) & F.col("endpoint").rlike(r"^(competitions/[^/]+/teams|teams/[0-9]+)$") & ~seasonal())
     timed = found.join(runs.select("run_id", "finished_at"), "run_id", "left").withColumn("observed_at", F.greatest("ingested_at", "finished_at"))
     rows = team_elements(timed).where("t.id IS NOT NULL").withColumn("squad", players(F.col("t.squad")))
-    some = F.size("squad") > 0
-    born = F.filter(F.transform("squad", lambda p: F.nullif(p["dateOfBirth"], F.lit("")).try_cast("date")), lambda d: d.isNotNull())
-    ages = F.transform(born, lambda d: F.datediff(F.to_date("observed_at"), d) / YEAR)
-    nations = F.filter(F.transform("squad", lambda p: F.nullif(p["nationality"], F.lit(""))), lambda n: n.isNotNull())
-    home = F.col("t.area.name")
-    count = lambda c: F.when(some, c).cast("int")
-    roles = F.transform("squad", lambda p: role_of(p["position"]))
-    mean = F.aggregate(ages, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(ages), F.lit(0))
     coach = F.col("t.coach")
     made = {
         "snapshot_id": F.concat_ws(":", F.lit("football"), F.col("raw_id").cast("string"), F.col("t.id").cast("string")), "team_id": F.col("t.id"), "source_url": F.col("request_url"),
-        "valid_from": F.col("observed_at"), "valid_until": F.lit(None).cast("timestamp"), "squad_size": count(F.size("squad")), "squad_avg_age": mean,
-        "squad_min_age": F.array_min(ages), "squad_max_age": F.array_max(ages), "squad_nationalities": F.nullif(F.size(F.array_distinct(nations)), F.lit(0)),
-        "squad_foreign_players": F.when(some & (F.size(nations) == F.size("squad")) & home.isNotNull(), F.size(F.filter(nations, lambda n: n != home))),
-        "squad_missing_birthdates": count(F.size("squad") - F.size(born)),
-        **{name: count(F.size(_equal(roles, role))) for role, name in ROLE_COUNTS.items()},
+        "valid_from": F.col("observed_at"), "valid_until": F.lit(None).cast("timestamp"), **squad_summary(F.col("squad"), F.col("observed_at"), F.col("t.area.name")),
         "coach_id": F.when(coach["id"].isNotNull(), F.concat(F.lit("football-data.org:"), coach["id"].cast("string"))), "coach_name": coach["name"],
         "coach_birth_date": F.nullif(coach["dateOfBirth"], F.lit("")).try_cast("date"), "coach_nationality": coach["nationality"], "coach_tenure_start": F.lit(None).cast("date"),
         "coach_contract_start": coach["contract"]["start"], "squad_market_value_eur": F.lit(None).cast("double"),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tempora.operators.lookback import before
+
 
 def page(product: DataFrame, number: int, size: int = 500, competitions: Sequence[str] = (), search: str = "", columns: Sequence[str] = ()) -> DataFrame:
     """A page of the product, newest kick-off first, in total order."""
@@ -90,3 +92,71 @@ def model_features(games: DataFrame, teams: DataFrame, form: DataFrame, weather:
     for more in (rain, guess, market):
         out = out.join(more, "match_id", "left")
     return out.drop("home_team_id", "away_team_id").withColumn("bookmaker_count", F.coalesce("bookmaker_count", F.lit(0)))
+
+
+def dataset_summary(product: DataFrame) -> DataFrame:
+    """One row: matches, labelled ones, distinct seasons and competitions."""
+    return product.agg(F.count("*").alias("matches"), F.count("label_outcome_90min").alias("labelled"), F.count_distinct("season_id").alias("seasons"), F.count_distinct("competition_code").alias("competitions"))
+
+
+def feature_coverage(rows: DataFrame, features: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """feature, present, share (percent), absent_because for each (label, column, reason), in one scan.
+
+    A form row always exists: it counts once it rests on a match. A column that isn't there is never present.
+    """
+    def present(column: str) -> Column:
+        if column not in rows.columns:
+            return F.lit(0).cast("long")
+        return F.count_if(F.coalesce(F.col(column) > 0, F.lit(False)) if column.endswith("_form_matches") else F.col(column).isNotNull())
+
+    counted = rows.agg(F.count("*").alias("_n"), *[present(c).alias(f"_p{i}") for i, (_, c, _) in enumerate(features)])
+    told = [F.struct(F.lit(label).alias("feature"), F.col(f"_p{i}").alias("present"), F.round(F.try_divide(100 * F.col(f"_p{i}"), F.col("_n"))).cast("int").alias("share"), F.lit(why).alias("absent_because")) for i, (label, _, why) in enumerate(features)]
+    return counted.select(F.inline(F.array(*told)))
+
+
+def leakage(games: DataFrame, form: DataFrame, weather: DataFrame, window: int = 5) -> DataFrame:
+    """guarantee, violations: the three rules that keep the future out, worked out again from the tables."""
+    sides = games.select("match_id", "utc_kickoff", "is_finished", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    done = F.coalesce(F.sum(F.when(F.col("is_finished"), 1)).over(before(["team_id"], "utc_kickoff")), F.lit(0))
+    expected = sides.select("match_id", "team_id", F.least(done, F.lit(window)).alias("_expected"))
+    wrong = form.join(expected, ["match_id", "team_id"]).where("matches_considered <> _expected")
+    late = weather.where("weather_status = 'AVAILABLE'").join(games.select("match_id", "utc_kickoff"), "match_id").where("forecast_fetched_at >= utc_kickoff")
+    odd = form.groupBy("match_id").agg(F.count("*").alias("n")).where("n <> 2")
+    count = lambda name, bad: bad.agg(F.count("*").alias("violations")).select(F.lit(name).alias("guarantee"), "violations")
+    return count("form rests on finished matches before kick-off", wrong).unionByName(count("weather was fetched before kick-off", late)).unionByName(count("a match has two form rows", odd))
+
+
+def pivot_mean(rows: DataFrame, index: Sequence[str], column: str, value: str, most: int = 200) -> DataFrame:
+    """index and one column for each value of `column`, with the mean of `value`; names in order.
+
+    A first pass finds the names, of which there may be `most`; more raise, since each is a column. Null names and
+    nulls in `value` count nowhere; an index without any value has no row.
+    """
+    known = rows.where(F.col(column).isNotNull() & F.col(value).isNotNull())
+    names = [r[0] for r in known.select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    if not names:
+        return rows.select(*index).limit(0)
+    return known.groupBy(*index).pivot(column, names).agg(F.avg(value))
+
+
+MODEL = "Model"
+
+
+def odds_history(facts: DataFrame, predictions: DataFrame, as_odds: bool = False) -> DataFrame:
+    """match_id, series, outcome, at, value: the steps of every bookmaker's complete quotes and of the model.
+
+    A quote stands from the fetch that first showed it; a bookmaker's newest one is drawn on to the fetch that last
+    confirmed it. Values are decimal odds, or margin-free probabilities in percent.
+    """
+    whole = facts.where("is_complete AND market_key = 'h2h'")
+    by = Window.partitionBy("match_id", "bookmaker_title").orderBy(*[F.col(c).desc() for c in ("last_seen_at", "first_seen_at", "source_updated_at", "home_price", "draw_price", "away_price")])
+    step = lambda at, quote: F.struct(F.col(at).alias("at"), *quote)
+    value = lambda s: (F.col(f"{s}_price").cast("double") if as_odds else 100 * F.col(f"{s}_prob_fair")).alias(f"{s}")
+    quote = [value(s) for s in ("home", "draw", "away")]
+    points = F.when(F.row_number().over(by) == 1, F.array(step("first_seen_at", quote), step("last_seen_at", quote))).otherwise(F.array(step("first_seen_at", quote)))
+    quoted = whole.withColumn("_points", points).select("match_id", F.col("bookmaker_title").alias("series"), F.inline("_points"))
+    model = lambda s: (F.try_divide(F.lit(1.0), F.col(f"{s}_prob")) if as_odds else 100 * F.col(f"{s}_prob")).alias(s)
+    modelled = predictions.select("match_id", F.lit(MODEL).alias("series"), F.col("predicted_at").alias("at"), *[model(s) for s in ("home", "draw", "away")])
+    return quoted.unionByName(modelled).unpivot(["match_id", "series", "at"], ["home", "draw", "away"], "outcome", "value")

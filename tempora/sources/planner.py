@@ -64,6 +64,27 @@ def transient_status(status: int) -> bool:
     return status == 429 or status >= 500
 
 
+def cached_seasons(raw: DataFrame, source: str, day: str) -> DataFrame:
+    """endpoint, season of stored answers by season that need no other fetch on `day`: the season has ended, and the
+    competition's own stored answer tells of a later one that has begun.
+
+    raw: source, endpoint, request_params and payload (JSON), ingestion_date; rows after `day` and of other sources
+    count nowhere. Whether any answer of the competition is later is a look-up by its newest start.
+    """
+    at = lambda column, path: F.get_json_object(column, path)
+    known = raw.where((F.col("source") == source) & (F.col("ingestion_date") <= F.lit(day).cast("date")))
+    ended = F.coalesce(at("payload", "$.season.endDate"), at("payload", "$.matches[0].season.endDate"))
+    held = known.select("endpoint", F.regexp_replace("endpoint", "/(matches|teams)$", "").alias("_root"), at("request_params", "$.season").alias("season"), ended.alias("_ended"))
+    begun = known.groupBy(F.col("endpoint").alias("_root")).agg(F.max(F.left(at("payload", "$.currentSeason.startDate"), F.lit(4))).alias("_begun"))
+    return held.where((F.col("season").isNotNull()) & (F.col("_ended") < day)).join(begun, "_root").where("_begun > season").select("endpoint", "season").distinct()
+
+
+def season_requests(wanted: DataFrame, cached: DataFrame) -> DataFrame:
+    """The wanted (endpoint, season) that aren't cached; a null season is the current one and always asked."""
+    same = wanted["endpoint"].eqNullSafe(cached["endpoint"]) & (wanted["season"] == cached["season"])
+    return wanted.join(cached, same, "left_anti")
+
+
 def missing_seasons(wanted: DataFrame, stored: DataFrame, current: DataFrame) -> DataFrame:
     """Seasons to fetch: (competition_code, season_start) of `wanted` without those that are stored, have ended and
     are older than the competition's current season."""
