@@ -17,7 +17,7 @@ from tempora.operators.match import best_unambiguous, interval_join, token_join
 from tempora.operators.merge import insert_if_absent, unseen, upsert, widen
 from tempora.operators.quality import CRITICAL, WARNING, Check, run
 from tempora.plans import baseline, features, forecast, serve
-from tempora.plans.export import column_role
+from tempora.plans.export import AUDIT_WORDS, IDENTIFIERS, coverage
 from tempora.plans.facts import outcome
 from tempora.plans.fixtures import MATCHES_SQL, appearances, matches
 from tempora.registry import ORACLES, QUERIES, query, table
@@ -481,7 +481,7 @@ def dq_checks(spark, sf_dir):
         Check("quantity_positive", "lineitem", CRITICAL, F.col("l_quantity") <= 0),
         Check("price_matches_customer", "orders", WARNING, F.col("o_totalprice") < 0),
     ]
-    return run(spark, tables, checks)
+    return run(spark, tables, checks).drop("observed").withColumnRenamed("n", "observed")
 
 
 @query("""WITH p AS (SELECT doc_id, quality, CASE WHEN n_chars > 1000 THEN 0.9 ELSE 0.6 END AS p FROM labels JOIN documents USING (doc_id))
@@ -493,12 +493,17 @@ def metrics_brier(spark, sf_dir):
     return baseline.class_metrics(scored).select("n", "accuracy", "brier", "log_loss")
 
 
-@query()
+@query("""SELECT page_id, CAST(unnest(range(len(h))) AS INTEGER) AS pos, unnest(h) AS href FROM (SELECT page_id, list_filter(list_transform(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>', ' ', 'g'), '(?is)<a\\s[^>]*>'), lambda a: regexp_extract(a, '(?is)\\shref="([^"]*)"', 1)), lambda x: x <> '') AS h FROM pages)""")
 def html_links(spark, sf_dir):
     return links(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
-@query()
+_AUDIT_SQL = " OR ".join(f"contains(column_name, '{w}')" for w in AUDIT_WORDS)
+
+
+@query(f"""WITH product AS ({ORACLES["training_product"]}), counted AS (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM product) ON COLUMNS(*) INTO NAME column_name VALUE n)
+SELECT column_name, CASE WHEN column_name LIKE 'label#_%' ESCAPE '#' THEN 'label' WHEN column_name IN ({", ".join(f"'{c}'" for c in sorted(IDENTIFIERS))}) OR column_name LIKE '%#_id' ESCAPE '#' OR column_name LIKE '%#_name' ESCAPE '#' THEN 'identifier'
+  WHEN column_name LIKE 'audit#_%' ESCAPE '#' OR column_name LIKE '%#_at' ESCAPE '#' OR {_AUDIT_SQL} THEN 'audit' ELSE 'feature' END AS role, CAST((SELECT count(*) FROM product) - n AS BIGINT) AS n_null, CAST((SELECT count(*) FROM product) AS BIGINT) AS n_rows FROM counted""")
 def export_roles(spark, sf_dir):
-    columns = _product(spark, sf_dir).columns
-    return spark.createDataFrame([(c, column_role(c)) for c in columns], "column_name string, role string")
+    """Role and nulls of every column of the training product."""
+    return coverage(_comparable(_product(spark, sf_dir)))

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
+from tempora.clock import Clock
+from tempora.operators.quality import run
 from tempora.plans import context, features, serve
+from tempora.plans.checks import checks
+from tempora.plans.facts import outcome
 from tempora.plans.fixtures import MATCHES_SQL, appearances, matches
 from tempora.queries import LEGACY_SQL, _LABEL_SQL, _labelled
 from tempora.queries_known import _QUOTES_SQL, _market
@@ -119,3 +125,60 @@ def odds_history(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     guess = c.select(F.col("c_nationkey").cast("long").alias("match_id"), F.timestamp_seconds("c_custkey").alias("predicted_at"), ((F.col("c_custkey") % 37 + 20) / 100).alias("home_prob"), F.lit(0.3).alias("draw_prob"), F.lit(0.2).alias("away_prob"))
     return serve.odds_history(facts, guess).select("match_id", "series", "outcome", F.unix_micros("at").alias("at_us"), F.round("value", 3).alias("value"))
+
+
+#: Checks of plans.checks whose tables the given ones can stand for.
+CHECKED = "fact_match_not_empty match_id_unique teams_differ finished_matches_have_an_outcome outcome_matches_the_goals goals_are_plausible every_match_has_two_form_rows form_counts_add_up form_uses_no_future_matches form_window_is_well_populated dim_team_complete prediction_for_every_match prediction_probabilities_sum_to_one odds_prices_plausible odds_events_resolved_to_fixtures odds_fresh_before_kickoff".split()
+_NOW = "2024-01-29 12:00:00"
+
+
+def _check_sql(name: str, target: str, severity: str, n: str, rest: str, unit: str = "", passed: str = "n = 0") -> str:
+    return f"SELECT v, '{name}' AS check_name, '{target}' AS target, '{severity}' AS severity, n || '{unit}' AS observed, CAST(n AS BIGINT) AS n, {passed} AS passed FROM (SELECT v, {n} AS n FROM variants LEFT JOIN {rest} GROUP BY v)"
+
+
+_FACT = "fact_match", "CRITICAL"
+_CHECKS_SQL = " UNION ALL ".join([
+    _check_sql("fact_match_not_empty", *_FACT, "count(match_id)", "fact USING (v)", passed="n >= 1"),
+    _check_sql("match_id_unique", *_FACT, "count(k)", "(SELECT v, match_id AS k FROM fact GROUP BY ALL HAVING count(*) > 1) USING (v)"),
+    _check_sql("teams_differ", *_FACT, "count(*) FILTER (WHERE home_team_id = away_team_id)", "fact USING (v)"),
+    _check_sql("finished_matches_have_an_outcome", *_FACT, "count(*) FILTER (WHERE is_finished AND outcome IS NULL)", "fact USING (v)"),
+    _check_sql("outcome_matches_the_goals", *_FACT, "count(*) FILTER (WHERE outcome <> CASE WHEN home_goals > away_goals THEN 'HOME_WIN' WHEN home_goals < away_goals THEN 'AWAY_WIN' ELSE 'DRAW' END)", "fact USING (v)"),
+    _check_sql("goals_are_plausible", "fact_match", "WARNING", "count(*) FILTER (WHERE home_goals NOT BETWEEN 0 AND 15 OR away_goals NOT BETWEEN 0 AND 15)", "fact USING (v)"),
+    _check_sql("every_match_has_two_form_rows", "team_match_form", "CRITICAL", "count(k)", "(SELECT match_id AS k FROM form GROUP BY 1 HAVING count(*) <> 2) ON true"),
+    _check_sql("form_counts_add_up", "team_match_form", "CRITICAL", "count(*) FILTER (WHERE wins_last_5 + draws_last_5 + losses_last_5 <> matches_considered)", "form ON true"),
+    _check_sql("form_uses_no_future_matches", "team_match_form", "CRITICAL", "count(done)", "(SELECT d.v, d.done FROM done d JOIN form f ON f.match_id = d.match_id AND f.team_id = d.team_id WHERE matches_considered > done) USING (v)"),
+    "SELECT v, 'form_window_is_well_populated', 'team_match_form', 'WARNING', (SELECT round(100.0::DOUBLE * count(*) FILTER (WHERE matches_considered >= 3) / count(*), 1) || ' % with 3 matches or more' FROM form), NULL, (SELECT avg(matches_considered) >= 3 FROM form) FROM variants",
+    _check_sql("dim_team_complete", "dim_team", "CRITICAL", "count(team_id)", "(SELECT DISTINCT v, unnest([home_team_id, away_team_id]) AS team_id FROM fact) t ON t.v = variants.v AND team_id NOT IN (SELECT s_suppkey FROM supplier)").replace("SELECT v, count", "SELECT variants.v, count").replace("GROUP BY v)", "GROUP BY 1)"),
+    _check_sql("prediction_for_every_match", "prediction", "CRITICAL", "count(match_id)", "fact ON fact.v = variants.v AND match_id NOT IN (SELECT c_custkey FROM customer)", " matches without a forecast").replace("SELECT v, count", "SELECT variants.v, count").replace("GROUP BY v)", "GROUP BY 1)"),
+    _check_sql("prediction_probabilities_sum_to_one", "prediction", "CRITICAL", "count(*) FILTER (WHERE c_custkey % 10 = 0)", "customer ON true"),
+    _check_sql("odds_prices_plausible", "bookmaker_odds", "WARNING", "count(*) FILTER (WHERE NOT (home_price BETWEEN 1.01 AND 1000) OR NOT (draw_price BETWEEN 1.01 AND 1000) OR NOT (away_price BETWEEN 1.01 AND 1000) OR NOT (round(1 / home_price::DOUBLE + 1 / draw_price::DOUBLE + 1 / away_price::DOUBLE - 1, 5) BETWEEN -0.02 AND 0.30))", "facts ON true"),
+    "SELECT v, 'odds_events_resolved_to_fixtures', 'event_match', 'WARNING', (SELECT array_to_string(list('H' || user_id || ' vs A' || user_id ORDER BY at_, 'H' || user_id || ' vs A' || user_id)[1:200], '; ') || ' (' || count(*) || ' unmatched)' FROM (SELECT user_id, min(ts) AS at_ FROM events WHERE user_id % 11 = 0 GROUP BY 1)), (SELECT CAST(count(DISTINCT user_id) AS BIGINT) FROM events WHERE user_id % 11 = 0), (SELECT count(*) = 0 FROM events WHERE user_id % 11 = 0) FROM variants",
+    f"SELECT v, 'odds_fresh_before_kickoff', 'raw_odds', 'WARNING', (SELECT 'newest fetch ' || strftime(max(hour), '%Y-%m-%d %H:%M') FROM raw), NULL, NOT (SELECT count(*) > 0 FROM fact f WHERE f.v = variants.v AND NOT is_finished AND utc_kickoff BETWEEN TIMESTAMP '{_NOW}' AND TIMESTAMP '{_NOW}' + INTERVAL 1 DAY) OR (SELECT max(hour) FROM raw) > TIMESTAMP '{_NOW}' - INTERVAL 1 DAY FROM variants",
+])
+
+
+@query(f"""WITH {MATCHES_SQL}, {_QUOTES_SQL}, form AS ({LEGACY_SQL.replace("WITH " + MATCHES_SQL, "")}), variants AS (SELECT unnest(['sound', 'broken']) AS v),
+labelled AS (SELECT *, CASE WHEN is_finished THEN CASE WHEN home_goals > away_goals THEN 'HOME_WIN' WHEN home_goals < away_goals THEN 'AWAY_WIN' WHEN home_goals = away_goals THEN 'DRAW' END END AS outcome FROM matches),
+fact AS (SELECT 'sound' AS v, * FROM labelled UNION ALL
+  SELECT 'broken', match_id, utc_kickoff, competition_code, season_id, is_finished AND match_id % 9 <> 0, home_team_id, CASE WHEN match_id % 100 = 0 THEN home_team_id ELSE away_team_id END, CASE WHEN match_id % 70 = 0 THEN 16 ELSE home_goals END, away_goals, outcome FROM labelled),
+done AS (SELECT v, match_id, team_id, count(*) FILTER (WHERE is_finished) OVER (PARTITION BY v, team_id ORDER BY utc_kickoff RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS done FROM (SELECT v, match_id, utc_kickoff, is_finished, unnest([home_team_id, away_team_id]) AS team_id FROM fact))
+SELECT v AS variant, check_name, target, severity, observed, n, passed FROM ({_CHECKS_SQL})""")
+def quality_checks(spark, sf_dir):
+    """The plan's own checks, with their texts, over tables that stand for its own and over a broken variant."""
+    clock = Clock.at("2024-01-29", datetime(2024, 1, 29, 12, tzinfo=timezone.utc))
+    games = matches(spark, sf_dir)
+    form = features.legacy_form(appearances(games))
+    facts, raw, *_ = _market(spark, sf_dir)
+    users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min(F.col("ts").cast("timestamp")).alias("commence_time"))
+    name = lambda p: F.concat(F.lit(p), F.col("user_id").cast("string"))
+    odd = F.when(F.col("c_custkey") % 10 == 0, 0.6).otherwise(0.5)
+    tables = {
+        "team_match_form": form, "dim_team": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("team_id")), "bookmaker_odds": facts, "raw_odds": raw,
+        "event_match": users.select("commence_time", name("H").alias("home_team_name"), name("A").alias("away_team_name"), F.when(F.col("user_id") % 11 != 0, F.col("user_id")).alias("match_id")),
+        "prediction": table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("match_id"), odd.alias("home_prob"), F.lit(0.3).alias("draw_prob"), F.lit(0.2).alias("away_prob")),
+    }
+    own = [c for c in checks(clock) if c.name in CHECKED]
+    sound = games.withColumn("outcome", F.when(F.col("is_finished"), outcome()))
+    broken = sound.withColumns({"is_finished": F.col("is_finished") & (F.col("match_id") % 9 != 0), "away_team_id": F.when(F.col("match_id") % 100 == 0, F.col("home_team_id")).otherwise(F.col("away_team_id")), "home_goals": F.when(F.col("match_id") % 70 == 0, 16).otherwise(F.col("home_goals"))})
+    told = [run(spark, {**tables, "fact_match": fact}, own).select(F.lit(v).alias("variant"), "*") for v, fact in (("sound", sound), ("broken", broken))]
+    return told[0].unionByName(told[1])

@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import html as entities
-from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,25 +75,22 @@ def one_edition(parsed: DataFrame) -> DataFrame:
     return seen.withColumn("complete", F.coalesce((F.col("refused") == 0) & (F.col("dates") == 1) & (F.col("pages") == F.col("last_page")), F.lit(False)))
 
 
-class _Links(HTMLParser):
-    found: list[str]
-
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.found += [v for k, v in attrs if tag == "a" and k == "href" and v][-1:]
+#: What a page shows nothing of: comments, scripts and styles.
+_HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+#: A start tag of a link, whose attribute values may hold a >; and its target: quoted either way, or bare.
+_ANCHOR = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""
+_HREF = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def links(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """key, position and target of every link of every page."""
-    kinds = pa.schema([(key, pa.int64()), ("pos", pa.int32()), ("href", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                reader = _Links()
-                reader.found = []
-                reader.feed(text or "")
-                out += [{key: k, "pos": i, "href": h} for i, h in enumerate(reader.found)]
-            yield pa.RecordBatch.from_pylist(out, schema=kinds)
-
-    return pages.select(key, html).mapInArrow(run, f"{key} long, pos int, href string")
+    """key, pos (from 0) and href of every link of every page, by patterns.
+
+    Comments, scripts and styles are left out, anchors without a target or with an empty one too. Entities are
+    resolved; only targets that have any go through Python. A null page has no link.
+    """
+    shown = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), _HIDDEN, " ")
+    written = F.transform(F.regexp_extract_all(shown, F.lit(_ANCHOR), F.lit(0)), lambda a: F.regexp_extract(a, _HREF, 1))
+    bare = F.transform(written, lambda h: F.when(h.rlike("^[\"']"), F.substring(h, F.lit(2), F.length(h) - 2)).otherwise(h))
+    found = pages.select(key, F.posexplode(F.filter(bare, lambda h: h != "")).alias("pos", "href"))
+    plain = found.where(~F.col("href").contains("&"))
+    return plain.unionByName(found.where(F.col("href").contains("&")).withColumn("href", _unescaped("href")))

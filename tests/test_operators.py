@@ -15,7 +15,7 @@ from tempora.operators.latest import keep_latest, newest
 from tempora.operators.lookback import HOUR, look_back, range_counts, totals_before
 from tempora.operators.merge import insert_if_absent, outcome, upsert, widen
 from tempora.plans import baseline, features, forecast
-from tempora.plans.export import column_role, export
+from tempora.plans.export import column_role, describe, export, verify_export
 from tempora.plans.fixtures import appearances
 from tempora.queries import QUERIES
 
@@ -158,15 +158,40 @@ def test_clock():
 
 def test_export_and_roles(spark, tmp_path):
     assert [column_role(c) for c in ("label_x", "match_id", "weather_status", "audit_y", "seen_at", "home_points", "label_available")] == ["label", "identifier", "audit", "audit", "audit", "feature", "label"]
-    df = spark.createDataFrame([(2, None), (1, "x")], "match_id int, home_kind string")
+    df = describe(spark.createDataFrame([(2, None), (1, "x")], "match_id int, home_kind string"), {"home_kind": 'of the "home" side'})
     target = f"file://{tmp_path}/v1"
-    m = export(df, target, ["match_id"], "v1")
-    assert m["rows"] == 2 and m["roles"]["home_kind"] == "feature"
+    m = export(df, target, ["match_id"], "v1", single_file=True)
+    assert m["rows"] == 2 and m["roles"]["home_kind"] == "feature" and len(m["files"]) == 1
     assert [r["match_id"] for r in spark.read.csv(f"{target}/data", header=True).collect()] == ["1", "2"]
+    told = {r["column_name"]: r["description"] for r in spark.read.csv(f"{target}/dictionary", header=True, escape='"').collect()}
+    assert told == {"match_id": "match id", "home_kind": 'of the "home" side'}
     with pytest.raises(FileExistsError):
         export(df, target, ["match_id"], "v1")
 
 
+def test_export_is_ordered_over_many_files(spark, tmp_path):
+    r = random.Random(4)
+    rows = [(i, START + timedelta(hours=r.randrange(500)), r.choice(["", None, 'a "b", c', "line\nline", "\\", "é"]), r.random()) for i in range(900)]
+    df = spark.createDataFrame(rows, "match_id int, utc_kickoff timestamp, note string, x double")
+    target = f"{tmp_path}/v1"
+    with_many = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in with_many}
+    for k, v in with_many.items():
+        spark.conf.set(k, v)
+    m = export(df, target, ["utc_kickoff", "match_id"], "v1")
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert len(m["files"]) > 1 and m["files"] == sorted(m["files"], key=lambda f: f["file"]) and sum(f["rows"] for f in m["files"]) == 900
+    got = []
+    for f in m["files"]:  # names keep the order
+        got += [(x["utc_kickoff"], int(x["match_id"]), x["note"] or "") for x in spark.read.options(header=True, escape='"', multiLine=True).csv(f"{target}/data/{f['file']}").collect()]
+    assert [(i, n) for _, i, n in got] == [(i, n or "") for i, at, n, _ in sorted(rows, key=lambda x: (x[1], x[0]))]
+    assert verify_export(spark, target) == []
+    lost = sorted((tmp_path / "v1" / "data").glob("part-*"))[0]
+    lost.unlink()
+    assert verify_export(spark, target) == [f"{lost.name} is missing", "rows", "content"]
+
+
 def test_baseline_beats_the_prior(spark):
     r = random.Random(8)
     rows = []
