@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from tempora.operators.quality import failed, run
 from tempora.operators.sides import pivot_sides, points, unpivot_sides
 from tempora.plans import context, facts, features, forecast, odds, ranking, staging, weather
 from tempora.plans.checks import checks
+from tempora.plans.export import describe
 from tempora.plans.runs import Run
 from tempora.store import Store
 
@@ -112,7 +114,8 @@ def transform(spark: SparkSession, store: Store, sources: Sources, clock: Clock)
     ranking.check_reviewed(sources.get("reviewed"))
     mapping = ranking.resolve(t["dim_team"], sources.get("ranking_pages"), sources.get("reviewed"), sources.get("aliases"))
     rankings = ranking.team_rankings(sources.get("ranking_pages"), mapping)
-    t["product"] = wide(training, t["team_features"], t["team_context"], t["match_weather"], odds.training_summary(training, odds.training_quotes(staged, t["raw_odds"], t["event_match"], sources.odds_source)), rankings)
+    product = wide(training, t["team_features"], t["team_context"], t["match_weather"], odds.training_summary(training, odds.training_quotes(staged, t["raw_odds"], t["event_match"], sources.odds_source)), rankings)
+    t["product"] = audited(product, t["staging_matches"], t["dim_team"], clock)
     t["team_crest"] = sources.get("team_crest")
     return t
 
@@ -129,6 +132,39 @@ def wide(training: DataFrame, team: DataFrame, known: DataFrame, rain: DataFrame
     return ranking.with_rankings(out.join(market, "match_id", "left"), rankings)
 
 
+#: What the rows rest on, and the version of the features. Such columns are marked as audit.
+RESTS_ON = "history_first_kickoff history_last_kickoff history_last_available_at context_observed_at context_source squad_source squad_observed_at coach_id coach_name coach_source coach_observed_at market_value_observed_at market_value_source".split()
+FEATURE_VERSION = "regular-time-v3"
+
+
+def audited(product: DataFrame, staged: DataFrame, teams: DataFrame, clock: Clock) -> DataFrame:
+    """The product as it is handed out: what a row rests on, names and the state of its match as audit columns.
+
+    The result itself stays in label columns only.
+    """
+    name = lambda side: teams.select(F.col("team_id").alias(f"{side}_team_id"), F.col("name").alias(f"audit_{side}_team_name"))
+    state = staged.select("match_id", F.col("status").alias("audit_match_status"), F.col("duration").alias("audit_result_duration"), F.col("last_updated").alias("audit_result_last_updated"), F.col("ingestion_date").alias("audit_ingestion_date"))
+    out = product.withColumnsRenamed({f"{side}_{c}": f"audit_{side}_{c}" for side in ("home", "away") for c in RESTS_ON})
+    out = out.drop("is_finished", "home_goals", "away_goals").join(state, "match_id").join(name("home"), "home_team_id").join(name("away"), "away_team_id")
+    out = out.withColumns({"audit_computed_at": clock.now(), "audit_feature_version": F.lit(FEATURE_VERSION)})
+    keys = ["match_id", "season_id", "competition_code", "utc_kickoff", "match_date", "stage", "matchday", "home_team_id", "away_team_id"]
+    return describe(out.select(*keys, *[c for c in out.columns if c not in keys]), comments(out.columns))
+
+
+def comments(columns: list[str]) -> dict[str, str]:
+    """What the columns say, by the families that their names follow."""
+    families = [
+        (r"^label_", "target: the result after 90 minutes, never a feature"), (r"^audit_", "what the row rests on; not a feature"),
+        (r"_last_\d+_days$", "finished matches in so many days, up to three hours before kick-off"), (r"_last_\d+$", "results known three hours before kick-off; counts are 0 without one, rates null"),
+        (r"_season_", "this season's results known three hours before kick-off"), (r"squad_|coach_|context_", "the newest squad, coach or value known and valid at kick-off"),
+        (r"^(weather|temperature|precipitation|wind)", "forecast for the hour of kick-off, made before it"), (r"^odds_", "over each bookmaker's last complete and plausible quote before kick-off"), (r"world_", "world ranking of an earlier day, at most 35 days old"),
+    ]
+    side = lambda c: next((f"{s} team: " for s in ("home", "away") if c.startswith((f"{s}_", f"audit_{s}_"))), "")
+    told = {c: next((why for pattern, why in families if re.search(pattern, c)), None) for c in columns}
+    plain = lambda c: re.sub("^(audit_)?(home_|away_)?", "", c).replace("_", " ")
+    return {c: f"{side(c)}{plain(c)}; {why}" for c, why in told.items() if why}
+
+
 def daily(spark: SparkSession, store: Store, sources: Sources, clock: Clock) -> str:
     """Transform, write, check what was written, publish. A critical failure leaves the published version as it is."""
     with Run(spark, f"{store.base}/runs", PIPELINE, clock) as log:

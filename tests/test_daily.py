@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tempora.clock import Clock
 from tempora.plans import daily, odds, staging
 from tempora.plans.daily import Sources
+from tempora.plans.export import column_role
 from tempora.sources import raw
 from tempora.store import Store
 
@@ -101,6 +102,11 @@ def test_matches_and_labels(published):
     assert one(p, match_id=90)["label_outcome_90min"] == "DRAW"
     assert one(p, match_id=91)["label_outcome_90min"] is None and not one(p, match_id=91)["label_available"]
     assert one(p, match_id=101)["label_home_goals_90min"] is None
+    extra = one(p, match_id=90)
+    assert (extra["audit_match_status"], extra["audit_result_duration"], extra["audit_home_team_name"], extra["audit_ingestion_date"], extra["audit_feature_version"]) == ("FINISHED", "EXTRA_TIME", "Alpha FC", DAY, "regular-time-v3")
+    assert {"home_goals", "away_goals", "is_finished", "home_coach_id"}.isdisjoint(p.columns) and {"audit_home_coach_id", "audit_away_history_last_kickoff", "audit_computed_at"} <= set(p.columns)
+    assert not [c for c in p.columns if column_role(c) == "feature" and c in ("home_goals", "away_goals")] and p.schema["home_points_last_5"].metadata["comment"].startswith("home team: points last 5; results known")
+    assert len(p.columns) == 304
     assert one(store.read("fact_match"), match_id=100)["is_upcoming"]
 
 
