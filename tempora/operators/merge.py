@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tempora.operators.latest import keep_latest
 
@@ -37,6 +38,15 @@ def insert_if_absent(old: DataFrame, new: DataFrame, keys: Sequence[str], order:
     return old.unionByName(fresh.alias("n").join(old.select(*keys).alias("o"), same, "left_anti"))
 
 
+def first_seen(old: DataFrame, new: DataFrame, keys: Sequence[str], checked: str, seen: str) -> DataFrame:
+    """One row a key (null-safe): the one of the earliest `seen`, a stored one before incoming ones, as it is but for
+    `checked`, which becomes the greatest of the key's: what comes again is touched, not replaced."""
+    by = Window.partitionBy(*keys)
+    first = F.row_number().over(by.orderBy("_new", F.col(seen).asc_nulls_last()))
+    both = _both(old, new).withColumns({"_n": first, "_last": F.max(checked).over(by)})
+    return both.where("_n = 1").withColumn(checked, F.col("_last")).select(old.columns)
+
+
 def unseen(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key the store doesn't have."""
     return incoming.join(stored.select(*keys).distinct(), list(keys), "left_anti")

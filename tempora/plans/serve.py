@@ -23,6 +23,11 @@ def page(product: DataFrame, number: int, size: int = 500, competitions: Sequenc
     return ordered.select(*columns) if columns else ordered
 
 
+def page_csv(rows: DataFrame, target: str) -> None:
+    """A page as one CSV file in a new folder, in its order; a page is bounded by its size."""
+    rows.coalesce(1).write.options(header=True, escape='"').csv(target)
+
+
 def column_group(product: DataFrame, prefixes: Sequence[str]) -> list[str]:
     keys = [c for c in ("match_id", "utc_kickoff", "home_team_id", "away_team_id") if c in product.columns]
     return [*keys, *[c for c in product.columns if c not in keys and c.startswith(tuple(prefixes))]]

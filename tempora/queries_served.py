@@ -7,6 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from tempora.clock import Clock
+from tempora.functions import weather
+from tempora.operators.latest import keep_latest
+from tempora.operators.merge import first_seen
 from tempora.operators.quality import run
 from tempora.plans import context, features, serve
 from tempora.plans.checks import checks
@@ -182,3 +185,47 @@ def quality_checks(spark, sf_dir):
     broken = sound.withColumns({"is_finished": F.col("is_finished") & (F.col("match_id") % 9 != 0), "away_team_id": F.when(F.col("match_id") % 100 == 0, F.col("home_team_id")).otherwise(F.col("away_team_id")), "home_goals": F.when(F.col("match_id") % 70 == 0, 16).otherwise(F.col("home_goals"))})
     told = [run(spark, {**tables, "fact_match": fact}, own).select(F.lit(v).alias("variant"), "*") for v, fact in (("sound", sound), ("broken", broken))]
     return told[0].unionByName(told[1])
+
+
+_CODES_SQL = "MAP {" + ", ".join(f"{k}: '{v}'" for k, v in weather.CODES.items()) + "}"
+_WHY_SQL = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in weather.WHY.items())
+_STATES = ["AVAILABLE", "NOT_YET_AVAILABLE", *weather.WHY]
+
+
+@query(f"""WITH e AS (SELECT event_id, CAST(ts AS DATE) AS day, CAST(json_extract(props, '$.k') AS INTEGER) AS k, [{", ".join(f"'{s}'" for s in _STATES)}][event_id % 5 + 1] AS status FROM events)
+SELECT event_id, {_CODES_SQL}[k] AS weather, CASE status WHEN 'NOT_YET_AVAILABLE' THEN 'forecasts reach 16 days ahead: from ' || CAST(day - 15 AS VARCHAR) {_WHY_SQL} END AS why FROM e""")
+def weather_words(spark, sf_dir):
+    """Codes and states of events in words."""
+    status = F.get(F.array(*map(F.lit, _STATES)), (F.col("event_id") % 5).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", weather.description(F.get_json_object("props", "$.k")).alias("weather"), weather.why_absent(status, F.to_date("ts")).alias("why"))
+
+
+@query("""WITH s AS (SELECT user_id, event_type, floor(value / 20) AS digest, event_id, ts, CAST(ts AS DATE) AS day, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END AS new FROM events),
+k AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, digest, new ORDER BY ts, event_id) AS n FROM s)
+SELECT user_id, event_type, CAST(digest AS BIGINT) AS digest, arg_min(event_id, struct_pack(new, ts)) AS event_id, CAST(max(day) AS VARCHAR) AS checked FROM k WHERE n = 1 OR new = 1 GROUP BY ALL""".replace("WHERE n = 1 OR new = 1 GROUP BY ALL", "GROUP BY 1, 2, 3"))
+def first_seen_touched(spark, sf_dir):
+    """Captures of the second half of the month touch those of the first that they repeat."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", F.floor(F.col("value") / 20).cast("long").alias("digest"), "event_id", "ts", F.to_date("ts").alias("checked"))
+    half = F.lit("2024-01-15").cast("timestamp_ntz")
+    keys = ["user_id", "event_type", "digest"]
+    old = keep_latest(e.where(F.col("ts") < half), keys, [F.col("ts"), F.col("event_id")])
+    last = e.where(F.col("ts") < half).groupBy(*keys).agg(F.max("checked").alias("checked"))
+    stored = old.drop("checked").join(last, keys).select(e.columns)
+    out = first_seen(stored, e.where(F.col("ts") >= half), keys, "checked", "ts")
+    return out.select(*keys, "event_id", F.col("checked").cast("string").alias("checked"))
+
+
+@query("""WITH f AS (SELECT event_type AS endpoint, CAST(user_id % 7 AS VARCHAR) AS request_params, ts, CASE WHEN event_id % 3 = 0 THEN CAST(floor(value) AS BIGINT) END AS remaining FROM events WHERE event_type <> 'error'),
+a AS (SELECT ts AS any_, remaining FROM f ORDER BY ts DESC LIMIT 1)
+SELECT endpoint, request_params, epoch_us(CASE WHEN a.remaining <= 20 THEN any_ ELSE max(ts) END) AS last_us, a.remaining AS remaining FROM f, a GROUP BY endpoint, request_params, a.remaining, any_""")
+def fetch_state(spark, sf_dir):
+    """Events as fetches of many requests on one account."""
+    e = table(spark, sf_dir, "events")
+    fetches = e.select(F.when(F.col("event_type") == "error", "sample").otherwise("live").alias("source"), F.col("event_type").alias("endpoint"), (F.col("user_id") % 7).cast("string").alias("request_params"), F.col("ts").cast("timestamp").alias("ingested_at"), F.when(F.col("event_id") % 3 == 0, F.floor("value").cast("long")).alias("remaining"))
+    return planner.fetch_state(fetches, "live", 20).select("endpoint", "request_params", F.unix_micros("last_at").alias("last_us"), "remaining")
+
+
+@query(f"WITH {MATCHES_SQL} SELECT match_id, epoch_us(utc_kickoff) AS at_us, home_team_id FROM matches WHERE NOT is_finished AND CAST(utc_kickoff AS DATE) BETWEEN DATE '2024-01-26' AND DATE '2024-01-28'")
+def unplayed_between(spark, sf_dir):
+    games = matches(spark, sf_dir).withColumn("match_date", F.to_date("utc_kickoff"))
+    return planner.unplayed(games, "2024-01-26", "2024-01-28").select("match_id", F.unix_micros("utc_kickoff").alias("at_us"), "home_team_id")

@@ -44,8 +44,8 @@ def _error() -> Column:
     some = lambda xs: F.coalesce(*[c(x) for x in xs]).isNotNull()
     total = sum((F.coalesce(c(f"_{x}"), F.lit(0)) for x in POSITIONS), F.lit(0))
     rules: list[tuple[Column, str]] = [
-        (c("_bad").isNotNull(), "row length does not match the header"),
-        (F.greatest(*[c(x).isNull() for x in REQUIRED]), "required values must not be empty"),
+        (c("_bad").isNotNull(), "more or fewer cells than columns"),
+        (F.greatest(*[c(x).isNull() for x in REQUIRED]), "a required cell is empty"),
         (c("_team").isNull() | (c("_team") <= 0), "team_id must be positive"),
         *[(zoned(x), f"{x} requires a time zone") for x in ("observed_at", "valid_from", "valid_until")],
         (c("_valid_until") <= c("_valid_from"), "valid_until must be later than valid_from"),
@@ -54,8 +54,8 @@ def _error() -> Column:
         (wrong("squad_market_value_eur") | (c("_squad_market_value_eur") < 0) | F.isnan("_squad_market_value_eur") | (c("_squad_market_value_eur") == float("inf")), "squad_market_value_eur must be finite, 0 or more"),
         (c("_squad_size") == 0, "squad_size must be positive"),
         (F.greatest(*[F.coalesce(c(f"_{x}"), F.lit(0)) for x in COUNTS]) > c("_squad_size"), "a count exceeds squad_size"),
-        (total > c("_squad_size"), "position counts exceed squad_size"),
-        (c("squad_size").isNull() & some(COUNTS + AGES), "squad features require squad_size"),
+        (total > c("_squad_size"), "players by position are more than squad_size"),
+        (c("squad_size").isNull() & some(COUNTS + AGES), "squad figures without squad_size"),
         *[(c(f"_{a}") > c(f"_{b}"), f"{a} exceeds {b}") for a, b in (("squad_min_age", "squad_avg_age"), ("squad_avg_age", "squad_max_age"), ("squad_min_age", "squad_max_age"))],
         *[(wrong(x), f"{x} is not a date") for x in ("coach_birth_date", "coach_tenure_start")],
         (c("coach_id").isNotNull() & (c("coach_namespace").isNull() | c("coach_name").isNull()), "coach_id requires coach_namespace and coach_name"),

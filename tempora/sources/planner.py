@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from typing import TypeVar
@@ -48,6 +48,41 @@ def plan_fetch(now: datetime, has_key: bool, last_at: datetime | None, remaining
     return next((Plan(go, why) for holds, go, why in rules if holds), Plan(True, "a watched match is near"))
 
 
+@dataclass(frozen=True)
+class Quota:
+    """Credits as an answer's headers tell them; what is missing or no number is unknown."""
+
+    remaining: int | None = None
+    used: int | None = None
+    last: int | None = None
+
+    @classmethod
+    def of(cls, headers: Mapping[str, str]) -> Quota:
+        def number(what: str) -> int | None:
+            told = {k.lower(): v for k, v in headers.items()}.get(f"x-requests-{what}")
+            try:
+                return None if told is None else int(float(told))
+            except (TypeError, ValueError, OverflowError):
+                return None
+
+        return cls(number("remaining"), number("used"), number("last"))
+
+
+def fetch_state(fetches: DataFrame, source: str, reserve: int) -> DataFrame:
+    """endpoint, request_params, last_at, remaining for every request that was made: when it counts as last made, and
+    the account's credits.
+
+    Credits belong to the account: those that its newest answer tells, if any. The cadence belongs to the request; at
+    the reserve, it is that of the account, so that one probe a day is left and not one for each request.
+    fetches: source, endpoint, request_params, ingested_at, remaining.
+    """
+    live = fetches.where(F.col("source") == source)
+    account = live.agg(F.max("ingested_at").alias("_any"), F.max_by("remaining", "ingested_at").alias("remaining"))  # one row
+    own = live.groupBy("endpoint", "request_params").agg(F.max("ingested_at").alias("_own"))
+    low = F.coalesce(F.col("remaining") <= reserve, F.lit(False))
+    return own.crossJoin(F.broadcast(account)).select("endpoint", "request_params", F.when(low, F.col("_any")).otherwise(F.col("_own")).alias("last_at"), "remaining")
+
+
 def retry(call: Callable[[], T], transient: Callable[[Exception], bool], attempts: int = 4, first_wait: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> T:
     """Call again after a transient failure, waiting twice as long each time; other failures pass at once."""
     for n in range(attempts):
@@ -107,3 +142,21 @@ def upcoming(games: DataFrame, clock, hours: int) -> DataFrame:
     """Unplayed matches that kick off within `hours` of the pinned clock."""
     until = clock.now() + F.make_dt_interval(hours=F.lit(hours))
     return games.where(~F.col("is_finished") & (F.col("utc_kickoff") > clock.now()) & (F.col("utc_kickoff") <= until)).orderBy("utc_kickoff", "match_id")
+
+
+def unplayed(games: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Unplayed matches in order of kick-off, those of the days between first and last where these are given."""
+    out = games.where(~F.col("is_finished"))
+    if first is not None and last is not None:
+        out = out.where(F.col("match_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return out.select("match_id", "utc_kickoff", "match_date", "home_team_id").orderBy("utc_kickoff", "match_id")
+
+
+def kickoffs_of(games: DataFrame, watched: DataFrame) -> DataFrame:
+    """match_id, utc_kickoff of the watched matches (match_id), in order; none where none is watched."""
+    return games.join(watched.select("match_id").distinct(), "match_id", "left_semi").select("match_id", "utc_kickoff").orderBy("utc_kickoff", "match_id")
+
+
+def clubs(teams: DataFrame) -> DataFrame:
+    """What the sources need to know of each club."""
+    return teams.select("team_id", "name", "venue", "country", "crest_url").orderBy("team_id")

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import html as entities
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from tempora.operators.latest import keep_latest, newest
+from tempora.operators.merge import first_seen
 
 #: Most rows of a page.
 PAGE_ROWS = 50
@@ -69,10 +74,53 @@ def parse_pages(pages: DataFrame, page: str = "page", html: str = "html") -> Dat
     return good.unionByName(told.where("error IS NOT NULL"), allowMissingColumns=True).select(COLUMNS)
 
 
-def one_edition(parsed: DataFrame) -> DataFrame:
-    """One row, complete or not: all pages to the last are there, accepted, and of a single date."""
-    seen = parsed.agg(F.count("error").alias("refused"), F.count_distinct("ranking_date").alias("dates"), F.count_distinct("page").alias("pages"), F.max("last_page").alias("last_page"))
-    return seen.withColumn("complete", F.coalesce((F.col("refused") == 0) & (F.col("dates") == 1) & (F.col("pages") == F.col("last_page")), F.lit(False)))
+def one_edition(parsed: DataFrame, day: str | date | None = None) -> DataFrame:
+    """One row, complete or not: all pages to the last are there, accepted, and of a single date, not after `day`."""
+    seen = parsed.agg(F.count("error").alias("refused"), F.count_distinct("ranking_date").alias("dates"), F.max("ranking_date").alias("newest"), F.count_distinct("page").alias("pages"), F.max("last_page").alias("last_page"))
+    known = F.lit(True) if day is None else F.col("newest") <= F.lit(str(day)).cast("date")
+    return seen.withColumn("complete", F.coalesce((F.col("refused") == 0) & (F.col("dates") == 1) & (F.col("pages") == F.col("last_page")) & known, F.lit(False))).drop("newest")
+
+
+PAGES = "page int, ranking_date date, payload_hash string, html string, observed_at timestamp, last_checked_date date, request_url string, run_id string"
+
+
+def cached(stored: DataFrame, day: str | date) -> DataFrame:
+    """page, html of the pages (PAGES) that were checked on `day` already: of each the newest capture."""
+    today = stored.where(F.col("last_checked_date") == F.lit(str(day)).cast("date"))
+    return keep_latest(today, ["page"], newest("observed_at", "payload_hash")).select("page", "html")
+
+
+def to_fetch(stored: DataFrame, day: str | date, most: int) -> DataFrame:
+    """page: those of the edition that no check of `day` has seen. Page 1 tells how many there are."""
+    have = cached(stored, day)
+    last = clubs(have.where("page = 1")).agg(F.least(F.lit(most), F.coalesce(F.max("last_page"), F.lit(1))).alias("last"))
+    return last.select(F.explode(F.sequence(F.lit(1), "last")).alias("page")).join(have, "page", "left_anti")
+
+
+def judged(parsed: DataFrame, day: str | date) -> DataFrame:
+    """page, ranking_date, payload_hash, error of every parsed page, in the light of the others: a date after `day`, or
+    another one than the first page's, refuses a page, and a refused page all that follow it."""
+    rows = F.array_sort(F.collect_list(F.struct("world_rank", "club_slug", "club_name", "country", "rating_points")))
+    pages = parsed.groupBy("page").agg(F.max("ranking_date").alias("ranking_date"), F.sha2(F.to_json(rows), 256).alias("payload_hash"), F.max("error").alias("error"))
+    every = Window.partitionBy(F.lit(0))  # an edition's pages are few
+    known = pages.withColumn("_first", F.min_by("ranking_date", "page").over(every))
+    told = F.coalesce("error", F.when(F.col("ranking_date") > F.lit(str(day)).cast("date"), "the ranking's date lies ahead").when(~F.col("ranking_date").eqNullSafe(F.col("_first")), "the ranking changed between pages"))
+    marked = known.withColumn("error", told).withColumn("_from", F.min(F.when(F.col("error").isNotNull(), F.col("page"))).over(every))
+    return marked.withColumn("error", F.coalesce("error", F.when(F.col("page") > F.col("_from"), "a page before it is refused"))).drop("_first", "_from")
+
+
+def absorb(stored: DataFrame, fetched: DataFrame, day: str | date) -> tuple[DataFrame, DataFrame]:
+    """(stored pages with the good ones of `day`, judged() of the day's edition).
+
+    fetched: page, html, observed_at, request_url, run_id. Pages that the day has seen already count with them. A
+    page whose rows are known keeps its first capture, and is marked as checked; good pages before a refused one are
+    kept, so that the next run goes on from there.
+    """
+    here = F.lit(str(day)).cast("date")
+    edition = fetched.select("page", "html").unionByName(cached(stored, day).join(fetched.select("page"), "page", "left_anti"))
+    told = judged(parse_pages(edition), day)
+    good = fetched.join(told.where("error IS NULL").drop("error"), "page").withColumn("last_checked_date", here).select(stored.columns)
+    return first_seen(stored, good, ["page", "ranking_date", "payload_hash"], "last_checked_date", "observed_at"), told
 
 
 #: What a page shows nothing of: comments, scripts and styles.

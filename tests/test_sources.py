@@ -90,8 +90,8 @@ def test_context_csv(spark, tmp_path):
     good = read("1,2026-01-01T00:00:00Z,2026-01-01T00:00:00+01:00,s,u,25,18,35,ns,7,Name")
     assert good[0]["error"] is None and good[0]["coach_id"] == "ns:7" and good[0]["squad_size"] == 25
     cases = {
-        "time zone": "1,2026-01-01T00:00:00,2026-01-01T00:00:00Z,s,u,25,,,,,", "must not be empty": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,,u,25,,,,,", "positive": "0,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,25,,,,,",
-        "between 10 and 70": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,25,5,,,,", "exceeds": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,25,30,20,,,", "require squad_size": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,,30,,,,",
+        "time zone": "1,2026-01-01T00:00:00,2026-01-01T00:00:00Z,s,u,25,,,,,", "required cell": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,,u,25,,,,,", "positive": "0,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,25,,,,,",
+        "between 10 and 70": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,25,5,,,,", "exceeds": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,25,30,20,,,", "without squad_size": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,,30,,,,",
         "coach_namespace": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,25,,,,7,Name", "is needed": "1,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,s,u,,,,,,",
     }
     for why, line in cases.items():
