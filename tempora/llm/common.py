@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -106,6 +107,34 @@ def bucketed(df: DataFrame, parts: int, name: str, listed: bool = True) -> tuple
     return out, path
 
 
+#: Buckets that in_parts makes at most. With more input parts than that, parts share buckets.
+BUCKETS = 1 << 15
+CO_LOCATED = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def in_parts(df: DataFrame, name: str) -> tuple[DataFrame, int, str]:
+    """df with part and row (unique) as a table in buckets by part, written where it is read; their number; its folder.
+
+    Each promised partition has a bucket of its own; one beyond them shares a bucket.
+    """
+    parts = min(BUCKETS, max(1, df.rdd.getNumPartitions()))
+    at = F.spark_partition_id()
+    part = F.coalesce(F.get(F.array(*map(F.lit, part_numbers(parts))), at), at)
+    table, path = bucketed(df.withColumns({"part": part, "row": F.monotonically_increasing_id()}), parts, name, listed=False)
+    return table, parts, path
+
+
+@contextmanager
+def co_located(spark: SparkSession) -> Iterator[None]:
+    """What runs inside may join buckets by part to rows by (part, row): the buckets stay where they are."""
+    before = spark.conf.get(CO_LOCATED)
+    spark.conf.set(CO_LOCATED, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(CO_LOCATED, before)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -11,15 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import bucketed, discard, documents, materialize, part_numbers
+from tempora.llm.common import co_located, discard, documents, in_parts, materialize
 
 #: White space that a key loses at both ends, and what it lower-cases.
 BLANKS, UPPER, LOWER = "\x20\t\n\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCUMENTS, LEAST_LENGTH = 10, 1
-#: Buckets of the texts at most. With more input parts than that, parts share buckets; a task streams its texts and
-#: holds only their positions.
-BUCKETS = 1 << 15
-CO_LOCATED = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def line_keys(text: Column) -> Column:
@@ -33,18 +29,6 @@ def key_hashes(text: Column, least: int) -> Column:
     return F.transform(line_keys(text), lambda x: F.when(F.length(x) >= least, bits(x)))
 
 
-def _written(docs: DataFrame, key: str, text: str, least: int) -> tuple[DataFrame, int, str]:
-    """(key, text, hashes, part, row) of every row in buckets by part, their number and their folder. row is unique."""
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    parts = min(BUCKETS, max(1, rows.rdd.getNumPartitions()))
-    at = F.spark_partition_id()
-    # a bucket for every promised partition; any other partition shares one
-    part = F.coalesce(F.get(F.array(*map(F.lit, part_numbers(parts))), at), at)
-    named = rows.withColumns({"hashes": key_hashes(F.col("text"), least), "part": part, "row": F.monotonically_increasing_id()})
-    table, path = bucketed(named, parts, "line-texts", listed=False)
-    return table, parts, path
-
-
 def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_documents: int = LEAST_DOCUMENTS, least_length: int = LEAST_LENGTH, kept: bool = True) -> DataFrame:
     """key, n_lines, n_dropped, kept_sha256 of every row, and with kept what is left as `text`.
 
@@ -53,7 +37,8 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_d
     come back. A null text is empty, which is one empty line. An empty table gives an empty result. Other columns,
     whatever their names, are not read.
     """
-    table, parts, path = _written(docs, key, text, least_length)
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    table, parts, path = in_parts(rows.withColumn("hashes", key_hashes(F.col("text"), least_length)), "line-texts")
     once = F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h")
     often = table.select(once).groupBy("h.a", "h.b").agg(F.count("*").alias("n")).where(F.col("n") >= least_documents).select("a", "b")
     every = table.select("part", "row", F.posexplode("hashes").alias("pos", "h")).where("h IS NOT NULL").select("part", "row", "pos", "h.a", "h.b")
@@ -63,14 +48,9 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_d
     rest = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
     both = table.join(gone.hint("shuffle_hash"), ["part", "row"], "left").select(F.col("key").alias(key), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), rest.alias("kept"))
     told = both.select(key, "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"), *[F.col("kept").alias("text")] * kept)
-    spark = docs.sparkSession
-    before = spark.conf.get(CO_LOCATED)
-    spark.conf.set(CO_LOCATED, "false")  # buckets by part serve a join by (part, row): texts stay where they are
-    try:
+    with co_located(docs.sparkSession):
         out = materialize(told, "line-kept")
-    finally:
-        spark.conf.set(CO_LOCATED, before)
-    discard(path, spark)
+    discard(path, docs.sparkSession)
     return out
 
 

@@ -1,10 +1,10 @@
 """Secret scans over an incremental blob ledger.
 
 Every version of a file is content-addressed by the SHA-256 of its text. The ledger is a Parquet table of (rule
-version, blob, spans). A run names one row for each blob of its input that the ledger doesn't have under the
-current rule version, scans those rows where they are read, appends what it found - blobs without findings
-too, so that they count as seen - and joins the findings back to every path that holds the blob. Only names of
-blobs and rows travel; no text is shuffled while the rows to scan, or those to skip, are few.
+version, blob, spans). A run writes its texts once, bucketed by input part, names one row for each blob that the
+ledger doesn't have under the current rule version, scans those rows where their texts lie, appends what it found -
+blobs without findings too, so that they count as seen - and joins the findings back to every path that holds the
+blob. Only names of blobs and rows travel, whatever the sizes.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import discard, documents, materialize, regex_spans, scratch, span_string
+from tempora.llm.common import co_located, discard, documents, in_parts, materialize, regex_spans, scratch, span_string
 
 #: Pattern of each kind, in the order in which kinds are listed. The lower bounds of access and
 #: hex stand in the patterns, where they change nothing: a maximal run that is too short has no longer suffix.
@@ -25,8 +25,7 @@ RULES = {
 }
 ASSIGN_VALUE, ASSIGN_LEAST = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$""", 12
 LEDGER = "rule_version string, blob string, spans array<struct<start:int,rank:int,end:int,kind:string>>"
-#: Rows of (key, blob), about 100 bytes each, up to which a list of them is broadcast; findings up to a tenth of it.
-SMALL_ROWS = 500_000
+SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
 def rule_version(rules: dict[str, str] = RULES) -> str:
@@ -48,61 +47,48 @@ def scan(text: Column, rules: dict[str, str] = RULES) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _chosen(named: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(scan, skip): distinct (path, blob) to scan - of each unseen blob the least path, null first - and the
-    others. Rows are narrow; blobs that many rows share are pre-aggregated, then joined to where they stand."""
-    order = F.struct(F.col("path").isNotNull(), F.col("path"))
-    pairs = named.groupBy("blob", "path").agg(F.count("*").alias("n"))
-    first = pairs.groupBy("blob").agg(F.min(order).alias("first"), F.count("*").alias("paths"))
-    fresh = first.join(seen.select("blob").distinct(), "blob", "left_anti")
-    take = materialize(fresh.select(F.col("first")["path"].alias("path"), "blob", "paths"), "secret-scan")
-    again = pairs.join(take.where("paths = 1").select("blob"), "blob", "left_anti").select("path", "blob")
-    leads = take.where("paths > 1").select("path", "blob")
-    same = again["path"].eqNullSafe(leads["path"]) & (again["blob"] == leads["blob"])
-    return take.select("path", "blob"), materialize(again.join(leads, same, "left_anti"), "secret-skip")
+def _ledger(spark: SparkSession, ledger: str, version: str) -> DataFrame:
+    """What the ledger has under one rule version; an empty ledger is made where there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([], LEDGER).write.parquet(ledger)
+    return spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == version)
 
 
-def _unseen(rows: DataFrame, take: DataFrame, skip: DataFrame) -> DataFrame:
-    """The rows (path, blob, body) of take. Of the two lists the shorter one is broadcast; two long ones leave a
-    join by (path, blob), whose keys no two different rows share."""
-    n, others = take.count(), skip.count()
-    side, how = (take, "left_semi") if n <= others or others > SMALL_ROWS else (skip, "left_anti")
-    side = side.select(F.col("path").alias("path_"), F.col("blob").alias("blob_"))
-    side = F.broadcast(side) if min(n, others) <= SMALL_ROWS else side
-    return rows.join(side, rows["path"].eqNullSafe(side["path_"]) & (rows["blob"] == side["blob_"]), how)
+def _unseen(table: DataFrame, parts: int, seen: DataFrame) -> DataFrame:
+    """One row of table for each blob that seen doesn't have; to be planned in co_located(), which keeps its texts in
+    their buckets. A blob that a third of the rows hold is pre-aggregated before it is shuffled."""
+    lead = table.groupBy("blob").agg(F.min(F.struct("part", "row")).alias("lead")).join(seen, "blob", "left_anti")
+    todo = lead.select("lead.part", "lead.row").repartition(parts, "part")
+    return table.join(todo.hint("shuffle_hash"), ["part", "row"], "left_semi")
 
 
 def scan_paths(paths: DataFrame, ledger: str, key: str = "doc_id", text: str = "text", rules: dict[str, str] = RULES) -> DataFrame:
     """key, blob, spans for every row of paths; ledger: folder of the ledger, created if absent.
 
-    A null text is the empty blob. Equal texts are scanned once, whatever their paths; repeated rows of one key and
-    text are told apart by nothing and all come back. Null keys and other columns, whatever their names, change
-    nothing. An empty table leaves the ledger as it is.
+    A null text is the empty blob. Equal texts are scanned once, whatever their paths, and not at all if the ledger
+    has them; repeated rows all come back. Null keys and other columns, whatever their names, change nothing. An
+    empty table leaves the ledger as it is.
     """
-    spark = paths.sparkSession
-    version = rule_version(rules)
+    spark, version = paths.sparkSession, rule_version(rules)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = paths.select(F.col(key).alias("path"), F.sha2(body, 256).alias("blob"), body.alias("body"))
-    named = materialize(rows.select("path", "blob"), "secret-names")
-    exists = spark._jvm.org.apache.hadoop.fs.Path(ledger)
-    if not exists.getFileSystem(spark._jsc.hadoopConfiguration()).exists(exists):
-        spark.createDataFrame([], LEDGER).write.parquet(ledger)
-    seen = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == version)
-    take, skip = _chosen(named, seen)
-    found = _unseen(rows, take, skip).select("blob", scan(F.col("body"), rules).alias("spans"))
-    scanned = materialize(found, "secret-found")
-    # rows that repeat both key and text were scanned with each other
-    told = scanned.where(F.size("spans") > 0).dropDuplicates(["blob"])
-    empty = scanned.where(F.size("spans") == 0).select("blob").distinct().withColumn("spans", F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>"))
-    told.unionByName(empty).select(F.lit(version).alias("rule_version"), "blob", "spans").write.mode("append").parquet(ledger)
-    held = spark.read.schema(LEDGER).parquet(ledger).where((F.col("rule_version") == version) & (F.size("spans") > 0)).select("blob", "spans")
-    out = named.join(F.broadcast(held) if held.count() <= SMALL_ROWS // 10 else held, "blob", "left")
-    for used in (take, skip, scanned):
-        discard(used)
-    return out.select(F.col("path").alias(key), "blob", F.coalesce("spans", F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")).alias("spans"))
+    table, parts, folder = in_parts(paths.select(F.col(key).alias("path"), F.sha2(body, 256).alias("blob"), body.alias("body")), "secret-texts")
+    seen = _ledger(spark, ledger, version).select("blob")
+    with co_located(spark):
+        new = _unseen(table, parts, seen).select(F.lit(version).alias("rule_version"), "blob", scan(F.col("body"), rules).alias("spans"))
+        new.write.mode("append").parquet(ledger)
+    held = _ledger(spark, ledger, version).where(F.size("spans") > 0).select("blob", "spans")
+    none = F.array().cast(SPANS)
+    out = materialize(table.select("path", "blob").join(held, "blob", "left").select(F.col("path").alias(key), "blob", F.coalesce("spans", none).alias("spans")), "secret-findings")
+    discard(folder, spark)
+    return out
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_paths(documents(spark, sf_dir), scratch(spark, "secret-ledger"))
+    """Two versions of the table through one ledger: rows of even doc_id first, then all of them, of which only the
+    blobs that are new are scanned."""
+    docs, ledger = documents(spark, sf_dir), scratch(spark, "secret-ledger")
+    scan_paths(docs.where("doc_id % 2 = 0"), ledger)
+    found = scan_paths(docs, ledger)
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(n, RULES), F.sha2(span_string(F.col("spans")), 256).alias("base_sha256"), span_string(F.col("spans")).alias("spans"), "blob")

@@ -70,7 +70,7 @@ def test_texts_are_not_shuffled(spark, tmp_path, monkeypatch):
 
 def test_a_part_more_than_promised_shares_a_bucket(spark, monkeypatch):
     docs = spark.range(0, 60, 1, 6).select(F.col("id").alias("doc_id"), F.concat(F.lit("same\n"), F.col("id").cast("string")).alias("text"))
-    monkeypatch.setattr(lines, "BUCKETS", 4)
+    monkeypatch.setattr(common, "BUCKETS", 4)
     assert {x["text"] for x in lines.drop_lines(docs).collect()} == {str(i) for i in range(60)}
 
 
