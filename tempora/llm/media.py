@@ -16,6 +16,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tempora.llm.common import documents, materialize
 
@@ -202,6 +203,7 @@ def pad(raw: bytes) -> bytes:
     return raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT)
 
 
+_SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("type", T.StringType()), T.StructField("carved", T.BinaryType())])
 MEDIA = "doc_id long, n_bytes long, declared string, media binary"
 
 
@@ -221,23 +223,25 @@ def sniffed(media: DataFrame, content: str = "media", declared: str = "declared"
     """media with `found`: array of (start, length, type, carved) and `corrected`, the type that the bytes prove.
 
     corrected is the declared type where nothing is confirmed at the first byte; carved holds media that do
-    not fill the whole content. Null contents have no media; empty tables give empty results.
+    not fill the whole content. Null contents have no media; empty tables give empty results; repeated rows all come
+    back. Columns named found or corrected make room for the new ones.
     """
-    schema = media.schema.simpleString()[7:-1] + ",corrected:string,found:array<struct<start:bigint,length:bigint,type:string,carved:binary>>"
-    at, said = media.columns.index(content), media.columns.index(declared)
+    held = [c for c in media.columns if c not in ("found", "corrected")]
+    kept = media.select(held)
+    schema = T.StructType([*kept.schema, T.StructField("corrected", T.StringType()), T.StructField("found", T.ArrayType(_SPAN))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton()
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("type", pa.string()), ("carved", pa.binary())]))
         for b in batches:
             found, right = [], []
-            for c, d in zip(b.column(at).to_pylist(), b.column(said).to_pylist()):
+            for c, d in zip(b.column(held.index(content)).to_pylist(), b.column(held.index(declared)).to_pylist()):
                 spans = sniff(c or b"", machine)
                 right.append(spans[0][2] if spans and spans[0][0] == 0 else d)
                 found.append([{"start": s, "length": n, "type": k, "carved": None if n == len(c) else c[s : s + n]} for s, n, k in spans])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(right, pa.string()), pa.array(found, kind)], names=[*b.schema.names, "corrected", "found"])
 
-    return media.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
