@@ -155,23 +155,27 @@ def score_texts(texts: list[str], model: dict[str, np.ndarray]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> dict[str, np.ndarray]:
     """Fit on at most `sample` labelled rows, chosen by hash; rows whose crc32(key) mod 3 is 1 are held out.
 
-    Null labels and keys are left out. Without labelled rows every document scores one half.
+    Texts are taken in order of that hash while they fit SAMPLE_CHARS code points; one that doesn't fit is passed over.
+    Null labels and keys are left out; of rows that share a key the least label and the least text count. Without
+    labelled rows, or from an empty table, every document scores one half.
     """
     crc = F.crc32(F.col(key).cast("string"))
-    known = labels.where(F.col(label).isNotNull() & (crc % 3 != 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).dropDuplicates(["key"])
+    known = labels.where(F.col(label).isNotNull() & (crc % 3 != 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).groupBy("key").agg(F.min("y").alias("y"))
     picked = known.orderBy(F.xxhash64("key"), "key").limit(sample)  # bounded: at most `sample` rows are broadcast
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(picked), "key").dropDuplicates(["key"])
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(picked), "key").groupBy("key", "y").agg(F.min("t").alias("t"))
     got, room = [], SAMPLE_CHARS
-    for r in rows.orderBy("key").toLocalIterator():
-        room -= len(r["t"])
-        if room < 0:
-            break
-        got.append((r["t"], r["y"]))
+    for r in rows.orderBy(F.xxhash64("key"), "key").toLocalIterator():
+        if len(r["t"]) <= room:
+            room -= len(r["t"])
+            got.append((r["t"], r["y"]))
     return fit([t for t, _ in got], [y for _, y in got])
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, score of every row, in Arrow batches; a null text is scored as an empty one. Nothing is shuffled."""
+    """key, score of every row, in Arrow batches; a null text is scored as an empty one, repeated rows score alike.
+
+    Nothing is shuffled. An empty table gives an empty result; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,7 +186,8 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], key: str = "doc_id", te
 
 
 def keep_good(docs: DataFrame, model: dict[str, np.ndarray], text: str = "text", bar: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns, that score at least bar."""
+    """The rows of docs, all columns, that score at least bar; repeats stay or go together. A null text is scored as an
+    empty one; an empty table gives an empty one."""
     names, schema = docs.columns, docs.schema
     at = names.index(text)
 
