@@ -47,7 +47,9 @@ class WordBpe:
         self.end = spec["model"].get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.token = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.token = np.full(1 + max([*vocab.values(), *self.special.values()]), "", object)
+        for t, i in [*vocab.items(), *self.special.items()]:
+            self.token[i] = t
         self.width = len(vocab)
         stand = byte_symbols()
         self.first = np.array([vocab[s] for s in stand], np.int64)
@@ -58,8 +60,8 @@ class WordBpe:
         self.order = np.argsort(key)
         self.keys = key[self.order]
         self.rank = {int(k): r for r, k in enumerate(key)}
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.words: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.old: tuple[dict, dict] = ({}, {})
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -185,13 +187,9 @@ class WordBpe:
             done += self.merge_together(short[at:stop], size)
             at = stop
         for w, ids in zip(new, done):
-            self.words[w] = (ids.astype("<u4").tobytes(), " ".join(map(self.token.__getitem__, ids.tolist())))
+            self.words[w] = ids.astype("<u4").tobytes()
         for c, ws in parts.items():
-            if len(ws) == 1:
-                self.known[c] = self.words[ws[0]]
-            else:
-                got = [self.words[w] for w in ws]
-                self.known[c] = b"".join(x for x, _ in got), " ".join(x for _, x in got)
+            self.known[c] = self.words[ws[0]] if len(ws) == 1 else b"".join(map(self.words.__getitem__, ws))
 
     def remember(self, need: set[str]) -> None:
         """All chunks are in known afterwards. The generation before last is forgotten."""
@@ -213,29 +211,19 @@ class WordBpe:
             return [c for c in SPACES.split(text) if c]
         return text.split()
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian 32-bit numbers, decoded text) of each text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian 32-bit numbers."""
         plain = []
         for t in texts:
             bits = self.cut.split(t) if "<|" in t else [t]
             plain.append([b if b in self.special else self.chunks(b) for b in bits if b])
         self.remember({c for bits in plain for b in bits if not isinstance(b, str) for c in b})
-        out = []
-        for bits in plain:
-            ids, said = [], []
-            for b in bits:
-                if isinstance(b, str):
-                    ids.append(self.special[b].to_bytes(4, "little"))
-                    said.append(b)
-                elif b:
-                    own, decoded = zip(*map(self.known.__getitem__, b))
-                    ids += own
-                    said += decoded
-            out.append((b"".join(ids), " ".join(x for x in said if x)))
-        return out
+        of = self.known.__getitem__
+        return [b"".join(self.special[b].to_bytes(4, "little") if isinstance(b, str) else b"".join(map(of, b)) for b in bits) for bits in plain]
 
     def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        """The text that ids stand for: their tokens, joined as the file's missing decoder leaves them."""
+        return " ".join(self.token[np.frombuffer(ids, "<u4")])
 
 
 _MADE: dict[str, WordBpe] = {}
@@ -249,7 +237,7 @@ def tokenizer(path: str) -> WordBpe:
 
 
 def encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids of every row - or the digests of ids and decoded text.
+    """doc_id, n_tokens, ids of every row - or the digests of the ids and of the text that they decode to.
 
     A null text has no ids. Repeated rows all come back; an empty table gives an empty result; other columns
     are not read. path: the tokenizer's file, which every executor can open.
@@ -261,11 +249,11 @@ def encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
                 got = bpe.encode([t or "" for t in b.column(1).to_pylist()])
-                n = pa.array([len(i) // 4 for i, _ in got], pa.int64())
+                n = pa.array([len(i) // 4 for i in got], pa.int64())
                 if digests:
-                    cols = [pa.array([hashlib.sha256(i).hexdigest() for i, _ in got], pa.string()), pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in got], pa.string())]
+                    cols = [pa.array([hashlib.sha256(i).hexdigest() for i in got], pa.string()), pa.array([hashlib.sha256(bpe.decode(i).encode()).hexdigest() for i in got], pa.string())]
                 else:
-                    cols = [pa.array([np.frombuffer(i, "<i4") for i, _ in got], pa.list_(pa.int32()))]
+                    cols = [pa.array([np.frombuffer(i, "<i4") for i in got], pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), n, *cols], names=["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids"])])
 
     kind = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
