@@ -20,7 +20,11 @@ from tempora.llm.common import BLANK, documents, materialize
 
 #: Most copies of a document, and most patterns that may reach the driver.
 MAX_COPIES, MAX_PATTERNS = 3, 100_000
-LEVEL_BITS, ALL = 12, (1 << 63) - 1
+LEVEL_BITS = 12
+#: Documents of a grade that may follow its cut, and documents that may be added at the end.
+NEXT, PICKS = 8, 8
+UNIT = "struct<grade:int,u:bigint,n:bigint>"
+CUTS, FILL, UNITS = "array<struct<grade:int,cut:bigint>>", "array<struct<grade:int,u:bigint>>", f"array<{UNIT}>"
 
 
 def word_count(text: Column) -> Column:
@@ -120,6 +124,11 @@ def _hash(seed: int, key: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1)
 
 
+def _grade(size: Column) -> Column:
+    """Sizes of one power of two are one grade; -1 for none."""
+    return F.when(size > 0, F.length(F.bin(size)) - 1).otherwise(-1)
+
+
 def decide(rows: DataFrame, weights=cycle_weights) -> DataFrame:
     """One row per pattern (at most MAX_PATTERNS): mix_pattern, base copies for all, cuts and fill for one more,
     source_size and target of its first source. rows: pattern, size, u."""
@@ -129,19 +138,23 @@ def decide(rows: DataFrame, weights=cycle_weights) -> DataFrame:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
     found = sorted(((list(r["pattern"]), r["words"]) for r in found), key=lambda x: [(v is None, v or "") for v in x[0]])
     sizes, targets, words = plan(spark, found, weights(list({x for who, _ in found for x in who})))
-    kind = T.StructType([T.StructField("mix_pattern", T.ArrayType(T.StringType())), T.StructField("base", T.LongType()), T.StructField("rest", T.LongType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())])
-    table = [(who, w // n if n else 0, w % n if n else 0, sizes[who[0]] if who else 0, targets[who[0]] if who else 0.0) for (who, n), w in zip(found, words)]
+    kind = T.StructType([T.StructField("mix_pattern", T.ArrayType(T.StringType())), T.StructField("base", T.LongType()), T.StructField("rest", T.LongType()), T.StructField("words", T.LongType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())])
+    table = [(who, w // n if n else 0, w % n if n else 0, n, sizes[who[0]] if who else 0, targets[who[0]] if who else 0.0) for (who, n), w in zip(found, words)]
     plans = spark.createDataFrame(table, kind)
-    dealt = rows.join(F.broadcast(plans), rows["pattern"].eqNullSafe(plans["mix_pattern"])).drop("mix_pattern")
-    cut = thresholds(dealt)
-    return materialize(plans.join(F.broadcast(cut), plans["mix_pattern"].eqNullSafe(cut["cut_pattern"]), "left").select("mix_pattern", "base", "source_size", "target", "cuts", "fill"), "mix-plan")
+    dealt = rows.where("size > 0").join(F.broadcast(plans.where("rest > 0").select("mix_pattern", "rest")), rows["pattern"].eqNullSafe(F.col("mix_pattern"))).drop("mix_pattern")
+    cut = thresholds(dealt.withColumn("grade", _grade(F.col("size"))))
+    # rows without words go with their share of the pattern
+    blank = F.array(F.struct(F.lit(-1).alias("grade"), F.floor(F.col("rest") / F.greatest("words", F.lit(1)) * float(1 << 62) * 2).cast("long").alias("cut")))
+    told = plans.join(cut, plans["mix_pattern"].eqNullSafe(cut["cut_pattern"]), "left")
+    return materialize(told.select("mix_pattern", "base", "source_size", "target", F.concat(blank, F.coalesce("cuts", F.array().cast(CUTS))).alias("cuts"), F.coalesce("fill", F.array().cast(FILL)).alias("fill")), "mix-plan")
 
 
 def _copies(size: Column) -> Column:
-    """Copies of a row by its hash u; its size is only looked at within a cut that sets large rows aside."""
-    own = F.get(F.filter("cuts", lambda c: (F.col("u") > c["lo"]) & (F.col("u") <= c["hi"])), F.lit(0))["most"]
-    more = F.when(own.isNull(), False).when(own == ALL, True).otherwise(size <= own)
-    return F.col("base") + F.when(F.array_contains("fill", F.col("u")) | more, 1).otherwise(0)
+    """Copies of a row by its grade and its hash u."""
+    own = _grade(size)
+    cut = F.get(F.filter("cuts", lambda c: c["grade"] == own), F.lit(0))["cut"]
+    more = F.coalesce(F.col("u") <= cut, F.lit(False)) | F.exists("fill", lambda f: (f["grade"] == own) & (f["u"] == F.col("u")))
+    return F.col("base") + F.when(more, 1).otherwise(0)
 
 
 def sizes_of(docs: DataFrame, membership: Column | None = None, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,62 +183,111 @@ def repeat(docs: DataFrame, membership: Column | None = None, seed: int = 7, wei
     return often.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
-def _cut(level: DataFrame) -> DataFrame:
-    """pattern, cut, gap: rows whose hash is at most cut hold at most `left`, and lack gap of it. level: pattern, u, size, left.
+def _same(a: DataFrame, b: DataFrame, *more: Column) -> Column:
+    out = a["pattern"].eqNullSafe(b["p"]) & (a["grade"] == b["g"])
+    for m in more:
+        out &= m
+    return out
+
+
+_OWN = ["pattern", "grade"]
 
-    Two rounds of 2**LEVEL_BITS-way histograms narrow the hash range, so that no window ever holds more than
-    a histogram's rows or a 2**-24th of a pattern; rows of one hash go together. Where all rows together hold
-    less than `left`, all are taken.
+
+def _cuts(rows: DataFrame, gaps: DataFrame) -> DataFrame:
+    """pattern, grade, cut, taken: of every grade the rows whose hash is at most cut hold the grade's share of the gap,
+    or lack less of it than the next row has. rows: pattern, grade, u, size; gaps: pattern, gap.
+
+    Two histograms narrow the hash range, so that no window ever holds more than a histogram's rows or a 2**-24th of a
+    grade; rows of one hash go together.
     """
-    sums = level.groupBy("pattern").agg(F.sum("size").alias("n"), F.first("left").alias("left"))
-    short = materialize(sums.where("n < left").select("pattern", F.lit(ALL).alias("cut"), (F.col("left") - F.col("n")).alias("gap")), "mix-short")
-    done = 63
-    for _ in range(2):
-        done -= LEVEL_BITS
-        b = F.shiftright(F.col("u"), done)
-        hist = level.groupBy("pattern", b.alias("b")).agg(F.sum("size").alias("n"), F.first("left").alias("left"))
-        run = F.sum("n").over(Window.partitionBy("pattern").orderBy("b"))
-        edge = hist.withColumn("run", run).where("run - n < left AND run >= left").select(F.col("pattern").alias("p"), F.col("b").alias("edge"), (F.col("left") - F.col("run") + F.col("n")).alias("rest_"))
-        level = level.join(F.broadcast(edge), level["pattern"].eqNullSafe(edge["p"]) & (b == edge["edge"])).select("pattern", "u", "size", F.col("rest_").alias("left"))
-    last = level.groupBy("pattern", "u").agg(F.sum("size").alias("n"), F.first("left").alias("left"))
-    run = F.sum("n").over(Window.partitionBy("pattern").orderBy("u"))
-    near = last.withColumn("run", run)
-    fits, over = F.col("run") <= F.col("left"), F.min("u") - 1
-    best = near.groupBy("pattern").agg(F.coalesce(F.max(F.when(fits, F.col("u"))), over).alias("cut"), (F.first("left") - F.coalesce(F.max(F.when(fits, F.col("run"))), F.lit(0))).alias("gap"))
-    return best.unionByName(short)
-
-
-def _open(dealt: DataFrame, best: DataFrame) -> DataFrame:
-    """pattern, u, size, gap, at of the rows that no cut has taken, in patterns that lack words and are not done."""
-    lacking = best.where("gap > 0 AND NOT done").select("cut_pattern", "cuts", "at", "gap")
-    met = dealt.where("rest > 0 AND size > 0").join(F.broadcast(lacking), dealt["pattern"].eqNullSafe(lacking["cut_pattern"]))
-    return met.where(~F.exists("cuts", lambda c: (F.col("u") > c["lo"]) & (F.col("u") <= c["hi"]) & (F.col("size") <= c["most"]))).select("pattern", "u", "size", "gap", "at")
+    grades = rows.groupBy(*_OWN).agg(F.sum("size").alias("n"))
+    words = grades.groupBy(F.col("pattern").alias("q")).agg(F.sum("n").alias("words"))
+    gap = gaps.select(F.col("pattern").alias("p"), "gap")
+    shares = grades.join(words, grades["pattern"].eqNullSafe(words["q"])).join(gap, grades["pattern"].eqNullSafe(gap["p"]))
+    shares = materialize(shares.select("pattern", "grade", F.least("n", F.floor(F.col("n") * (F.col("gap") / F.col("words"))).cast("long")).alias("left")), "mix-shares")
+    goal = shares.select(F.col("pattern").alias("p"), F.col("grade").alias("g"), "left", F.lit(0).cast("long").alias("before")).where("left > 0")
+    level = rows.select("pattern", "grade", "u", "size")
+    for done in (63 - LEVEL_BITS, 63 - 2 * LEVEL_BITS):
+        b = F.shiftright("u", done)
+        hist = level.groupBy(*_OWN, b.alias("b")).agg(F.sum("size").alias("n"))
+        run = hist.withColumn("run", F.sum("n").over(Window.partitionBy(*_OWN).orderBy("b")))
+        edge = run.join(goal, _same(run, goal)).where("before + run - n < left AND before + run >= left")
+        goal = materialize(edge.select("p", "g", "left", (F.col("before") + F.col("run") - F.col("n")).alias("before"), F.col("b").alias("edge")), "mix-edges")
+        level = level.join(goal.select("p", "g", "edge"), _same(level, goal, b == goal["edge"])).select("pattern", "grade", "u", "size")
+    last = level.groupBy(*_OWN, "u").agg(F.sum("size").alias("n"))
+    run = last.withColumn("run", F.sum("n").over(Window.partitionBy(*_OWN).orderBy("u")))
+    met = run.join(goal, _same(run, goal))
+    fits = F.col("before") + F.col("run") <= F.col("left")
+    best = met.groupBy("p", "g").agg(F.coalesce(F.max(F.when(fits, F.col("u"))), F.min("u") - 1).alias("cut"), (F.first("before") + F.coalesce(F.max(F.when(fits, F.col("run"))), F.lit(0))).alias("taken"))
+    out = shares.join(best, _same(shares, best), "left")
+    return materialize(out.select("pattern", "grade", F.coalesce("cut", F.lit(-1).cast("long")).alias("cut"), F.coalesce("taken", F.lit(0).cast("long")).alias("taken")), "mix-cuts")
+
+
+def _first_units(units: DataFrame, by: list[str], order: list[str], most: int) -> DataFrame:
+    """The first `most` units of each group; what is behind them is dropped before the shuffle, too."""
+    return units.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("nth") <= most).drop("nth")
+
+
+def _state(gap: Column, picked: Column) -> Column:
+    return F.struct(gap.alias("gap"), picked.alias("picked"))
+
+
+def _fits(s: Column, x: Column) -> Column:
+    """The state after a document that fits the gap."""
+    return F.when(x["x"]["n"] <= s["gap"], _state(s["gap"] - x["x"]["n"], F.concat(s["picked"], F.array(x["x"])))).otherwise(s)
+
+
+def _nearest(s: Column, _: Column) -> Column:
+    """The state after the document of `sized` that brings the sum nearest, if any brings it nearer."""
+    free = F.filter("sized", lambda x: ~F.array_contains(s["picked"], x) & (F.abs(s["gap"] - x["n"]) < F.abs(s["gap"])))
+    best = F.array_min(F.transform(free, lambda x: F.struct(F.abs(s["gap"] - x["n"]).alias("d"), x.alias("x"))))["x"]
+    return F.when(F.size(free) > 0, _state(s["gap"] - best["n"], F.concat(s["picked"], F.array(best)))).otherwise(s)
+
+
+def _open_units(dealt: DataFrame, told: DataFrame) -> DataFrame:
+    """pattern, grade, u, n of what neither a cut nor a pick has taken, in patterns that still lack words."""
+    lacking = told.where("gap > 0").select(F.col("pattern").alias("p"), "gap", "cuts", "picked")
+    cut = F.get(F.filter("cuts", lambda c: c["grade"] == F.col("grade")), F.lit(0))["cut"]
+    met = dealt.join(F.broadcast(lacking), dealt["pattern"].eqNullSafe(lacking["p"])).where(F.col("u") > F.coalesce(cut, F.lit(-1)))
+    free = met.where(~F.exists("picked", lambda x: (x["grade"] == F.col("grade")) & (x["u"] == F.col("u"))))
+    return free.groupBy(*_OWN, "u").agg(F.sum("size").alias("n"))
 
 
 def thresholds(dealt: DataFrame) -> DataFrame:
-    """cut_pattern, cuts, fill: rows with a hash in (lo, hi] and at most `most` words for one of cuts, or a hash in fill, hold about `rest` words.
+    """cut_pattern, cuts, fill: rows whose hash is at most the cut of their grade, or is in fill, hold about `rest` words.
 
-    What the first cut leaves open is filled by further cuts of the later rows that are no larger than the gap,
-    until no whole hash fits; then one that overshoots by less than the gap is added. So no whole document
-    that is left brings the sum nearer. A cut begins at a hash that fits, so that every round takes words.
+    Each grade of sizes gives its share of rest, so that long and short documents are as likely to be taken. What is
+    left open is filled from the largest grade down by the next documents that fit; a grade whose next one doesn't
+    is done, and the others share what is still open. So a round ends at least one grade, and most mixes take two.
+    At the end, of all sizes under twice the gap, whichever document brings the sum nearest is added, until none does.
     """
-    one = lambda lo, hi, most: F.array(F.struct(lo.alias("lo"), hi.alias("hi"), most.cast("long").alias("most")))
-    first = _cut(dealt.where("rest > 0").select("pattern", "u", "size", F.col("rest").alias("left")))
-    best = materialize(first.select(F.col("pattern").alias("cut_pattern"), one(F.lit(-1).cast("long"), F.col("cut"), F.lit(ALL)).alias("cuts"), F.col("cut").alias("at"), "gap", F.lit(False).alias("done")), "mix-cuts")
-    while not best.where("gap > 0 AND NOT done").isEmpty():
-        small = _open(dealt, best).where("u > at AND size <= gap")
-        begin = small.groupBy("pattern", "u").agg(F.sum("size").alias("n"), F.first("gap").alias("gap")).where("n <= gap").groupBy(F.col("pattern").alias("p")).agg(F.min("u").alias("begin"))
-        begin = materialize(begin, "mix-begin")
-        level = small.join(F.broadcast(begin), small["pattern"].eqNullSafe(begin["p"])).where("u >= begin").select("pattern", "u", "size", F.col("gap").alias("left"))
-        found = _cut(materialize(level, "mix-level")).withColumnRenamed("gap", "gap_")
-        found = found.join(F.broadcast(begin), found["pattern"].eqNullSafe(begin["p"])).drop("p")
-        new = best.join(F.broadcast(found), best["cut_pattern"].eqNullSafe(found["pattern"]), "left")
-        cuts = F.when(F.col("cut").isNull(), F.col("cuts")).otherwise(F.concat("cuts", one(F.col("begin") - 1, F.col("cut"), F.col("gap"))))
-        best = materialize(new.select("cut_pattern", cuts.alias("cuts"), F.coalesce("cut", "at").alias("at"), F.coalesce("gap_", "gap").alias("gap"), F.col("cut").isNull().alias("done")), "mix-cuts")
-    whole = _open(dealt, best.withColumn("done", F.lit(False))).groupBy("pattern", "u").agg(F.sum("size").alias("n"), F.first("gap").alias("gap")).where("n < 2 * gap")
-    nearest = whole.groupBy(F.col("pattern").alias("p")).agg(F.min_by("u", F.struct(F.abs(F.col("n") - F.col("gap")), "u")).alias("x"))
-    fill = F.when(F.col("x").isNotNull(), F.array("x")).otherwise(F.array().cast("array<bigint>"))
-    return materialize(best.join(F.broadcast(nearest), best["cut_pattern"].eqNullSafe(nearest["p"]), "left").select("cut_pattern", "cuts", fill.alias("fill")), "mix-fills")
+    told = dealt.groupBy("pattern").agg(F.first("rest").alias("gap")).select("pattern", "gap", F.array().cast(CUTS).alias("cuts"), F.array().cast(UNITS).alias("picked"))
+    told, rows, unit = materialize(told, "mix-told"), dealt, F.struct("grade", "u", "n")
+    while True:
+        cuts = _cuts(rows, told)
+        new = cuts.groupBy(F.col("pattern").alias("p")).agg(F.sum("taken").alias("taken"), F.array_sort(F.collect_list(F.struct("grade", "cut"))).alias("new"))
+        old = F.filter("cuts", lambda c: ~F.exists("new", lambda d: d["grade"] == c["grade"]))
+        told = told.join(new, told["pattern"].eqNullSafe(new["p"]), "left").select("pattern", (F.col("gap") - F.coalesce("taken", F.lit(0))).alias("gap"), F.when(F.col("new").isNull(), F.col("cuts")).otherwise(F.concat(old, "new")).alias("cuts"), "picked")
+        told = materialize(told, "mix-told")
+        near = _first_units(_open_units(dealt, told), _OWN, ["u"], NEXT).groupBy(F.col("pattern").alias("p")).agg(F.array_sort(F.collect_list(F.struct((-F.col("grade")).alias("o"), "u", unit.alias("x")))).alias("next"))
+        both = told.join(near, told["pattern"].eqNullSafe(near["p"]), "left").withColumn("next", F.coalesce("next", F.array().cast(f"array<struct<o:int,u:bigint,x:{UNIT}>>")))
+        both = both.withColumn("s", F.aggregate("next", _state(F.col("gap"), F.col("picked")), _fits)).select("pattern", "cuts", "s.gap", "s.picked", "next")
+        free = F.filter("next", lambda x: ~F.array_contains("picked", x["x"]))
+        # a grade goes on if its next document fits, or if all that were looked at have been taken
+        fit = F.filter(F.transform("next", lambda x: x["x"]["grade"]), lambda g: F.exists(free, lambda x: (x["x"]["grade"] == g) & (x["x"]["n"] <= F.col("gap"))) | ((F.size(F.filter("next", lambda x: x["x"]["grade"] == g)) == NEXT) & ~F.exists(free, lambda x: x["x"]["grade"] == g) & (F.col("gap") > 0)))
+        told = materialize(both.select("pattern", "gap", "cuts", "picked", F.array_distinct(fit).alias("open")), "mix-told")
+        again = told.where("gap > 0 AND size(open) > 0").select(F.col("pattern").alias("p"), "open")
+        if again.isEmpty():
+            break
+        units = _open_units(dealt, told)
+        rows = materialize(units.join(F.broadcast(again), units["pattern"].eqNullSafe(again["p"]) & F.array_contains("open", F.col("grade"))).select("pattern", "grade", "u", F.col("n").alias("size")), "mix-open")
+        told = told.drop("open")
+    gap = told.where("gap > 0").select(F.col("pattern").alias("q"), F.col("gap").alias("g"))
+    small = _open_units(dealt, told.drop("open")).join(gap, F.col("pattern").eqNullSafe(F.col("q"))).where(F.col("n") < 2 * F.col("g")).select("pattern", "grade", "u", "n")
+    sized = _first_units(small, ["pattern", "n"], ["grade", "u"], PICKS).groupBy(F.col("pattern").alias("p")).agg(F.array_sort(F.collect_list(unit)).alias("sized"))
+    last = told.join(sized, told["pattern"].eqNullSafe(sized["p"]), "left").withColumn("sized", F.coalesce("sized", F.array().cast(UNITS)))
+    last = last.withColumn("s", F.aggregate(F.sequence(F.lit(1), F.lit(PICKS)), _state(F.col("gap"), F.col("picked")), _nearest))
+    return last.select(F.col("pattern").alias("cut_pattern"), "cuts", F.transform("s.picked", lambda x: F.struct(x["grade"].alias("grade"), x["u"].alias("u"))).alias("fill"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
