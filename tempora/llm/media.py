@@ -208,7 +208,10 @@ MEDIA = "doc_id long, n_bytes long, declared string, media binary"
 
 
 def store(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each text, a null one as empty, as a media file. Equal texts give equal files."""
+    """Each text, a null one as empty, as a media file. Equal texts give equal files.
+
+    Repeated rows all come back, null keys too; an empty table gives an empty result; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -226,8 +229,8 @@ def sniffed(media: DataFrame, content: str = "media", declared: str = "declared"
     not fill the whole content. Null contents have no media; empty tables give empty results; repeated rows all come
     back. Columns named found or corrected make room for the new ones.
     """
-    held = [c for c in media.columns if c not in ("found", "corrected")]
-    kept = media.select(held)
+    kept = media.drop("found", "corrected")
+    held = kept.columns
     schema = T.StructType([*kept.schema, T.StructField("corrected", T.StringType()), T.StructField("found", T.ArrayType(_SPAN))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +248,8 @@ def sniffed(media: DataFrame, content: str = "media", declared: str = "declared"
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """What is read back of every stored file: payload digests and a feature string."""
+    """What is read back of every stored file: payload digests and a feature string. Needs the columns of sniffed(store());
+    repeated rows all come back, an empty table gives an empty result."""
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, corrected boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

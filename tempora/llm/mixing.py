@@ -176,7 +176,11 @@ def mix(docs: DataFrame, membership: Column | None = None, seed: int = 7, weight
 
 
 def repeat(docs: DataFrame, membership: Column | None = None, seed: int = 7, weights=cycle_weights, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, all columns, as often as the mix takes them; only the plan of the patterns is joined."""
+    """The rows of docs, all columns, as often as the mix takes them; only the plan of the patterns is joined.
+
+    Rows that repeat come equally often. A null text has no words; such rows come with their pattern's share. An empty
+    table gives an empty one.
+    """
     plans = decide(sizes_of(docs, membership, seed, key, text), weights)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _pattern(membership).alias("pattern"), _hash(seed, key).alias("u"))
     often = packed.join(F.broadcast(plans), packed["pattern"].eqNullSafe(plans["mix_pattern"])).withColumn("n", _copies(word_count(F.col("row")[text])).cast("int")).where("n > 0")
