@@ -176,7 +176,9 @@ def daily(spark: SparkSession, store: Store, sources: Sources, clock: Clock) ->
         if bad := failed(results):
             raise ChecksFailed(", ".join(bad))
         names = [*CHECKED, "staging_teams", "staging_standings", "weather_forecast", "staged_odds", "team_context_snapshot"]
-        return store.publish(written={n: draft.folder(n) for n in names})
+        version = store.publish(written={n: draft.folder(n) for n in names})
+        store.vacuum()
+        return version
 
 
 CHECKED = ["staging_matches", "fact_match", "team_match_form", "dim_team", "dim_venue", "match_weather", "prediction", "bookmaker_odds", "event_match", "raw_odds", "team_crest", "product", "team_features", "team_context"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,20 +24,21 @@ def league_before(games: DataFrame) -> DataFrame:
     return out.withColumns({"mu_home": (F.col("_h") + PRIOR_WEIGHT * PRIOR_HOME) / n, "mu_away": (F.col("_a") + PRIOR_WEIGHT * PRIOR_AWAY) / n})
 
 
-def outcome_probabilities(home: Column, away: Column, most: int = MOST) -> Column:
-    """struct<home, draw, away> of two independent Poisson scores up to `most`, normalised.
+def scores(rate: Column, most: int = MOST) -> Column:
+    """Poisson probabilities of 0 to `most` goals, each written out, so that they are compiled arithmetic."""
+    return F.array(*[F.exp(-rate) * F.pow(rate, F.lit(g)) / F.lit(float(math.factorial(g))) for g in range(most + 1)])
 
-    Arrays of the two sides' probabilities, not rows: nothing is multiplied or grouped.
-    """
-    def dist(rate: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(most)), lambda g: F.exp(-rate) * F.pow(rate, g) / F.factorial(g))
 
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    ph, pa = dist(home), dist(away)
-    win = lambda own, other: total(F.transform(own, lambda p, i: p * total(F.slice(other, F.lit(1), i))))
-    draw = total(F.zip_with(ph, pa, lambda x, y: x * y))
-    every = total(ph) * total(pa)
-    return F.struct((win(ph, pa) / every).alias("home"), (draw / every).alias("draw"), (win(pa, ph) / every).alias("away"))
+def outcome_probabilities(home: str, away: str, most: int = MOST) -> Column:
+    """struct<home, draw, away> of two independent scores, normalised; home and away are columns of scores().
+
+    The sums over the grid are written out: nothing is multiplied or grouped, and no array function is interpreted.
+    """
+    h, a = ([F.get(F.col(c), F.lit(g)) for g in range(most + 1)] for c in (home, away))
+    total = lambda terms: reduce(Column.__add__, terms)
+    win, draw, loss = (total([h[i] * a[j] for i in range(most + 1) for j in range(most + 1) if (i > j) - (i < j) == sign]) for sign in (1, 0, -1))
+    every = total(h) * total(a)
+    return F.struct((win / every).alias("home"), (draw / every).alias("draw"), (loss / every).alias("away"))
 
 
 def forecast(games: DataFrame, form: DataFrame) -> DataFrame:
@@ -51,7 +55,8 @@ def forecast(games: DataFrame, form: DataFrame) -> DataFrame:
     strength = lambda goals, n: (F.col(goals) + SHRINK * mean) / ((F.col(n) + SHRINK) * mean)
     clamp = lambda c: F.least(F.greatest(c, F.lit(LOW)), F.lit(HIGH))
     rates = both.withColumns({"lambda_home": clamp(F.col("mu_home") * strength("h_for", "h_n") * strength("a_against", "a_n")), "lambda_away": clamp(F.col("mu_away") * strength("a_for", "a_n") * strength("h_against", "h_n"))})
-    p = rates.withColumn("p", outcome_probabilities(F.col("lambda_home"), F.col("lambda_away")))
+    goals = rates.withColumns({"_ph": scores(F.col("lambda_home")), "_pa": scores(F.col("lambda_away"))})
+    p = goals.withColumn("p", outcome_probabilities("_ph", "_pa"))
     return p.select(
         "match_id", F.round("p.home", 5).alias("home_prob"), F.round("p.draw", 5).alias("draw_prob"), F.round("p.away", 5).alias("away_prob"),
         F.round("lambda_home", 3).alias("expected_home_goals"), F.round("lambda_away", 3).alias("expected_away_goals"),

@@ -288,7 +288,7 @@ def quote_changes(spark, sf_dir):
 def withdrawn_flag(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     scope = e.groupBy("event_type").agg((F.max("us") - DAY).alias("scope_us"))
-    return e.groupBy("user_id", "event_type").agg(F.max("us").alias("last_us")).join(F.broadcast(scope), "event_type").select("user_id", "event_type", (F.col("last_us") < F.col("scope_us")).alias("is_withdrawn"))
+    return e.groupBy("user_id", "event_type").agg(F.max("us").alias("last_us")).join(scope, "event_type").select("user_id", "event_type", (F.col("last_us") < F.col("scope_us")).alias("is_withdrawn"))
 
 
 @query("""SELECT a.event_id, p.event_id AS seen_id, p.value AS seen_value FROM events a LEFT JOIN LATERAL (SELECT * FROM events p WHERE p.user_id = a.user_id AND p.event_type = 'purchase' AND p.ts < a.ts ORDER BY p.ts DESC, p.event_id DESC LIMIT 1) p ON true""")

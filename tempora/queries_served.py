@@ -7,11 +7,11 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from tempora.clock import Clock
-from tempora.functions import weather
+from tempora.functions import weather as words
 from tempora.operators.latest import keep_latest
 from tempora.operators.merge import first_seen
 from tempora.operators.quality import run
-from tempora.plans import context, features, serve
+from tempora.plans import context, features, serve, weather
 from tempora.plans.checks import checks
 from tempora.plans.facts import outcome
 from tempora.plans.fixtures import MATCHES_SQL, appearances, matches
@@ -187,9 +187,9 @@ def quality_checks(spark, sf_dir):
     return told[0].unionByName(told[1])
 
 
-_CODES_SQL = "MAP {" + ", ".join(f"{k}: '{v}'" for k, v in weather.CODES.items()) + "}"
-_WHY_SQL = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in weather.WHY.items())
-_STATES = ["AVAILABLE", "NOT_YET_AVAILABLE", *weather.WHY]
+_CODES_SQL = "MAP {" + ", ".join(f"{k}: '{v}'" for k, v in words.CODES.items()) + "}"
+_WHY_SQL = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in words.WHY.items())
+_STATES = ["AVAILABLE", "NOT_YET_AVAILABLE", *words.WHY]
 
 
 @query(f"""WITH e AS (SELECT event_id, CAST(ts AS DATE) AS day, CAST(json_extract(props, '$.k') AS INTEGER) AS k, [{", ".join(f"'{s}'" for s in _STATES)}][event_id % 5 + 1] AS status FROM events)
@@ -197,7 +197,7 @@ SELECT event_id, {_CODES_SQL}[k] AS weather, CASE status WHEN 'NOT_YET_AVAILABLE
 def weather_words(spark, sf_dir):
     """Codes and states of events in words."""
     status = F.get(F.array(*map(F.lit, _STATES)), (F.col("event_id") % 5).cast("int"))
-    return table(spark, sf_dir, "events").select("event_id", weather.description(F.get_json_object("props", "$.k")).alias("weather"), weather.why_absent(status, F.to_date("ts")).alias("why"))
+    return table(spark, sf_dir, "events").select("event_id", words.description(F.get_json_object("props", "$.k")).alias("weather"), words.why_absent(status, F.to_date("ts")).alias("why"))
 
 
 @query("""WITH s AS (SELECT user_id, event_type, floor(value / 20) AS digest, event_id, ts, CAST(ts AS DATE) AS day, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END AS new FROM events),
@@ -229,3 +229,33 @@ def fetch_state(spark, sf_dir):
 def unplayed_between(spark, sf_dir):
     games = matches(spark, sf_dir).withColumn("match_date", F.to_date("utc_kickoff"))
     return planner.unplayed(games, "2024-01-26", "2024-01-28").select("match_id", F.unix_micros("utc_kickoff").alias("at_us"), "home_team_id")
+
+
+_ROLE_SQL = " ".join(f"WHEN regexp_matches(lower(position), '{pattern}') THEN '{role}'" for pattern, role in context.POSITIONS)
+_NAMED = ["GOALKEEPER", "Left-Back", "Central Defence", "Defensive Midfield", "Second Striker", "Right Winger", "Coach"]
+
+
+@query(f"""SELECT p_partkey, CASE {_ROLE_SQL} ELSE 'UNKNOWN' END AS role FROM (SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN p_type || ' ' || [{", ".join(f"'{x}'" for x in _NAMED)}][p_size % 7 + 1] END AS position FROM part)""")
+def player_roles(spark, sf_dir):
+    """The plan's roles of positions that part types and sizes spell; some are null."""
+    named = F.get(F.array(*map(F.lit, _NAMED)), (F.col("p_size") % 7).cast("int"))
+    position = F.when(F.col("p_size") % 5 != 0, F.concat_ws(" ", "p_type", named))
+    return table(spark, sf_dir, "part").select("p_partkey", context.role_of(position).alias("role"))
+
+
+@query(f"""WITH {MATCHES_SQL}, told AS (SELECT user_id AS team, date_trunc('hour', ts) AS hour, CAST(ts - INTERVAL 1 DAY * (event_id % 4) AS DATE) AS ingested, ts - INTERVAL 1 DAY * (event_id % 4) - INTERVAL 3 MINUTE AS fetched, CASE WHEN event_id % 5 <> 0 THEN value END AS temperature, event_id FROM events),
+usable AS (SELECT match_id, ingested, fetched, temperature, CAST(utc_kickoff AS DATE) AS day FROM matches JOIN told ON team = home_team_id AND hour = date_trunc('hour', utc_kickoff) WHERE fetched < utc_kickoff AND temperature IS NOT NULL AND ingested <= DATE '2024-01-20'),
+best AS (SELECT DISTINCT ON (match_id) * FROM usable ORDER BY match_id, ingested DESC, fetched DESC)
+SELECT m.match_id, CASE WHEN fetched IS NOT NULL THEN 'AVAILABLE' WHEN s_suppkey IS NULL OR s_suppkey % 3 = 0 THEN 'VENUE_UNKNOWN' WHEN CAST(utc_kickoff AS DATE) > DATE '2024-01-20' + 15 THEN 'NOT_YET_AVAILABLE' WHEN CAST(utc_kickoff AS DATE) < DATE '2024-01-20' THEN 'NOT_CAPTURED' ELSE 'MISSING' END AS weather_status,
+  epoch_us(fetched) AS fetched_us, temperature AS temperature_c, CAST(day - ingested AS INTEGER) AS lead_days FROM matches m LEFT JOIN best USING (match_id) LEFT JOIN supplier ON s_suppkey = home_team_id""")
+def match_weather(spark, sf_dir):
+    """Events as hourly forecasts for their user's venue, suppliers as venues: the plan's own states."""
+    e = table(spark, sf_dir, "events")
+    days = (F.col("event_id") % 4).cast("int")
+    fetched = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) - (days.cast("long") * 1440 + 3) * F.lit(60_000_000))
+    made = {c: F.lit(1.0) for c in weather.VALUES} | {"temperature_c": F.when(F.col("event_id") % 5 != 0, F.col("value"))}
+    forecasts = e.select(F.col("user_id").alias("venue_team_id"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("forecast_hour_utc"), F.date_sub(F.to_date("ts"), days).alias("ingestion_date"), fetched.alias("fetched_at"), *[c.alias(n) for n, c in made.items()])
+    venues = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("team_id"), F.when(F.col("s_suppkey") % 3 != 0, "RESOLVED").otherwise("UNRESOLVED").alias("coordinates_status"))
+    games = matches(spark, sf_dir).withColumn("match_date", F.to_date("utc_kickoff"))
+    out = weather.match_weather(games, forecasts, venues, Clock.at("2024-01-20"))
+    return out.select("match_id", "weather_status", F.unix_micros("forecast_fetched_at").alias("fetched_us"), "temperature_c", "lead_days")
