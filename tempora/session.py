@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a window by team and a join by (team, sequence) can share one shuffle
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # wide plans are built of thousands of columns; none needs its place in the source noted
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
