@@ -77,7 +77,8 @@ class Encoder:
         if found is None:
             text, tokenize, stand = piece.decode(), self.model.tokenize, self.stand
             if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-                out = tokenize(piece.decode("latin-1").translate(stand))
+                ascii_ = len(text) == len(piece)
+                out = tokenize((stand[32] + text[1:] if text[0] == " " else text) if ascii_ else piece.decode("latin-1").translate(stand))
             else:
                 out = [t for w in PIECE.findall(text) for t in tokenize(w.encode().decode("latin-1").translate(stand))]
             found = array(self.kind.char, [t.id for t in out]).tobytes()
@@ -209,7 +210,7 @@ def merkle(names: bytes) -> bytes:
 
 
 #: Documents, and code points of them, that are encoded together.
-BLOCK_DOCS, BLOCK_CHARS = 500, 1_000_000
+BLOCK_DOCS, BLOCK_CHARS = 2_000, 4_000_000
 CUT = "doc_id long, n_tokens long, root binary, names array<binary>, fresh array<struct<name:binary,ids:binary>>"
 _FRESH = pa.struct([("name", pa.binary()), ("ids", pa.binary())])
 
