@@ -144,7 +144,7 @@ SPAN = "start:int,end:int,found:string,left:string,right:string"
 RUN = 256
 
 
-def _bind(value: Column, use) -> Column:
+def bind(value: Column, use) -> Column:
     """use(value) with value worked out once, however often use names it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -164,7 +164,7 @@ def sums_before(numbers: Column) -> Column:
         totals = F.aggregate(F.transform(runs, lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x)), zero, grow)
         return F.flatten(F.zip_with(runs, init(totals), lambda r, at: init(F.aggregate(r, F.array(at), grow))))
 
-    return _bind(numbers, whole)
+    return bind(numbers, whole)
 
 
 def regex_spans(text: Column, pattern: str, screen: Column | None = None) -> Column:
@@ -189,7 +189,7 @@ def regex_spans(text: Column, pattern: str, screen: Column | None = None) -> Col
         )
 
     hit = text.rlike(pattern) if screen is None else screen & text.rlike(pattern)
-    return F.when(hit, _bind(pairs, spans)).otherwise(F.array().cast(f"array<struct<{SPAN}>>"))
+    return F.when(hit, bind(pairs, spans)).otherwise(F.array().cast(f"array<struct<{SPAN}>>"))
 
 
 def span_string(spans: Column) -> Column:

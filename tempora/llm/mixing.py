@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tempora.llm.common import BLANK, documents, materialize
+from tempora.llm.common import BLANK, bind, documents, materialize
 
 #: Most copies of a document, and most patterns that may reach the driver.
 MAX_COPIES, MAX_PATTERNS = 3, 100_000
@@ -151,10 +151,13 @@ def decide(rows: DataFrame, weights=cycle_weights) -> DataFrame:
 
 def _copies(size: Column) -> Column:
     """Copies of a row by its grade and its hash u."""
-    own = _grade(size)
-    cut = F.get(F.filter("cuts", lambda c: c["grade"] == own), F.lit(0))["cut"]
-    more = F.coalesce(F.col("u") <= cut, F.lit(False)) | F.exists("fill", lambda f: (f["grade"] == own) & (f["u"] == F.col("u")))
-    return F.col("base") + F.when(more, 1).otherwise(0)
+
+    def copies(grade: Column) -> Column:
+        cut = F.get(F.filter("cuts", lambda c: c["grade"] == grade), F.lit(0))["cut"]
+        more = F.coalesce(F.col("u") <= cut, F.lit(False)) | F.exists("fill", lambda f: (f["grade"] == grade) & (f["u"] == F.col("u")))
+        return F.col("base") + F.when(more, 1).otherwise(0)
+
+    return bind(_grade(size), copies)
 
 
 def sizes_of(docs: DataFrame, membership: Column | None = None, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -183,8 +186,9 @@ def repeat(docs: DataFrame, membership: Column | None = None, seed: int = 7, wei
     """
     plans = decide(sizes_of(docs, membership, seed, key, text), weights)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _pattern(membership).alias("pattern"), _hash(seed, key).alias("u"))
-    often = packed.join(F.broadcast(plans), packed["pattern"].eqNullSafe(plans["mix_pattern"])).withColumn("n", _copies(word_count(F.col("row")[text])).cast("int")).where("n > 0")
-    return often.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
+    often = packed.join(F.broadcast(plans), packed["pattern"].eqNullSafe(plans["mix_pattern"]))
+    n = bind(word_count(F.col("row")[text]), _copies)  # words are counted once
+    return often.select("row", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select("row.*")
 
 
 def _same(a: DataFrame, b: DataFrame, *more: Column) -> Column:
