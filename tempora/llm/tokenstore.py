@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 from tempora.llm.bpe import SPACE, byte_symbols
 from tempora.llm.common import discard, documents, materialize, scratch
 
-END, REMEMBERED = 2, 800_000
+END, REMEMBERED = 2, 1_200_000
 #: Ids under the rolling hash are 2**WINDOW_STEPS; a cut where its low bits are zero; least and most ids of a chunk.
 WINDOW_STEPS, CUT_MASK, LEAST, MOST = 4, np.uint64(511), 64, 4096
 NAME = 16
@@ -210,7 +210,7 @@ def merkle(names: bytes) -> bytes:
 
 
 #: Documents, and code points of them, that are encoded together.
-BLOCK_DOCS, BLOCK_CHARS = 2_000, 4_000_000
+BLOCK_DOCS, BLOCK_CHARS = 3_000, 6_000_000
 CUT = "doc_id long, n_tokens long, root binary, names array<binary>, fresh array<struct<name:binary,ids:binary>>"
 _FRESH = pa.struct([("name", pa.binary()), ("ids", pa.binary())])
 
