@@ -20,11 +20,14 @@ def unpivot_sides(df: DataFrame, pairs: Mapping[str, tuple[str, str]], flag: str
     return df.select(*keep, F.inline(F.array(home, away)))
 
 
-def pivot_sides(events: DataFrame, sides: DataFrame, key: str, flag: str, columns: Sequence[str]) -> DataFrame:
+def pivot_sides(events: DataFrame, sides: DataFrame, key: str, flag: str, columns: Sequence[str], parts: int | None = None) -> DataFrame:
     """events with home_ and away_ versions of the sides' columns.
 
-    Both rows of an event meet in one aggregation, so that the sides are worked out once.
+    Both rows of an event meet in one aggregation, so that the sides are worked out once. parts: tasks to deal the
+    events to, where rows are so wide that their bytes while they travel don't tell what sorting them takes.
     """
+    if parts:
+        events, sides = events.repartition(parts, key), sides.repartition(parts, key)
     body = F.struct(*[F.col(c) for c in columns])
     both = sides.groupBy(F.col(key).alias("_k")).agg(F.any_value(F.when(F.col(flag), body), True).alias("_home"), F.any_value(F.when(~F.col(flag), body), True).alias("_away"))
     named = both.select("_k", *[F.col(f"_{side}.{c}").alias(f"{side}_{c}") for side in ("home", "away") for c in columns])

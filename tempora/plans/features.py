@@ -104,10 +104,22 @@ def load(apps: DataFrame) -> DataFrame:
     return range_counts(apps, ["team_id"], "utc_kickoff", finished(), {f"played_last_{d}_days": d * DAY for d in (7, 14, 30)}, AVAILABLE_AFTER)
 
 
+#: Appearances that one task widens by all families, and that one task pairs by match. A team isn't divided.
+TEAM_ROWS, MATCH_ROWS = 40_000, 100_000
+
+
+def tasks(rows: int, each: int) -> int:
+    return max(1, -(-rows // each))
+
+
 def team_features(apps: DataFrame) -> DataFrame:
     """All 87 columns of every appearance. Each family widens the rows by windows; every scope has the team, so
-    that one shuffle by team serves all of them."""
-    out = form(load(history(apps.repartition("team_id"))))
+    that one shuffle by team serves all of them.
+
+    Rows are narrow while they travel and a hundred times as wide in the sorts behind it. So their number sets the
+    number of tasks, each a range of teams: it grows with the table, and what a task sorts doesn't.
+    """
+    out = form(load(history(apps.repartitionByRange(tasks(apps.count(), TEAM_ROWS), "team_id"))))
     for scope in SCOPED:
         out = scoped_form(out, scope)
     return season_to_date(out)
@@ -128,7 +140,7 @@ def legacy_form(apps: DataFrame) -> DataFrame:
 def product(games: DataFrame, features: DataFrame) -> DataFrame:
     """One row a match: home_ and away_ features, differences, completeness flags and labels."""
     columns = [c for c in features.columns if c not in KEYS]
-    wide = pivot_sides(games, features, "match_id", "is_home", columns)
+    wide = pivot_sides(games, features, "match_id", "is_home", columns, tasks(2 * games.count(), MATCH_ROWS))
     known = F.col("is_finished") & F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull()
     outcome = F.when(F.col("home_goals") > F.col("away_goals"), "HOME_WIN").when(F.col("home_goals") < F.col("away_goals"), "AWAY_WIN").otherwise("DRAW")
     minus = lambda c: F.col(f"home_{c}") - F.col(f"away_{c}")
