@@ -72,3 +72,20 @@ def greatest_valid(events: DataFrame, observations: DataFrame, on: Sequence[str]
     flat = found.select(*[F.col(f"_key.{c}").alias(f"_k{i}") for i, c in enumerate(key)], F.col("_best.take").alias("_found"))
     same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
     return events.join(flat, same, "left").select(*events.columns, *[F.col(f"_found.{c}").alias(c) for c in take])
+
+
+def greatest_begun(events: DataFrame, observations: DataFrame, on: Sequence[str], time: str, start: Column, order: Sequence[Column], take: Sequence[str]) -> DataFrame:
+    """events with `take` of the observation of the same `on` that is greatest in `order` among those with start <= time.
+
+    For validities that end in the order they count in: where the greatest has ended, all have. A moment is one row,
+    and nothing is joined back. Events with a null in `on` or time leave; a null start never begins.
+    """
+    names = [f"_on{i}" for i in range(len(on))]
+    own = [F.col(c).alias(n) for c, n in zip(on, names)]
+    known = " AND ".join(f"{n} IS NOT NULL" for n in ["_at", *names])
+    value = F.struct(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("order"), F.struct(*[F.col(c).alias(c) for c in take]).alias("take"))
+    micros = lambda c: F.unix_micros(c.cast("timestamp")) + BIAS
+    entries = observations.select(*own, micros(start).alias("_at"), F.lit(0).alias("_kind"), value.alias("_value")).where(known)
+    moments = events.select(*own, micros(F.col(time)).alias("_at"), F.lit(1).alias("_kind"), F.struct("*").alias("_event")).where(known)
+    found = _running_max(entries.unionByName(moments, allowMissingColumns=True), names)
+    return found.select("_event.*", *[F.col(f"_best.take.{c}").alias(c) for c in take])

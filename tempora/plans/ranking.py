@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.functions.names import STOP_RANKING, tokens
-from tempora.operators.intervals import greatest_valid
+from tempora.operators.intervals import greatest_begun
 from tempora.operators.match import unique_pairs
+from tempora.operators.sides import pivot_sides, unpivot_sides
 
 MAX_AGE_DAYS = 35
 
@@ -51,12 +52,15 @@ def team_rankings(pages: DataFrame, mapping: DataFrame) -> DataFrame:
 def with_rankings(games: DataFrame, rankings: DataFrame) -> DataFrame:
     """home_ and away_ rank and points of the newest ranking from an earlier day, at most 35 days old.
 
-    A ranking is valid from the day after its date, once it was observed, for MAX_AGE_DAYS days.
+    A ranking is valid from the day after its date, once it was observed, for MAX_AGE_DAYS days. Where the newest is
+    too old every other is, so that both sides find theirs in one pass over what has begun.
     """
     take = {"world_rank": "{}_world_rank", "rating_points": "{}_world_rating_points", "ranking_date": "audit_{}_world_ranking_date", "observed_at": "audit_{}_world_ranking_observed_at", "source_url": "audit_{}_world_ranking_source"}
     day = lambda n: F.date_add("_d", n).cast("timestamp")
     start = F.greatest(F.timestamp_micros(F.unix_micros("_o") + 1), day(1))
-    for side in ("home", "away"):
-        r = rankings.where("observed_at IS NOT NULL AND ranking_date IS NOT NULL").select(F.col("team_id").alias(f"{side}_team_id"), F.col("raw_id").alias("_id"), F.col("ranking_date").alias("_d"), F.col("observed_at").cast("timestamp").alias("_o"), *[F.col(c).alias(n.format(side)) for c, n in take.items()])
-        games = greatest_valid(games, r, [f"{side}_team_id"], ["match_id"], "utc_kickoff", start, day(MAX_AGE_DAYS + 1), [F.col("_d"), F.col("_o"), F.col("_id")], [n.format(side) for n in take.values()])
+    r = rankings.where("observed_at IS NOT NULL AND ranking_date IS NOT NULL").select("team_id", F.col("raw_id").alias("_id"), F.col("ranking_date").alias("_d"), F.col("observed_at").cast("timestamp").alias("_o"), *take)
+    sides = unpivot_sides(games.select("match_id", "utc_kickoff", "home_team_id", "away_team_id"), {"team_id": ("home_team_id", "away_team_id")})
+    found = greatest_begun(sides, r, ["team_id"], "utc_kickoff", start, [F.col("_d"), F.col("_o"), F.col("_id")], ["_d", *take])
+    valid = found.where(F.col("utc_kickoff").cast("timestamp") < day(MAX_AGE_DAYS + 1))
+    games = pivot_sides(games, valid, "match_id", "is_home", list(take)).withColumnsRenamed({f"{side}_{c}": n.format(side) for side in ("home", "away") for c, n in take.items()})
     return games.withColumns({"world_rating_points_difference": F.col("home_world_rating_points") - F.col("away_world_rating_points"), "world_rank_advantage_home": F.col("away_world_rank") - F.col("home_world_rank")})

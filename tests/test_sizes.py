@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import random
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
+from tempora.operators.intervals import greatest_begun
 from tempora.plans import features
 from tempora.plans.fixtures import appearances, matches
 
 SMALL = "/root/testdata/sf0.001"
+START = datetime(1969, 12, 31, tzinfo=timezone.utc)
 
 
 def test_rows_set_the_number_of_tasks(spark, monkeypatch):
@@ -22,3 +27,14 @@ def test_rows_set_the_number_of_tasks(spark, monkeypatch):
     teams = team.select("team_id", F.spark_partition_id().alias("p")).distinct()
     assert teams.count() == teams.select("team_id").distinct().count()
     assert features.product(games, team).rdd.getNumPartitions() == -(-rows // 100)
+
+
+def test_greatest_begun_against_all_pairs(spark):
+    r = random.Random(5)
+    at = lambda: None if r.random() < 0.05 else START + timedelta(microseconds=r.choice([r.randrange(50), r.randrange(10**12)]))
+    events = [(i, r.choice(["a", "b", "c", None]), at()) for i in range(150)]
+    obs = [(i, r.choice(["a", "b", "d", None]), at(), r.randrange(20)) for i in range(120)]
+    e, o = spark.createDataFrame(events, "id int, k string, t timestamp"), spark.createDataFrame(obs, "oid int, k string, s timestamp, p int")
+    got = greatest_begun(e, o, ["k"], "t", F.col("s"), [F.col("p")], ["oid"])
+    want = {i: max(((p, oid) for oid, ok, s, p in obs if ok == k and s and s <= t), default=(0, None))[1] for i, k, t in events if k and t}
+    assert got.columns == ["id", "k", "t", "oid"] and {x["id"]: x["oid"] for x in got.collect()} == want
