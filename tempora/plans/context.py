@@ -29,11 +29,13 @@ def role_of(position: Column) -> Column:
 
 
 def players(squad: Column) -> Column:
-    """Players with an id, one each: the first by its canonical JSON."""
+    """Players with an id, one each: the first by its canonical JSON, which is written only where an id is repeated."""
     known = F.filter(F.coalesce(squad, F.array()), lambda p: p["id"].isNotNull())
     ordered = F.array_sort(F.transform(known, lambda p: F.struct(p["id"].alias("id"), F.to_json(p).alias("text"), p.alias("p"))))
     firsts = F.filter(ordered, lambda x, i: (i == 0) | (F.try_element_at(ordered, i)["id"] != x["id"]))
-    return F.transform(firsts, lambda x: x["p"])
+    single = F.array_sort(F.transform(known, lambda p: F.struct(p["id"].alias("id"), p.alias("p"))))
+    repeated = F.size(F.array_distinct(F.transform(known, lambda p: p["id"]))) < F.size(known)
+    return F.when(repeated, F.transform(firsts, lambda x: x["p"])).otherwise(F.transform(single, lambda x: x["p"]))
 
 
 def squad_summary(squad: Column, observed: Column, home: Column) -> dict[str, Column]:
@@ -42,18 +44,28 @@ def squad_summary(squad: Column, observed: Column, home: Column) -> dict[str, Co
     A count is null where there is no squad at all, ages where no birth date is known. Foreign players are counted
     only where the nationality of all, and the club's own country, are known: a part of them would mislead.
     """
-    some = F.size(squad) > 0
+    told = squad_told(squad, observed, home)
+    return {n: told[n] for n in ("squad_size", "squad_avg_age", "squad_min_age", "squad_max_age", "squad_nationalities", "squad_foreign_players", "squad_missing_birthdates", *ROLE_COUNTS.values())}
+
+
+def squad_told(squad: Column, observed: Column, home: Column) -> Column:
+    """squad_summary as one struct: ages, nations and roles are worked out once for all that is counted in them."""
     filled = lambda field: F.filter(F.transform(squad, lambda p: F.nullif(p[field], F.lit(""))), lambda x: x.isNotNull())
     born = F.filter(F.transform(filled("dateOfBirth"), lambda d: d.try_cast("date")), lambda d: d.isNotNull())
     ages = F.transform(born, lambda d: F.datediff(F.to_date(observed), d) / YEAR)
-    nations, roles = filled("nationality"), F.transform(squad, lambda p: role_of(p["position"]))
-    count = lambda c: F.when(some, c).cast("int")
-    return {
-        "squad_size": count(F.size(squad)), "squad_avg_age": F.aggregate(ages, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(ages), F.lit(0)), "squad_min_age": F.array_min(ages), "squad_max_age": F.array_max(ages),
-        "squad_nationalities": F.nullif(F.size(F.array_distinct(nations)), F.lit(0)),
-        "squad_foreign_players": F.when(some & (F.size(nations) == F.size(squad)) & home.isNotNull(), F.size(F.filter(nations, lambda n: n != home))),
-        "squad_missing_birthdates": count(F.size(squad) - F.size(born)), **{name: count(F.size(_equal(roles, role))) for role, name in ROLE_COUNTS.items()},
-    }
+    made = F.struct(F.size(squad).alias("size"), ages.alias("ages"), filled("nationality").alias("nations"), F.transform(squad, lambda p: role_of(p["position"])).alias("roles"))
+
+    def told(s: Column) -> Column:
+        count = lambda c: F.when(s["size"] > 0, c).cast("int")
+        out = {
+            "squad_size": count(s["size"]), "squad_avg_age": F.aggregate(s["ages"], F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(s["ages"]), F.lit(0)), "squad_min_age": F.array_min(s["ages"]), "squad_max_age": F.array_max(s["ages"]),
+            "squad_nationalities": F.nullif(F.size(F.array_distinct(s["nations"])), F.lit(0)),
+            "squad_foreign_players": F.when((s["size"] > 0) & (F.size(s["nations"]) == s["size"]) & home.isNotNull(), F.size(F.filter(s["nations"], lambda n: n != home))),
+            "squad_missing_birthdates": count(s["size"] - F.size(s["ages"])), **{name: count(F.size(_equal(s["roles"], role))) for role, name in ROLE_COUNTS.items()},
+        }
+        return F.struct(*[c.alias(n) for n, c in out.items()])
+
+    return F.get(F.transform(F.array(made), told), F.lit(0))
 
 
 def api_snapshots(raw: DataFrame, runs: DataFrame, clock: Clock) -> DataFrame:
@@ -65,10 +77,11 @@ def api_snapshots(raw: DataFrame, runs: DataFrame, clock: Clock) -> DataFrame:
     found = raw.where((F.col("ingestion_date") <= clock.today()) & F.col("endpoint").rlike(r"^(competitions/[^/]+/teams|teams/[0-9]+)$") & ~seasonal())
     timed = found.join(runs.select("run_id", "finished_at"), "run_id", "left").withColumn("observed_at", F.greatest("ingested_at", "finished_at"))
     rows = team_elements(timed).where("t.id IS NOT NULL").withColumn("squad", players(F.col("t.squad")))
+    rows = rows.withColumn("told", squad_told(F.col("squad"), F.col("observed_at"), F.col("t.area.name")))
     coach = F.col("t.coach")
     made = {
         "snapshot_id": F.concat_ws(":", F.lit("football"), F.col("raw_id").cast("string"), F.col("t.id").cast("string")), "team_id": F.col("t.id"), "source_url": F.col("request_url"),
-        "valid_from": F.col("observed_at"), "valid_until": F.lit(None).cast("timestamp"), **squad_summary(F.col("squad"), F.col("observed_at"), F.col("t.area.name")),
+        "valid_from": F.col("observed_at"), "valid_until": F.lit(None).cast("timestamp"), **{c: F.col(f"told.{c}") for c in [*COUNTS, *AGES]},
         "coach_id": F.when(coach["id"].isNotNull(), F.concat(F.lit("football-data.org:"), coach["id"].cast("string"))), "coach_name": coach["name"],
         "coach_birth_date": F.nullif(coach["dateOfBirth"], F.lit("")).try_cast("date"), "coach_nationality": coach["nationality"], "coach_tenure_start": F.lit(None).cast("date"),
         "coach_contract_start": coach["contract"]["start"], "squad_market_value_eur": F.lit(None).cast("double"),

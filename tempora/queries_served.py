@@ -42,8 +42,9 @@ def squad_aggregates(spark, sf_dir):
     player = F.struct(F.when(key % 13 != 0, key).alias("id"), position.alias("position"), born.alias("dateOfBirth"), F.when(key % 5 == 0, "").otherwise(F.concat(F.lit("N"), (key % 4).cast("string"))).alias("nationality"), F.col("l_linenumber").alias("shirtNumber"))
     squads = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(player).alias("squad"))
     teams = table(spark, sf_dir, "orders").join(squads, "o_orderkey", "left").withColumn("squad", context.players(F.col("squad")))
-    told = context.squad_summary(F.col("squad"), F.col("o_orderdate"), F.when(F.col("o_orderkey") % 2 == 0, "N1"))
-    return teams.select("o_orderkey", *[(F.round(c, 6) if n.endswith("_age") else c).alias(n) for n, c in told.items()])
+    told = context.squad_told(F.col("squad"), F.col("o_orderdate"), F.when(F.col("o_orderkey") % 2 == 0, "N1"))
+    rows = teams.select("o_orderkey", told.alias("told")).select("o_orderkey", "told.*")
+    return rows.select(*[F.round(c, 6).alias(c) if c.endswith("_age") else F.col(c) for c in rows.columns])
 
 
 #: What a payload made of an event must have.
